@@ -40,10 +40,7 @@ def clean_text(col: Column) -> Column:
 def title_case(col: Column) -> Column:
     """Upper-cases the first letter after any non-letter, lower-cases the rest."""
     runs = F.regexp_extract_all(col, F.lit(WORD_RUNS), F.lit(1))
-    titled = F.transform(
-        runs, lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.lower(F.substr(run, F.lit(2))))
-    )
-    return F.array_join(titled, "")
+    return F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
 
 
 def proper_text(col: Column) -> Column:

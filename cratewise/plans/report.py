@@ -70,7 +70,7 @@ class ReportBundle:
     def checks(self) -> dict[str, DataFrame]:
         """Every check table by name."""
         inputs = self.inputs
-        shipment, py_shipment = inputs.shipment(), inputs.py_shipment()
+        shipment, py_shipment = inputs.shipment(to_date=True), inputs.py_shipment(to_date=True)
         period_totals = checks.period_totals(self.extract_rows)
         return {
             "unmatched_target_brands": checks.unmatched_target_brands(inputs.targets),

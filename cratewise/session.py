@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,19 +42,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Writes ``df`` to the checkpoint folder the cluster names and reads it back.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for checkpoints.
 
-    Only where no folder is set at all (tests on one machine) a temporary one
-    is used; a cluster without a shared folder must fail instead.
+    Only where none is set at all, and only on one machine, a temporary one is
+    used; a cluster without a shared folder must fail instead.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
+    folder = tempfile.mkdtemp(prefix="cratewise-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_folder(spark)}/cratewise-{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it back, so that a lost
+    executor costs a file read instead of the whole lineage."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
-            folder = tempfile.mkdtemp(prefix="cratewise-checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratewise.config import HL_PER_CRATE, ReportConfig
+from cratewise.config import HL_PER_CRATE, REQUIRED_TABLES, ReportConfig
 
 CURRENT_YEAR = 2001
 CUTOFF = date(2001, 7, 18)
@@ -27,12 +28,13 @@ def year_range(col: str, year: int, until: date | None = None) -> Column:
     )
 
 
-class SampleTables:
-    """Lazy input tables over ``<folder>/<table>.parquet``."""
+class SampleTables(Mapping):
+    """Input tables over ``<folder>/<table>.parquet``, each built when first asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -172,19 +174,26 @@ class SampleTables:
             *[(F.col(f"`{brand}`") % F.col("snapshot.cut")).alias(f"{brand} Crate 24x33") for brand in BRANDS],
         )
 
-    def all(self) -> dict[str, DataFrame]:
-        return {
-            "aop_target": self.aop_target(),
-            "sales_target": self.sales_target(),
-            "snop_target": self.snop_target(),
-            "agent_left": self.agent_left(),
-            "brand_left": self.brand_left(),
-            "calendar_mdm": self.calendar_mdm(),
-            "hl_converter": self.hl_converter(),
-            "plant_code": self.plant_code(),
-            "stock": self.stock(),
-            "py_shipment": self.shipment(CURRENT_YEAR - 1),
-            "actual_shipment": self.shipment(CURRENT_YEAR, CUTOFF),
-            "py_depletion": self.depletion(CURRENT_YEAR - 1, "Sales"),
-            "ytd_depletion": self.depletion(CURRENT_YEAR, "Depletion", CUTOFF),
-        }
+    def build(self, name: str) -> DataFrame:
+        if name == "py_shipment":
+            return self.shipment(CURRENT_YEAR - 1)
+        if name == "actual_shipment":
+            return self.shipment(CURRENT_YEAR, CUTOFF)
+        if name == "py_depletion":
+            return self.depletion(CURRENT_YEAR - 1, "Sales")
+        if name == "ytd_depletion":
+            return self.depletion(CURRENT_YEAR, "Depletion", CUTOFF)
+        return getattr(self, name)()
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in REQUIRED_TABLES:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = self.build(name)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(REQUIRED_TABLES)
+
+    def __len__(self) -> int:
+        return len(REQUIRED_TABLES)
