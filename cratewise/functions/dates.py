@@ -1,15 +1,14 @@
-"""Day-first dates, target months and calendar arithmetic."""
+"""Day-first dates, target months and calendar arithmetic, as expression text."""
 
 from __future__ import annotations
 
 from calendar import isleap
 from typing import NamedTuple
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cratewise.functions.numbers import SIGNED
+from cratewise.functions.numbers import SIGNED, parsed_number
+from cratewise.functions.sql import let, text
 from cratewise.functions.text import strip
 
 # Accepted month spellings.
@@ -28,6 +27,9 @@ MONTH_NAMES = {
     "DEC": 12, "DECEMBER": 12,
 }
 SERIAL_ORIGIN = "1899-12-30"
+# The years a bare year text may name.
+YEAR_ONLY = (1678, 2261)
+
 NAME = "(" + "|".join(sorted(MONTH_NAMES, key=len, reverse=True)) + ")"
 TIME = r"(?:[ T]+[0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:[.][0-9]+)?)?Z?)?$"
 SEP = r"[-/. ,]+"
@@ -56,7 +58,7 @@ WHOLE_DATES = (YEAR_FIRST, DAY_FIRST, COMPACT, DAY_NAME_YEAR, NAME_DAY_YEAR)
 YEAR_MONTH = Shape(r"^([0-9]{4})[-/]([0-9]{1,2})$", 1, 2, None)
 MONTH_YEAR = Shape(r"^([0-9]{1,2})[-/]([0-9]{4})$", 2, 1, None)
 NAME_YEAR = Shape(rf"^{NAME}{SEP}([0-9]{{4}})$", 2, 1, None, True)
-PAIR = r"^([0-9]{1,2})[-/]([0-9]{1,2})$"
+PAIR = r"^([0-9]{1,2})[-/.]([0-9]{1,2})$"
 MONTH_SHAPES = WHOLE_DATES + (MONTH_FIRST, YEAR_MONTH, MONTH_YEAR, NAME_YEAR)
 YEARLESS_SHAPES = (
     Shape(rf"^([0-9]{{1,2}}){SEP}{NAME}$", None, 2, 1, True),
@@ -64,99 +66,109 @@ YEARLESS_SHAPES = (
     Shape(PAIR, None, 1, 2),
     Shape(PAIR, None, 2, 1),
 )
-# The years a bare year text may name.
-YEAR_ONLY = (1678, 2261)
 
 
-def month_number(name: Column) -> Column:
+def month_number(name: str) -> str:
     """1..12 for an upper-case month spelling, else null."""
-    table = F.create_map(*[F.lit(x) for pair in MONTH_NAMES.items() for x in pair])
-    return F.try_element_at(table, name)
+    branches = " ".join(f"when '{spelling}' then {number}" for spelling, number in MONTH_NAMES.items())
+    return f"case {name} {branches} end"
 
 
-def _from_shape(text: Column, shape: Shape, default_year: int | None = None) -> Column:
-    """Date of an upper-case text that has the given shape, else null."""
+def from_shape(value: str, shape: Shape, default_year: int | None = None) -> str:
+    """A case branch: the date of an upper-case text that has the given shape."""
 
-    def part(group: int) -> Column:
-        return F.regexp_extract(text, shape.pattern, group)
+    def part(group: int) -> str:
+        return f"regexp_extract({value}, {text(shape.pattern)}, {group})"
 
     if shape.year is None:
-        year = F.lit(str(default_year))
+        year = f"'{default_year}'"
     else:
         year = part(shape.year)
-        century = F.when(year >= "69", F.lit("19")).otherwise(F.lit("20"))
-        year = F.when(F.length(year) == 2, F.concat(century, year)).otherwise(year)
-    month = part(shape.month)
-    if shape.named_month:
-        month = month_number(month).cast("string")
-    day = F.lit("1") if shape.day is None else part(shape.day)
-    parsed = F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-M-d")
-    return F.when(text.rlike(shape.pattern), parsed)
+        century = f"if({year} >= '69', '19', '20')"
+        year = f"if(length({year}) = 2, concat({century}, {year}), {year})"
+    month = month_number(part(shape.month)) if shape.named_month else part(shape.month)
+    day = "'1'" if shape.day is None else part(shape.day)
+    parsed = f"try_to_date(concat_ws('-', {year}, {month}, {day}), 'yyyy-M-d')"
+    return f"if({value} rlike {text(shape.pattern)}, {parsed}, null)"
 
 
-def parse_date(col: Column) -> Column:
+def parse_date(value: str) -> str:
     """Day-first text to a date, null where no accepted shape fits.
 
     Text that starts with a four-digit year is always year-month-day.
     """
-    text = F.upper(strip(col))
-    return F.coalesce(*[_from_shape(text, shape) for shape in WHOLE_DATES])
+    branches = ", ".join(from_shape("t", shape) for shape in WHOLE_DATES)
+    return let(f"upper({strip(value)})", "t", f"coalesce({branches})")
 
 
-def date_from(col: Column, data_type: T.DataType) -> Column:
+def date_from(value: str, data_type: T.DataType) -> str:
     """``parse_date`` for text; typed dates and timestamps lose the time of day."""
     if isinstance(data_type, T.DateType):
-        return col
+        return value
     if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return F.to_date(col)
-    return parse_date(col.cast("string"))
+        return f"to_date({value})"
+    return parse_date(f"cast({value} as string)")
 
 
-def month_start(col: Column) -> Column:
-    return F.trunc(col, "MM")
+def month_start(value: str) -> str:
+    return f"trunc({value}, 'MM')"
 
 
-def parse_target_month(col: Column, default_year: int) -> Column:
+def parse_target_month(value: str, default_year: int) -> str:
     """First day of the month a target row means.
 
     Tried in order: month name, number (1-12, YYYYMM, day serial), day-first
-    date, then day and month with the default year.
+    date, then day and month with the default year. Names and the short number
+    forms are settled before any date pattern is looked at.
     """
-    text = F.upper(strip(col))
-    number = F.when(text.rlike(SIGNED), text.try_cast("double"))
-    # Numbers outside every accepted range never reach the integer cast.
-    whole = F.floor(F.when(number.between(1, 209912), number)).cast("int")
-    year, month = F.floor(whole / 100).cast("int"), whole % 100
-    this_year = F.lit(default_year)
-    name = month_number(text)
-    by_name = F.when(name.isNotNull(), F.make_date(this_year, F.coalesce(name, F.lit(1)), F.lit(1)))
-    by_number = (
-        F.when(whole.between(1, 12), F.make_date(this_year, F.least(whole, F.lit(12)), F.lit(1)))
-        .when(
-            number.between(190001, 209912) & month.between(1, 12),
-            F.try_to_date(F.concat_ws("-", year, month, F.lit("1")), "yyyy-M-d"),
-        )
-        .when(number.between(20000, 60000), F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), whole))
-        .when(
-            text.rlike("^[0-9]{4}$") & whole.between(*YEAR_ONLY),
-            F.make_date(F.greatest(whole, F.lit(YEAR_ONLY[0])), F.lit(1), F.lit(1)),
-        )
+    key = f"upper({strip(value)})"
+    named = month_number(key)
+    spelled = f"make_date({default_year}, {named}, 1)"
+    counted = f"make_date({default_year}, cast({key} as int), 1)"
+    stamped = f"make_date(cast(left({key}, 4) as int), cast(right({key}, 2) as int), 1)"
+    return (
+        f"case when {key} rlike '^{NAME}$' then {spelled} "
+        f"when {key} rlike '^0?[1-9]$|^1[0-2]$' then {counted} "
+        f"when {key} rlike '^(?:19|20)[0-9]{{2}}(?:0[1-9]|1[0-2])$' then {stamped} "
+        f"else {_by_shape(key, default_year)} end"
+    )
+
+
+def _by_shape(key: str, default_year: int) -> str:
+    """Month of any other text: remaining numbers, then every date shape."""
+    number = parsed_number("t", SIGNED)
+    branches = [
+        # Numbers outside every accepted range never reach the integer cast.
+        let(f"cast(floor(if({number} between 1 and 209912, {number}, null)) as int)", "n", _from_number(default_year)),
+        *[from_shape("t", shape) for shape in MONTH_SHAPES],
+        *[from_shape("t", shape, default_year) for shape in YEARLESS_SHAPES],
+    ]
+    return month_start(let(key, "t", f"coalesce({', '.join(branches)})"))
+
+
+def _from_number(default_year: int) -> str:
+    """Month meant by the whole number ``n`` of the text ``t``."""
+    fraction = "try_cast(t as double) > n"
+    return (
+        f"case when n between 1 and 11 or (n = 12 and not {fraction}) then make_date({default_year}, least(n, 12), 1) "
+        "when n between 190001 and 209912 and n % 100 between 1 and 12 "
+        "then try_to_date(concat_ws('-', cast(floor(n / 100) as int), n % 100, '1'), 'yyyy-M-d') "
+        f"when n between 20000 and 59999 or (n = 60000 and not {fraction}) "
+        f"then date_add(date'{SERIAL_ORIGIN}', n) "
+        f"when t rlike '^[0-9]{{4}}$' and n between {YEAR_ONLY[0]} and {YEAR_ONLY[1]} "
+        f"then make_date(greatest(n, {YEAR_ONLY[0]}), 1, 1) end"
     )
-    by_text = [_from_shape(text, shape) for shape in MONTH_SHAPES]
-    by_day = [_from_shape(text, shape, default_year) for shape in YEARLESS_SHAPES]
-    return month_start(F.coalesce(by_name, by_number, *by_text, *by_day))
 
 
-def target_month_from(col: Column, data_type: T.DataType, default_year: int) -> Column:
+def month_text(value: str, data_type: T.DataType) -> str:
+    """A month cell as text; typed dates in year-month-day form."""
     if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return month_start(F.to_date(col))
-    return parse_target_month(col.cast("string"), default_year)
+        return f"date_format({value}, 'yyyy-MM-dd')"
+    return f"cast({value} as string)"
 
 
-def same_day_in_year(col: Column, year: int) -> Column:
+def same_day_in_year(value: str, year: int) -> str:
     """The same month and day in ``year``; null for 29 February where it has none."""
-    month, day = F.month(col), F.dayofmonth(col)
-    missing = F.lit(False) if isleap(year) else (month == 2) & (day == 29)
+    missing = "false" if isleap(year) else f"(month({value}) = 2 and day({value}) = 29)"
     # The replaced day keeps make_date valid on the branch that is not taken.
-    safe_day = F.when(missing, F.lit(28)).otherwise(day)
-    return F.when(~missing, F.make_date(F.lit(year), month, safe_day))
+    return f"if({missing}, null, make_date({year}, month({value}), if({missing}, 28, day({value}))))"

@@ -1,12 +1,10 @@
-"""Text rules for names, brands, units and flags. Every function maps a
-string column to a column of built-in expressions; null stays null."""
+"""Text rules for names, brands, units and flags. Every function maps the
+expression text of a string to expression text; null stays null."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from cratewise.config import BrandRules
+from cratewise.functions.sql import let, text
 
 # Every character a Unicode-aware strip removes (Spark's own
 # trim covers the space only).
@@ -15,91 +13,97 @@ WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0" + "".join(
 )
 # Runs of cased letters alternate with everything else.
 WORD_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
+# A letter after something else than a letter or space, or a character beyond ASCII.
+BEYOND_WORDS = "[^A-Za-z ][A-Za-z]|[^ -~]"
 # Accepted spellings.
 WORKING_DAY_TOKENS = ("YES", "Y", "TRUE", "1", "WORKING DAY", "WORKING")
 STOCK_SUFFIXES = ("Crate 24x33", "Crate 24X33", "CRATE 24X33", "crate 24x33")
 
 
-def literal_replace(col: Column, old: str, new: str) -> Column:
-    return F.replace(col, F.lit(old), F.lit(new))
+def replaced(value: str, old: str, new: str) -> str:
+    return f"replace({value}, {text(old)}, {text(new)})"
 
 
-def strip(col: Column) -> Column:
-    return F.btrim(col, F.lit(WHITESPACE))
+def strip(value: str) -> str:
+    return f"btrim({value}, {text(WHITESPACE)})"
 
 
-def clean_text(col: Column) -> Column:
+def clean_text(value: str) -> str:
     """Join key of a name: stripped, upper case, line breaks to spaces and one
     pass of double to single space (so three spaces leave two)."""
-    out = F.upper(strip(col))
-    out = literal_replace(out, "\n", " ")
-    out = literal_replace(out, "\r", " ")
-    return literal_replace(out, "  ", " ")
+    broken = f"translate(upper({strip(value)}), {text(chr(10) + chr(13))}, '  ')"
+    return replaced(broken, "  ", " ")
+
+
+def title_case(value: str) -> str:
+    """Upper-cases the first letter after any non-letter, lower-cases the rest.
+
+    Texts whose letters only follow letters or spaces go through ``initcap``;
+    others are split into runs of letters first.
+    """
+    runs = f"regexp_extract_all({value}, {text(WORD_RUNS)}, 1)"
+    by_runs = f"array_join(transform({runs}, run -> initcap(run)), '')"
+    return f"if({value} rlike {text(BEYOND_WORDS)}, {by_runs}, initcap({value}))"
+
+
+def flat_text(value: str) -> str:
+    """Breaks, tabs and hyphens to spaces, stripped, spaces collapsed."""
+    flat = strip(f"translate({value}, {text(chr(10) + chr(13) + chr(9) + '-')}, '    ')")
+    return f"regexp_replace({flat}, ' {{2,}}', ' ')"
 
 
-def title_case(col: Column) -> Column:
-    """Upper-cases the first letter after any non-letter, lower-cases the rest."""
-    runs = F.regexp_extract_all(col, F.lit(WORD_RUNS), F.lit(1))
-    return F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
+def shown_text(flat: str) -> str:
+    """Title case of a flat text; blank and textual nulls become null."""
+    return f"if({flat} is null or upper({flat}) in ('', 'NAN', 'NONE'), null, {title_case(flat)})"
 
 
-def proper_text(col: Column) -> Column:
-    """Display form of a name; blank and textual nulls become null."""
-    out = F.translate(col, "\n\r\t-", "    ")
-    out = F.regexp_replace(strip(out), " {2,}", " ")
-    is_missing = (out == "") | F.upper(out).isin("NAN", "NONE")
-    return F.when(~is_missing, title_case(out))
+def proper_text(value: str) -> str:
+    """Display form of a name in one expression; frames with many rows take
+    ``flat_text`` and ``shown_text`` in two steps."""
+    return let(flat_text(value), "t", shown_text("t"))
 
 
-def brand_kpi_key(col: Column, rules: BrandRules) -> Column:
+def brand_kpi_key(value: str, rules: BrandRules) -> str:
     """Controlled brand key shared by targets, sell-in, sell-out and stock."""
-    text = strip(F.upper(col))
+    key = strip(f"upper({value})")
     for word in rules.remove_words:
-        text = literal_replace(text, word, "")
+        key = replaced(key, word, "")
     for old, new in rules.replacements:
-        text = literal_replace(text, old, new)
-    text = strip(literal_replace(text, "  ", " "))
+        key = replaced(key, old, new)
+    key = strip(replaced(key, "  ", " "))
     if not rules.families:
-        return text
-    key = F.when(F.contains(text, F.lit(rules.families[0])), F.lit(rules.families[0]))
-    for family in rules.families[1:]:
-        key = key.when(F.contains(text, F.lit(family)), F.lit(family))
-    return key.otherwise(text)
+        return key
+    branches = " ".join(f"when contains(k, {text(f)}) then {text(f)}" for f in rules.families)
+    return let(key, "k", f"case {branches} else k end")
 
 
-def brand_display_name(key: Column, rules: BrandRules) -> Column:
-    shown = title_case(key)
+def brand_display_name(key: str, rules: BrandRules) -> str:
     if not rules.display_names:
-        return shown
-    lookup = strip(F.upper(key))
-    (first, name), *rest = rules.display_names
-    out = F.when(lookup == first, F.lit(name))
-    for known, name in rest:
-        out = out.when(lookup == known, F.lit(name))
-    return out.otherwise(shown)
+        return title_case(key)
+    branches = " ".join(f"when {text(known)} then {text(name)}" for known, name in rules.display_names)
+    return f"case {strip(f'upper({key})')} {branches} else {title_case(key)} end"
 
 
-def normalize_uom(col: Column) -> Column:
-    upper = F.upper(strip(col))
-    return F.when(upper == "HL", F.lit("HL")).when(upper == "CRATES", F.lit("Crates")).otherwise(strip(col))
+def normalize_uom(value: str) -> str:
+    kept = strip(value)
+    return f"case upper({kept}) when 'HL' then 'HL' when 'CRATES' then 'Crates' else {kept} end"
 
 
-def normalize_target_type(col: Column) -> Column:
-    upper = F.upper(strip(col))
+def normalize_target_type(value: str) -> str:
+    kept = strip(value)
     return (
-        F.when(upper.isin("SALES", "SALES TARGET"), F.lit("Sales"))
-        .when(upper.isin("SNOP", "AOP"), upper)
-        .otherwise(strip(col))
+        f"case upper({kept}) when 'SALES' then 'Sales' when 'SALES TARGET' then 'Sales' "
+        f"when 'SNOP' then 'SNOP' when 'AOP' then 'AOP' else {kept} end"
     )
 
 
-def stock_brand(col: Column) -> Column:
+def stock_brand(value: str) -> str:
     """Brand text of a stock column header: the pack-size spellings removed."""
     for suffix in STOCK_SUFFIXES:
-        col = literal_replace(col, suffix, "")
-    return strip(col)
+        value = replaced(value, suffix, "")
+    return strip(value)
 
 
-def working_day_flag(col: Column) -> Column:
-    token = F.upper(strip(col.cast("string")))
-    return F.coalesce(token.isin(*WORKING_DAY_TOKENS), F.lit(False))
+def working_day_flag(value: str) -> str:
+    tokens = ", ".join(text(token) for token in WORKING_DAY_TOKENS)
+    return f"coalesce(upper({strip(f'cast({value} as string)')}) in ({tokens}), false)"

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import DataFrame
 
 from cratewise.functions.numbers import clip_lower, safe_divide
+from cratewise.functions.sql import number, quoted
 from cratewise.operators.calendar import ReportDates
 
 TARGETS = ("aop", "snop", "sales")
@@ -43,68 +45,72 @@ def report_name(name: str) -> str:
     return " ".join(HEADER_WORDS.get(word, word.capitalize()) for word in name.split("_"))
 
 
-def stock_balance(beginning: Column, shipped: Column, depleted: Column) -> Column:
-    return clip_lower(beginning + shipped - depleted)
+def stock_balance(beginning: str, shipped: str, depleted: str) -> str:
+    return clip_lower(f"({beginning} + {shipped} - {depleted})")
 
 
-def stock_flag(days: Column) -> Column:
+def stock_flag(days: str) -> str:
     return (
-        F.when(days > 10, F.lit("Over-stocked"))
-        .when(days.between(6, 10), F.lit("Optimal"))
-        .when(days < 6, F.lit("Low Stock"))
-        .otherwise(F.lit("No Depletion"))
+        f"case when {days} > 10 then 'Over-stocked' when {days} between 6 and 10 then 'Optimal' "
+        f"when {days} < 6 then 'Low Stock' else 'No Depletion' end"
     )
 
 
+def with_values(df: DataFrame, values: Mapping[str, str]) -> DataFrame:
+    return df.selectExpr("*", *[f"{value} as {quoted(name)}" for name, value in values.items()])
+
+
 def add_stock_cover(df: DataFrame, dates: ReportDates) -> DataFrame:
-    balance = stock_balance(F.col("beginning_stock"), F.col("mtd_shipment"), F.col("mtd_depletion"))
-    daily = F.col("mtd_depletion") / F.lit(dates.elapsed_cal_days)
-    return df.withColumns({"stock_balance": balance, "avg_daily_depletion": daily}).withColumn(
-        "days_of_stock", safe_divide(F.col("stock_balance"), F.col("avg_daily_depletion"))
+    balanced = with_values(
+        df,
+        {
+            "stock_balance": stock_balance("beginning_stock", "mtd_shipment", "mtd_depletion"),
+            "avg_daily_depletion": f"mtd_depletion / {dates.elapsed_cal_days}",
+        },
     )
+    return with_values(balanced, {"days_of_stock": safe_divide("stock_balance", "avg_daily_depletion")})
 
 
 def add_landing(df: DataFrame, dates: ReportDates) -> DataFrame:
     """Month and year forecasts: volume so far plus the daily average over the remaining working days."""
-    monthly = F.col("mtd_shipment") / F.lit(dates.elapsed_wd)
-    yearly = F.col("ytd_shipment") / F.lit(dates.elapsed_year_wd)
-    with_average = df.withColumns({"avg_daily_mtd_shipment": monthly, "avg_daily_ytd_shipment": yearly})
-    return with_average.withColumns(
+    averages = with_values(
+        df,
         {
-            "mtd_landing": F.col("mtd_shipment") + F.col("avg_daily_mtd_shipment") * F.lit(dates.remaining_wd),
-            "yearly_landing": F.col("ytd_shipment") + F.col("avg_daily_ytd_shipment") * F.lit(dates.remaining_year_wd),
-        }
+            "avg_daily_mtd_shipment": f"mtd_shipment / {dates.elapsed_wd}",
+            "avg_daily_ytd_shipment": f"ytd_shipment / {dates.elapsed_year_wd}",
+        },
+    )
+    return with_values(
+        averages,
+        {
+            "mtd_landing": f"mtd_shipment + avg_daily_mtd_shipment * {dates.remaining_wd}",
+            "yearly_landing": f"ytd_shipment + avg_daily_ytd_shipment * {dates.remaining_year_wd}",
+        },
     )
 
 
 def add_achievement(df: DataFrame) -> DataFrame:
     """Variance and plain ratios against the prior year and the three targets."""
-    columns = {}
+    values = {}
     for period in ("mtd", "ytd"):
-        sold, prior = F.col(f"{period}_shipment"), F.col(f"{period}_py_shipment")
-        columns[f"{period}_variance_vs_py"] = sold - prior
-        columns[f"{period}_achievement_vs_py_pct"] = safe_divide(sold, prior)
+        sold, prior = f"{period}_shipment", f"{period}_py_shipment"
+        values[f"{period}_variance_vs_py"] = f"{sold} - {prior}"
+        values[f"{period}_achievement_vs_py_pct"] = safe_divide(sold, prior)
         for target in TARGETS:
-            columns[f"{period}_achievement_vs_{target}_pct"] = safe_divide(sold, F.col(f"{period}_target_{target}"))
+            values[f"{period}_achievement_vs_{target}_pct"] = safe_divide(sold, f"{period}_target_{target}")
     for target in TARGETS:
-        month, year = F.col(f"full_month_target_{target}"), F.col(f"full_year_target_{target}")
-        columns[f"mtd_landing_vs_{target}_pct"] = safe_divide(F.col("mtd_landing"), month)
-        columns[f"yearly_landing_vs_{target}_pct"] = safe_divide(F.col("yearly_landing"), year)
-    return df.withColumns(columns)
+        values[f"mtd_landing_vs_{target}_pct"] = safe_divide("mtd_landing", f"full_month_target_{target}")
+        values[f"yearly_landing_vs_{target}_pct"] = safe_divide("yearly_landing", f"full_year_target_{target}")
+    return with_values(df, values)
 
 
 def add_kpis(df: DataFrame, dates: ReportDates) -> DataFrame:
     return add_achievement(add_landing(add_stock_cover(df, dates), dates))
 
 
-def expand_units(df: DataFrame, volumes: list[str], hl_per_crate: float) -> DataFrame:
+def expand_units(df: DataFrame, volumes: Sequence[str], hl_per_crate: float) -> DataFrame:
     """Each row once in crates and once in hectolitres."""
-    units = F.array(
-        F.struct(F.lit("Crates").alias("uom"), F.lit(1.0).alias("factor")),
-        F.struct(F.lit("HL").alias("uom"), F.lit(hl_per_crate).alias("factor")),
-    )
-    rows = df.withColumn("unit", F.explode(units))
-    scaled = {name: F.col(name) * F.col("unit.factor") for name in volumes}
-    return rows.withColumns(scaled).withColumn("uom", F.col("unit.uom")).drop("unit")
-
-
+    units = f"array(struct('Crates' as uom, 1.0D as factor), struct('HL' as uom, {number(hl_per_crate)} as factor))"
+    rows = df.selectExpr("*", f"inline({units})")
+    kept = [f"{name} * factor as {name}" if name in volumes else name for name in df.columns]
+    return rows.selectExpr(*kept, "uom")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.config import BrandRules
-from cratewise.functions.numbers import total
+from cratewise.functions.numbers import totals
 from cratewise.functions.text import brand_display_name
 from cratewise.operators.targets import TARGET_MEASURES
 
@@ -36,27 +36,26 @@ DEPLETION_RANKS = {"mtd_depletion": 7, "ytd_depletion": 8}
 
 def metric_rows(conformed: DataFrame, measures: Sequence[str]) -> DataFrame:
     """A conformed fact cut to keys, spine columns and its own measures."""
-    rank = F.col("rank").cast("int") if "rank" in conformed.columns else F.lit(None).cast("int").alias("rank")
-    return conformed.select(*KEYS, "division", "agent", rank, *measures)
+    rank = "rank" if "rank" in conformed.columns else "cast(null as int) as rank"
+    return conformed.selectExpr(*KEYS, "division", "agent", rank, *measures)
 
 
 def metric_only(df: DataFrame, measures: Sequence[str]) -> DataFrame:
     """One row per key pair, measures summed and zero-filled."""
-    return df.groupBy(*KEYS).agg(*[total(F.col(m)).alias(m) for m in measures])
+    return df.groupBy(*KEYS).agg(*[F.expr(t) for t in totals(measures)])
 
 
-def spine_aggregates() -> list:
+def spine_aggregates() -> list[str]:
     """First non-null division and agent in source order, and whether a key counts."""
-    in_base = F.col("rank").isNotNull()
-    division_order = F.when(in_base & F.col("division").isNotNull(), F.struct("rank", "division"))
-    agent_order = F.when(
-        in_base & F.col("agent").isNotNull(),
-        F.struct("rank", F.col("division").isNull().alias("no_division"), "division", "agent"),
+    division_order = "if(rank is not null and division is not null, struct(rank, division), null)"
+    agent_order = (
+        "if(rank is not null and agent is not null, "
+        "struct(rank, division is null as no_division, division, agent), null)"
     )
     return [
-        F.min_by("division", division_order).alias("division"),
-        F.min_by("agent", agent_order).alias("agent"),
-        F.max(in_base).alias("in_base"),
+        f"min_by(division, {division_order}) as division",
+        f"min_by(agent, {agent_order}) as agent",
+        "max(rank is not null) as in_base",
     ]
 
 
@@ -68,17 +67,16 @@ def assemble(parts: Sequence[DataFrame]) -> DataFrame:
     """
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     present = [m for m in MEASURES if m in rows.columns]
-    summed = rows.groupBy(*KEYS).agg(*spine_aggregates(), *[total(F.col(m)).alias(m) for m in present])
+    summed = rows.groupBy(*KEYS).agg(*[F.expr(e) for e in spine_aggregates() + totals(present)])
     return summed.filter("in_base").drop("in_base")
 
 
 def key_spine(parts: Sequence[DataFrame], rules: BrandRules) -> DataFrame:
     """One division, agent and brand name per key pair."""
-    narrow = [part.select(*KEYS, "division", "agent", "rank") for part in parts]
-    rows = reduce(DataFrame.unionByName, narrow)
-    spine = rows.groupBy(*KEYS).agg(*spine_aggregates()).filter("in_base").drop("in_base")
-    return add_brand_name(spine, rules)
+    rows = reduce(DataFrame.unionByName, [part.select(*KEYS, "division", "agent", "rank") for part in parts])
+    spine = rows.groupBy(*KEYS).agg(*[F.expr(e) for e in spine_aggregates()])
+    return add_brand_name(spine.filter("in_base").drop("in_base"), rules)
 
 
 def add_brand_name(df: DataFrame, rules: BrandRules) -> DataFrame:
-    return df.withColumn("brand", brand_display_name(F.col("brand_kpi_key"), rules))
+    return df.selectExpr("*", f"{brand_display_name('brand_kpi_key', rules)} as brand")

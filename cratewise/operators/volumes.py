@@ -11,15 +11,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise import config as names
 from cratewise.config import ReportConfig
 from cratewise.functions.dates import date_from
 from cratewise.functions.numbers import number_from
+from cratewise.functions.sql import day, number, quoted
 from cratewise.operators.calendar import ReportDates
-from cratewise.sources.catalog import column, find_col, optional_col, text_or_null, type_of
+from cratewise.sources.catalog import find_col, optional_col, type_of
 
 SHIPMENT_NAMES = ("agent_raw", "item_raw")
 DEPLETION_NAMES = ("agent_raw", "item_raw", "dv_raw")
@@ -31,15 +32,15 @@ def shape_shipment(df: DataFrame, table: str, config: ReportConfig, with_cutoff:
     event = find_col(df, names.EVENT_DATE, table)
     crates = find_col(df, names.SHIPMENT_CRATES, table)
     columns = [
-        date_from(column(event), type_of(df, event)).alias("event_date"),
-        column(find_col(df, names.SHIPMENT_AGENT, table)).cast("string").alias("agent_raw"),
-        column(find_col(df, names.SHIPMENT_ITEM, table)).cast("string").alias("item_raw"),
-        number_from(column(crates), type_of(df, crates), config.number_mode).alias("crates"),
+        f"{date_from(quoted(event), type_of(df, event))} as event_date",
+        f"cast({quoted(find_col(df, names.SHIPMENT_AGENT, table))} as string) as agent_raw",
+        f"cast({quoted(find_col(df, names.SHIPMENT_ITEM, table))} as string) as item_raw",
+        f"{number_from(quoted(crates), type_of(df, crates), config.number_mode)} as crates",
     ]
     if with_cutoff:
         cutoff = find_col(df, names.CUTOFF_DATE, table)
-        columns.append(date_from(column(cutoff), type_of(df, cutoff)).alias("cutoff_date"))
-    return df.select(*columns)
+        columns.append(f"{date_from(quoted(cutoff), type_of(df, cutoff))} as cutoff_date")
+    return df.selectExpr(*columns)
 
 
 def shape_depletion(df: DataFrame, table: str, crate_names: Sequence[str], config: ReportConfig) -> DataFrame:
@@ -47,15 +48,16 @@ def shape_depletion(df: DataFrame, table: str, crate_names: Sequence[str], confi
     event = find_col(df, names.DEPLETION_DATE, table)
     in_hl = optional_col(df, names.DEPLETION_HL)
     volume = in_hl or find_col(df, crate_names, table)
-    crates = number_from(column(volume), type_of(df, volume), config.number_mode)
+    crates = number_from(quoted(volume), type_of(df, volume), config.number_mode)
     if in_hl:
-        crates = crates / F.lit(config.hl_per_crate)
-    return df.select(
-        date_from(column(event), type_of(df, event)).alias("event_date"),
-        column(find_col(df, names.DEPLETION_AGENT, table)).cast("string").alias("agent_raw"),
-        column(find_col(df, names.DEPLETION_ITEM, table)).cast("string").alias("item_raw"),
-        text_or_null(df, optional_col(df, names.DIVISION)).alias("dv_raw"),
-        crates.alias("crates"),
+        crates = f"{crates} / {number(config.hl_per_crate)}"
+    division = optional_col(df, names.DIVISION)
+    return df.selectExpr(
+        f"{date_from(quoted(event), type_of(df, event))} as event_date",
+        f"cast({quoted(find_col(df, names.DEPLETION_AGENT, table))} as string) as agent_raw",
+        f"cast({quoted(find_col(df, names.DEPLETION_ITEM, table))} as string) as item_raw",
+        f"cast({quoted(division) if division else 'null'} as string) as dv_raw",
+        f"{crates} as crates",
     )
 
 
@@ -96,17 +98,17 @@ def py_depletion_windows(dates: ReportDates) -> dict[str, Window]:
     }
 
 
-def in_window(day: Column, window: Window) -> Column:
+def in_window(window: Window) -> str:
     start, end = window
-    return day <= F.lit(end) if start is None else day.between(F.lit(start), F.lit(end))
+    until = f"event_date <= {day(end)}"
+    return until if start is None else f"event_date >= {day(start)} and {until}"
 
 
-def source_rank(windows: Mapping[str, Window], ranks: Mapping[str, int]) -> Column:
+def source_rank(windows: Mapping[str, Window], ranks: Mapping[str, int]) -> str:
     """Position of the first listed window a row falls into, null for none."""
-    rank = F.lit(None).cast("int")
-    for name, position in sorted(ranks.items(), key=lambda item: -item[1]):
-        rank = F.when(in_window(F.col("event_date"), windows[name]), F.lit(position)).otherwise(rank)
-    return rank
+    ordered = sorted(ranks, key=ranks.get)
+    branches = " ".join(f"when {in_window(windows[name])} then {ranks[name]}" for name in ordered)
+    return f"case {branches} end"
 
 
 def window_sums(
@@ -122,13 +124,10 @@ def window_sums(
     windows whose rows make a key part of the report. ``until`` cuts rows
     before any window is looked at.
     """
-    day = F.col("event_date")
     starts = [start for start, _ in windows.values()]
     last = max(end for _, end in windows.values())
-    kept = day <= F.lit(min(last, until) if until else last)
-    if None not in starts:
-        kept = kept & (day >= F.lit(min(starts)))
-    aggregates = [F.sum(F.when(in_window(day, window), F.col("crates"))).alias(name) for name, window in windows.items()]
+    kept = in_window((None if None in starts else min(starts), min(last, until) if until else last))
+    aggregates = [f"sum(if({in_window(window)}, crates, null)) as {name}" for name, window in windows.items()]
     if ranks:
-        aggregates.append(F.min(source_rank(windows, ranks)).alias("rank"))
-    return fact.filter(kept).groupBy(*by).agg(*aggregates)
+        aggregates.append(f"min({source_rank(windows, ranks)}) as rank")
+    return fact.filter(kept).groupBy(*by).agg(*[F.expr(aggregate) for aggregate in aggregates])

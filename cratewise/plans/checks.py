@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.functions.numbers import growth, safe_divide, show_number, show_percent, total
+from cratewise.functions.numbers import growth, safe_divide, show_number, show_percent, total, totals
+from cratewise.functions.sql import day, number, quoted, text
 from cratewise.operators import volumes
 from cratewise.operators.calendar import daily_volume
 from cratewise.plans.inputs import Inputs
@@ -29,16 +30,20 @@ PERIOD_MEASURES = (
 Styles = Mapping[str, int | str]
 
 
-def metric_values(row: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+def metric_values(row: DataFrame, values: Mapping[str, str]) -> DataFrame:
     """A single row turned into (metric, value) rows."""
-    pairs = F.array(*[F.struct(F.lit(n).alias("metric"), v.alias("value")) for n, v in values.items()])
-    return row.select(F.inline(pairs))
+    pairs = ", ".join(f"struct({text(name)} as metric, {value} as value)" for name, value in values.items())
+    return row.selectExpr(f"inline(array({pairs}))")
 
 
 def one_row(frames: Sequence[DataFrame]) -> DataFrame:
     """Sums of every column over the union of the frames."""
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return rows.agg(*[total(F.col(name)).alias(name) for name in rows.columns])
+    return rows.selectExpr(*totals(rows.columns))
+
+
+def summed_by(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(*[F.expr(t) for t in totals(columns)])
 
 
 # -- coverage lists ---------------------------------------------------------
@@ -81,29 +86,24 @@ def month_parse_check(shaped_targets: DataFrame) -> DataFrame:
 
 def target_totals(target_rows: DataFrame) -> DataFrame:
     columns = ("target_hl", "target_crates", "target_hl_to_date", "target_crates_to_date")
-    return target_rows.groupBy("target_type").agg(*[total(F.col(c)).alias(c) for c in columns])
+    return summed_by(target_rows, ["target_type"], columns)
 
 
 def shipment_totals(inputs: Inputs) -> DataFrame:
     """Actual, selected target and prior year with both variances, as (metric, value)."""
-    dates, config = inputs.dates, inputs.config
-    until = {"actual": dates.last_date, "py": dates.py_cutoff}
-    facts = {"actual": inputs.actual, "py": inputs.prior}
-    sums = [
-        facts[name].filter(F.col("event_date") <= F.lit(until[name])).agg(total(F.col("crates")).alias(name))
-        for name in facts
-    ]
-    selected = inputs.targets.filter(F.col("target_type") == config.selected_target_type)
-    row = one_row([*sums, selected.agg(total(F.col("target_crates_to_date")).alias("target"))])
-    actual, target, prior = F.col("actual"), F.col("target"), F.col("py")
+    dates = inputs.dates
+    actual = inputs.actual.filter(f"event_date <= {day(dates.last_date)}").selectExpr("crates as actual")
+    prior = inputs.prior.filter(f"event_date <= {day(dates.py_cutoff)}").selectExpr("crates as py")
+    selected = inputs.targets.filter(f"target_type = {text(inputs.config.selected_target_type)}")
+    row = one_row([one_row([actual]), one_row([prior]), one_row([selected.selectExpr("target_crates_to_date as target")])])
     return metric_values(
         row,
         {
-            "Actual Shipment Crates To Date": actual,
-            "Selected Target Crates To Date": target,
-            "Variance vs Target": actual - target,
-            "PY Shipment Crates Same Period": prior,
-            "Variance vs PY": actual - prior,
+            "Actual Shipment Crates To Date": "actual",
+            "Selected Target Crates To Date": "target",
+            "Variance vs Target": "actual - target",
+            "PY Shipment Crates Same Period": "py",
+            "Variance vs PY": "actual - py",
         },
     )
 
@@ -115,25 +115,22 @@ def reconciliation(inputs: Inputs, table: DataFrame) -> DataFrame:
         "source_mtd": (inputs.dates.month_start, inputs.dates.last_date),
     }
     source = volumes.window_sums(inputs.actual, windows, ())
-    final = table.agg(
-        total(F.col("ytd_shipment")).alias("final_ytd"), total(F.col("mtd_shipment")).alias("final_mtd")
-    )
-    row = one_row([source, final])
+    final = one_row([table.selectExpr("ytd_shipment as final_ytd", "mtd_shipment as final_mtd")])
     values = {}
     for period in ("ytd", "mtd"):
-        shown, from_source, from_table = period.upper(), F.col(f"source_{period}"), F.col(f"final_{period}")
-        values[f"Source {shown} Shipment Crates"] = from_source
-        values[f"Final {shown} Shipment Crates"] = from_table
-        values[f"{shown} Difference"] = from_table - from_source
-    return metric_values(row, values)
+        shown = period.upper()
+        values[f"Source {shown} Shipment Crates"] = f"source_{period}"
+        values[f"Final {shown} Shipment Crates"] = f"final_{period}"
+        values[f"{shown} Difference"] = f"final_{period} - source_{period}"
+    return metric_values(one_row([source, final]), values)
 
 
 def assert_reconciled(check: DataFrame) -> None:
     """Raises unless the rounded year-to-date totals agree."""
     names = ("Source YTD Shipment Crates", "Final YTD Shipment Crates")
-    rows = check.filter(F.col("metric").isin(*names)).select("metric", F.bround("value", 0).alias("value"))
-    totals = {row["metric"]: row["value"] for row in rows.take(len(names))}
-    source, final = (totals[name] for name in names)
+    chosen = check.filter(F.col("metric").isin(*names)).selectExpr("metric", "bround(value, 0) as value")
+    found = {row["metric"]: row["value"] for row in chosen.take(len(names))}
+    source, final = (found[name] for name in names)
     if source != final:
         raise ValueError(f"YTD shipment mismatch. Source = {source:,.0f}, final table = {final:,.0f}.")
 
@@ -151,47 +148,41 @@ def period_source_vs_merged(inputs: Inputs, table: DataFrame) -> DataFrame:
         volumes.window_sums(fact, {k: w for k, w in windows.items() if k in PERIOD_MEASURES}, (), until=until)
         for fact, windows, until in sources
     ]
-    merged = table.agg(*[total(F.col(m)).alias(f"merged_{m}") for m in PERIOD_MEASURES])
-    row = one_row([*parts, merged])
-    factor = inputs.config.hl_per_crate
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(m).alias("metric"),
-                F.col(m).alias("source_crates"),
-                F.col(f"merged_{m}").alias("merged_crates"),
-            )
-            for m in PERIOD_MEASURES
-        ]
+    merged = one_row([table.selectExpr(*[f"{m} as merged_{m}" for m in PERIOD_MEASURES])])
+    lines = ", ".join(
+        f"struct({text(m)} as metric, {m} as source_crates, merged_{m} as merged_crates)" for m in PERIOD_MEASURES
     )
-    return row.select(F.inline(lines)).withColumns(
-        {
-            "source_hl": F.col("source_crates") * factor,
-            "merged_hl": F.col("merged_crates") * factor,
-            "difference": F.col("merged_crates") - F.col("source_crates"),
-        }
+    factor = number(inputs.config.hl_per_crate)
+    return (
+        one_row([*parts, merged])
+        .selectExpr(f"inline(array({lines}))")
+        .selectExpr(
+            "*",
+            f"source_crates * {factor} as source_hl",
+            f"merged_crates * {factor} as merged_hl",
+            "merged_crates - source_crates as difference",
+        )
     )
 
 
 def date_range_check(inputs: Inputs) -> DataFrame:
     """Date range and row counts of sell-in up to the last date."""
     dates = inputs.dates
-    daily = daily_volume(inputs.actual).filter(F.col("event_date") <= F.lit(dates.last_date))
-    day, rows = F.col("event_date"), F.col("row_count")
-    in_week = day.between(F.lit(dates.week_start), F.lit(dates.report_day))
-    return daily.agg(
-        F.sum("positive_rows").alias("positive_rows"),
-        F.min(day).alias("min_date"),
-        F.max(day).alias("max_date"),
-        F.coalesce(F.sum(F.when(day == F.lit(dates.report_day), rows)), F.lit(0)).alias("last_day_rows"),
-        F.coalesce(F.sum(F.when(in_week, rows)), F.lit(0)).alias("wtd_rows"),
+    report_day = day(dates.report_day)
+    daily = daily_volume(inputs.actual).filter(f"event_date <= {day(dates.last_date)}")
+    return daily.selectExpr(
+        "sum(positive_rows) as positive_rows",
+        "min(event_date) as min_date",
+        "max(event_date) as max_date",
+        f"coalesce(sum(if(event_date = {report_day}, row_count, null)), 0) as last_day_rows",
+        f"coalesce(sum(if(event_date between {day(dates.week_start)} and {report_day}, row_count, null)), 0) as wtd_rows",
     )
 
 
 def totals_by_uom(report: DataFrame) -> DataFrame:
     """Thirteen totals per unit as (uom, metric, value)."""
-    summed = report.groupBy("uom").agg(*[total(F.col(m)).alias(m) for m in TOTAL_MEASURES])
-    return with_report_names(summed).unpivot(["UOM"], None, "metric", "value")
+    summed = with_report_names(summed_by(report, ["uom"], TOTAL_MEASURES))
+    return summed.unpivot(["UOM"], None, "metric", "value")
 
 
 def totals_by_uom_type(extract: DataFrame) -> DataFrame:
@@ -199,33 +190,30 @@ def totals_by_uom_type(extract: DataFrame) -> DataFrame:
         "MTD_Sales", "MTD_Target", "MTD_Depletion", "YTD_Sales", "YTD_Target", "YTD_Depletion",
         "MTD_PY", "YTD_PY", "Beginning_Stock", "Stock_per_Agent", "Avg_Daily_Depletion",
     )
-    summed = extract.groupBy("UOM", "Target Type").agg(*[total(F.col(c)).alias(c) for c in columns])
-    return summed.withColumns(
-        {
-            "MTD Ach": growth(F.col("MTD_Sales"), F.col("MTD_Target")),
-            "YTD Ach": growth(F.col("YTD_Sales"), F.col("YTD_Target")),
-            "Days of Stock": safe_divide(F.col("Stock_per_Agent"), F.col("Avg_Daily_Depletion")),
-        }
+    return summed_by(extract, ["UOM", "Target Type"], columns).selectExpr(
+        "*",
+        f"{growth('MTD_Sales', 'MTD_Target')} as `MTD Ach`",
+        f"{growth('YTD_Sales', 'YTD_Target')} as `YTD Ach`",
+        f"{safe_divide('Stock_per_Agent', 'Avg_Daily_Depletion')} as `Days of Stock`",
     )
 
 
 def stock_totals(extract: DataFrame) -> DataFrame:
+    sums = totals(["Beginning_Stock", "Avg_Daily_Depletion"])
     return extract.groupBy("UOM", "Target Type").agg(
-        total(F.col("Beginning_Stock")).alias("Beginning_Stock"),
-        total(F.col("Stock_per_Agent")).alias("Stock_Balance"),
-        total(F.col("Avg_Daily_Depletion")).alias("Avg_Daily_Depletion"),
-        F.avg("`Days of Stock`").alias("Days_of_Stock"),
+        *[F.expr(s) for s in sums],
+        F.expr(total("Stock_per_Agent", "Stock_Balance")),
+        F.expr("avg(`Days of Stock`) as Days_of_Stock"),
     )
 
 
 def stock_before_after(rows: DataFrame) -> DataFrame:
     """Stock per unit before and after the source figures replace the carried ones."""
     return rows.groupBy("UOM").agg(
-        total(F.col("Carried_Stock")).alias("Beginning_Stock_Before"),
-        total(F.col("Beginning_Stock")).alias("Beginning_Stock_After"),
-        total(F.col("Stock_per_Agent")).alias("Stock_Balance_After"),
-        total(F.col("MTD_Sales")).alias("MTD_Sales"),
-        total(F.col("MTD_Depletion")).alias("MTD_Depletion"),
+        F.expr(total("Carried_Stock", "Beginning_Stock_Before")),
+        F.expr(total("Beginning_Stock", "Beginning_Stock_After")),
+        F.expr(total("Stock_per_Agent", "Stock_Balance_After")),
+        *[F.expr(s) for s in totals(["MTD_Sales", "MTD_Depletion"])],
     )
 
 
@@ -234,7 +222,7 @@ def period_totals(extract: DataFrame) -> DataFrame:
         "Last_Day_Sales", "Last_Day_Target", "Last_Day_Depletion",
         "WTD_Sales", "WTD_Target", "WTD_Depletion", "MTD_Sales", "YTD_Sales",
     )
-    return extract.groupBy("UOM", "Target Type").agg(*[total(F.col(c)).alias(c) for c in columns])
+    return summed_by(extract, ["UOM", "Target Type"], columns)
 
 
 def zero_period_rows(totals: DataFrame) -> DataFrame:
@@ -252,11 +240,16 @@ def distinct_labels(extract: DataFrame) -> DataFrame:
 
 def display_text(df: DataFrame, styles: Styles) -> DataFrame:
     """Chosen columns as text for reading; null shows as zero."""
-    shown = {}
-    for name, style in styles.items():
-        value = F.coalesce(F.col(f"`{name}`"), F.lit(0.0))
-        shown[name] = show_number(value, style) if isinstance(style, int) else show_percent(value, style == "+%")
-    return df.withColumns(shown)
+    shown = []
+    for name in df.columns:
+        style, value = styles.get(name), f"coalesce({quoted(name)}, 0.0D)"
+        if style is None:
+            shown.append(quoted(name))
+        elif isinstance(style, int):
+            shown.append(f"{show_number(value, style)} as {quoted(name)}")
+        else:
+            shown.append(f"{show_percent(value, style == '+%')} as {quoted(name)}")
+    return df.selectExpr(*shown)
 
 
 def preview(df: DataFrame, order: Sequence[Column], rows: int) -> DataFrame:

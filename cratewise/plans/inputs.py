@@ -6,10 +6,10 @@ from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cratewise import config as names
 from cratewise.config import ReportConfig
+from cratewise.functions.sql import day
 from cratewise.operators import calendar as cal
 from cratewise.operators import mdm, metrics, stock, targets, volumes
 from cratewise.operators.calendar import ReportDates
@@ -29,7 +29,7 @@ class Inputs:
 
     @cached_property
     def brands(self) -> DataFrame:
-        return mdm.brand_dimension(self.tables["brand_left"])
+        return mdm.brand_dimension(self.tables["brand_left"], self.config.brand_rules)
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -65,7 +65,7 @@ class Inputs:
 
     @cached_property
     def dates(self) -> ReportDates:
-        return ReportDates.resolve(cal.report_dates(self.actual, self.calendar))
+        return ReportDates.resolve(cal.report_dates(self.calendar, *cal.last_dates(self.actual)))
 
     @cached_property
     def month_progress(self) -> DataFrame:
@@ -74,7 +74,7 @@ class Inputs:
     @cached_property
     def targets(self) -> DataFrame:
         """Target rows, conformed and phased to date."""
-        conformed = targets.conform_targets(self.shaped_targets, self.brands)
+        conformed = targets.conform_targets(self.shaped_targets, self.brands, self.config)
         return targets.target_to_date(conformed, self.month_progress)
 
     @cached_property
@@ -83,7 +83,7 @@ class Inputs:
 
     def shipment_rows(self) -> DataFrame:
         """Sell-in rows up to the last date with conformed names."""
-        rows = self.actual.filter(F.col("event_date") <= F.lit(self.dates.last_date))
+        rows = self.actual.filter(f"event_date <= {day(self.dates.last_date)}")
         return mdm.conform_shipment(rows, self.agents, self.brands, self.config.brand_rules)
 
     def shipment(self, *, to_date: bool = False) -> DataFrame:

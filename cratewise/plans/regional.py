@@ -6,21 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.functions.numbers import safe_divide, total
+from cratewise.functions.sql import number
 from cratewise.operators.targets import selected_target_by_region
 from cratewise.plans.inputs import Inputs
 
 
 def by_region(conformed: DataFrame, prefix: str, hl_per_crate: float) -> DataFrame:
-    crates = total(F.col("to_date"))
+    crates = total("to_date")
     return conformed.groupBy(F.col("division").alias("dv")).agg(
-        crates.alias(f"{prefix}_shipment_crates"), (crates * hl_per_crate).alias(f"{prefix}_shipment_hl")
+        F.expr(f"{crates} as {prefix}_shipment_crates"),
+        F.expr(f"{crates} * {number(hl_per_crate)} as {prefix}_shipment_hl"),
     )
 
 
 def attach_by_region(left: DataFrame, right: DataFrame) -> DataFrame:
     """Left join in which a null region meets the null region."""
     renamed = right.withColumnRenamed("dv", "right_dv")
-    return left.join(renamed, F.col("dv").eqNullSafe(F.col("right_dv")), "left").drop("right_dv")
+    return left.join(renamed, F.expr("dv <=> right_dv"), "left").drop("right_dv")
 
 
 def regional_report(inputs: Inputs) -> DataFrame:
@@ -33,17 +35,13 @@ def regional_report(inputs: Inputs) -> DataFrame:
     joined = attach_by_region(joined, by_region(inputs.py_shipment(to_date=True), "py", factor))
     volumes = [f"{p}_shipment_{u}" for p in ("actual", "py") for u in ("crates", "hl")]
     report = joined.na.fill(0.0, subset=volumes)
-    actual, prior = F.col("actual_shipment_crates"), F.col("py_shipment_crates")
-    grand_total = report.agg(F.sum("actual_shipment_crates")).scalar()
-    return (
-        report.withColumns(
-            {
-                "variance_vs_target_crates": actual - F.col("target_crates_to_date"),
-                "achievement_pct": safe_divide(actual, F.col("target_crates_to_date")),
-                "variance_vs_py_crates": actual - prior,
-                "growth_vs_py_pct": safe_divide(actual - prior, prior),
-                "contribution_pct": safe_divide(actual, grand_total),
-            }
-        )
-        .orderBy(F.desc_nulls_last("actual_shipment_crates"))
-    )
+    # The grand total is a scalar subquery, not a window over all rows.
+    with_total = report.withColumn("grand_total", report.agg(F.sum("actual_shipment_crates")).scalar())
+    return with_total.selectExpr(
+        *report.columns,
+        "actual_shipment_crates - target_crates_to_date as variance_vs_target_crates",
+        f"{safe_divide('actual_shipment_crates', 'target_crates_to_date')} as achievement_pct",
+        "actual_shipment_crates - py_shipment_crates as variance_vs_py_crates",
+        f"{safe_divide('(actual_shipment_crates - py_shipment_crates)', 'py_shipment_crates')} as growth_vs_py_pct",
+        f"{safe_divide('actual_shipment_crates', 'grand_total')} as contribution_pct",
+    ).orderBy(F.desc_nulls_last("actual_shipment_crates"))

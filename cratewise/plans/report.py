@@ -21,7 +21,7 @@ from cratewise.sources.catalog import assert_unique_columns, register_views, req
 class ReportBundle:
     """Lazy reports over one set of inputs.
 
-    With ``reuse`` the metric table, the opening stock and the extract rows
+    With ``reuse`` the metric table, the conformed stock and the extract rows
     are checkpointed once, since many outputs read them.
     """
 
@@ -35,8 +35,11 @@ class ReportBundle:
         return self._keep(wide.metric_table(self.inputs))
 
     @cached_property
+    def conformed_stock(self) -> DataFrame:
+        return self._keep(self.inputs.stock())
+
     def opening_stock(self) -> DataFrame:
-        return self._keep(stock.opening_stock(self.inputs.stock()))
+        return stock.opening_stock(self.conformed_stock)
 
     @cached_property
     def kpi_wide(self) -> DataFrame:
@@ -48,7 +51,7 @@ class ReportBundle:
 
     @cached_property
     def extract_rows(self) -> DataFrame:
-        rows = extract_rows(self.metric_table, self.opening_stock, self.inputs.dates, self.config)
+        rows = extract_rows(self.metric_table, self.conformed_stock, self.inputs.dates, self.config)
         return self._keep(rows)
 
     @cached_property

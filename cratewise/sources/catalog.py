@@ -6,11 +6,12 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cratewise.config import REQUIRED_TABLES
+from cratewise.functions.sql import number, quoted
 
 ROW_ID = "_row_id"
 FACT_SOURCE = "fact_source"
@@ -113,11 +114,6 @@ def register_views(tables: Mapping[str, DataFrame]) -> list[str]:
     return names
 
 
-def column(name: str) -> Column:
-    """Reference to a header that may hold dots, spaces or commas."""
-    return F.col(f"`{name}`")
-
-
 def find_col(df: DataFrame, candidates: Iterable[str], table: str) -> str:
     """First candidate header that is present."""
     candidates = list(candidates)
@@ -134,10 +130,6 @@ def optional_col(df: DataFrame, candidates: Iterable[str]) -> str | None:
     return next((name for name in candidates if name in present), None)
 
 
-def text_or_null(df: DataFrame, name: str | None) -> Column:
-    return column(name).cast("string") if name else F.lit(None).cast("string")
-
-
 def type_of(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
@@ -151,9 +143,9 @@ def assert_unique_columns(df: DataFrame) -> DataFrame:
 
 def ensure_columns(df: DataFrame, aliases: Mapping[str, Iterable[str]], default: float = 0.0) -> DataFrame:
     """Adds each missing column as a copy of its first present alias, else a constant."""
-    added = {}
+    added = []
     for name, candidates in aliases.items():
         if name not in df.columns:
             source = optional_col(df, candidates)
-            added[name] = column(source) if source else F.lit(default)
-    return df.withColumns(added) if added else df
+            added.append(f"{quoted(source) if source else number(default)} as {quoted(name)}")
+    return df.selectExpr("*", *added) if added else df

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,17 +35,22 @@ class SampleTables(Mapping):
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._read: dict[str, DataFrame] = {}
         self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
+    @cached_property
     def lines(self) -> DataFrame:
         """Line items with the supplier and brand names, columns pruned by use."""
         supplier = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
         part = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
         return self.table("lineitem").join(supplier, "l_suppkey").join(part, "l_partkey")
 
+    @cached_property
     def agents(self) -> DataFrame:
         nation = self.table("nation").select(
             F.col("n_nationkey").alias("s_nationkey"), F.col("n_regionkey").alias("r_regionkey")
@@ -60,7 +66,7 @@ class SampleTables(Mapping):
 
     def agent_left(self) -> DataFrame:
         return (
-            self.agents()
+            self.agents
             .filter(F.col("s_suppkey") % 10 != 9)
             .select(
                 F.col("s_name").alias("Name(S4H_C4C)"),
@@ -101,7 +107,7 @@ class SampleTables(Mapping):
 
     def shipment(self, year: int, until: date | None = None) -> DataFrame:
         return (
-            self.lines()
+            self.lines
             .filter(year_range("l_shipdate", year, until))
             .select(
                 F.col("l_shipdate").alias("Date"),
@@ -118,7 +124,7 @@ class SampleTables(Mapping):
             .select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
         )
         return (
-            self.lines()
+            self.lines
             .join(orders, "l_orderkey")
             .select(
                 F.col("o_orderdate").alias("Date"),
@@ -128,6 +134,7 @@ class SampleTables(Mapping):
             )
         )
 
+    @cached_property
     def plan_volume(self) -> DataFrame:
         """Prior-year crates by agent, brand and month number, which the targets scale."""
         part = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
@@ -138,10 +145,10 @@ class SampleTables(Mapping):
             .groupBy(F.col("l_suppkey").alias("s_suppkey"), "p_brand", F.month("l_shipdate").alias("month"))
             .agg(F.sum("l_quantity").alias("crates"))
         )
-        return volume.join(self.agents(), "s_suppkey")
+        return volume.join(self.agents, "s_suppkey")
 
     def target(self, month: Column, value: Column, value_name: str, agent: str, brand: str) -> DataFrame:
-        return self.plan_volume().select(
+        return self.plan_volume.select(
             month.alias("Month"),
             F.col("division").alias("Division"),
             F.col("s_name").alias(agent),
@@ -163,7 +170,7 @@ class SampleTables(Mapping):
         return self.target(month, value, "Target, HL", "Agent", "Item Description")
 
     def stock(self) -> DataFrame:
-        halves = self.lines().filter(year_range("l_shipdate", CURRENT_YEAR, date(CURRENT_YEAR, 6, 30)))
+        halves = self.lines.filter(year_range("l_shipdate", CURRENT_YEAR, date(CURRENT_YEAR, 6, 30)))
         per_agent = halves.groupBy("s_name").pivot("p_brand", BRANDS).agg(F.sum("l_quantity"))
         snapshots = F.array(
             *[F.struct(F.lit(day).alias("day"), F.lit(float(cut)).alias("cut")) for day, cut in SNAPSHOTS]

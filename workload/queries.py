@@ -16,6 +16,7 @@ from cratewise.config import BrandRules
 from cratewise.functions import dates as fd
 from cratewise.functions import numbers as fn
 from cratewise.functions import text as ft
+from cratewise.functions.sql import quoted
 from cratewise.operators import calendar as cal
 from cratewise.operators import kpi, mdm, metrics, stock, targets
 from cratewise.plans import checks
@@ -43,11 +44,12 @@ def rounded(df: DataFrame) -> DataFrame:
     """Doubles to their comparison precision; negative zero becomes zero."""
     columns = []
     for field in df.schema.fields:
-        value = F.col(f"`{field.name}`")
+        value = quoted(field.name)
         if isinstance(field.dataType, T.DoubleType):
-            value = (F.round(value, 8 if is_ratio(field.name) else 4) + F.lit(0.0)).alias(field.name)
+            scale = "1e8D" if is_ratio(field.name) else "1e4D"
+            value = f"rint({value} * {scale}) / {scale} + 0.0D as {value}"
         columns.append(value)
-    return df.select(*columns)
+    return df.selectExpr(*columns)
 
 
 class Run:
@@ -76,10 +78,8 @@ def query(build: Callable[[Run], DataFrame]) -> Callable[[Run], DataFrame]:
 def name_sums(conformed: DataFrame, measures: list[str]) -> DataFrame:
     """Measures by division, agent and brand key; groups outside every window are left out."""
     grouped = conformed.groupBy("division", "agent_key", "agent", "brand_kpi_key")
-    present = F.coalesce(*[F.col(m) for m in measures]).isNotNull()
-    kept = grouped.agg(
-        F.max(present).alias("present"), *[fn.total(F.col(m)).alias(m) for m in measures]
-    )
+    present = f"max(coalesce({', '.join(measures)}) is not null) as present"
+    kept = grouped.agg(F.expr(present), *[F.expr(t) for t in fn.totals(measures)])
     return kept.filter("present").drop("present")
 
 
@@ -126,7 +126,7 @@ def agent_mdm(run: Run) -> DataFrame:
 
 @query
 def brand_mdm(run: Run) -> DataFrame:
-    return run.inputs.brands
+    return run.inputs.brands.select("brand_key", "reporting_name", "brand_kpi_key")
 
 
 @query
@@ -138,26 +138,23 @@ def agent_conform(run: Run) -> DataFrame:
 
 @query
 def clean_text_keys(run: Run) -> DataFrame:
-    key = ft.clean_text(F.concat(F.lit(" \t"), F.col("text"), F.lit("   \n")))
-    return run.table("documents").select("doc_id", F.md5(key).alias("key_hash"), F.length(key).alias("key_length"))
+    padded = "concat(' \\t', text, '   \\n')"
+    keys = run.table("documents").selectExpr("doc_id", f"{ft.clean_text(padded)} as key")
+    return keys.selectExpr("doc_id", "md5(key) as key_hash", "cast(length(key) as bigint) as key_length")
 
 
 @query
 def proper_text_names(run: Run) -> DataFrame:
-    shown = ft.proper_text(F.col("text"))
-    return run.table("documents").select("doc_id", F.md5(shown).alias("text_hash"), F.length(shown).alias("text_length"))
+    shown = run.table("documents").selectExpr("doc_id", f"{ft.proper_text('text')} as shown")
+    return shown.selectExpr("doc_id", "md5(shown) as text_hash", "cast(length(shown) as bigint) as text_length")
 
 
 @query
 def brand_kpi_keys(run: Run) -> DataFrame:
-    text = F.concat(F.col("p_name"), F.lit(" Beer  Crate 24x33 "), F.col("p_type"))
-    key = ft.brand_kpi_key(text, FAMILY_RULES)
-    return run.table("part").select(
-        "p_partkey",
-        key.alias("brand_kpi_key"),
-        ft.brand_display_name(key, FAMILY_RULES).alias("brand"),
-        ft.brand_kpi_key(F.col("p_brand"), BrandRules()).alias("plain_key"),
-    )
+    key = ft.brand_kpi_key("concat(p_name, ' Beer  Crate 24x33 ', p_type)", FAMILY_RULES)
+    plain = ft.brand_kpi_key("p_brand", BrandRules())
+    keys = run.table("part").selectExpr("p_partkey", f"{key} as brand_kpi_key", f"{plain} as plain_key")
+    return keys.selectExpr("*", f"{ft.brand_display_name('brand_kpi_key', FAMILY_RULES)} as brand")
 
 
 def amount_text() -> Column:
@@ -178,12 +175,14 @@ def amount_text() -> Column:
 
 @query
 def to_number_compat(run: Run) -> DataFrame:
-    return run.table("orders").select("o_orderkey", fn.to_number(amount_text(), "compat").alias("amount"))
+    orders = run.table("orders").select("o_orderkey", amount_text().alias("t"))
+    return orders.selectExpr("o_orderkey", f"{fn.to_number('t', 'compat')} as amount")
 
 
 @query
 def to_number_signed(run: Run) -> DataFrame:
-    return run.table("orders").select("o_orderkey", fn.to_number(amount_text(), "signed").alias("amount"))
+    orders = run.table("orders").select("o_orderkey", amount_text().alias("t"))
+    return orders.selectExpr("o_orderkey", f"{fn.to_number('t', 'signed')} as amount")
 
 
 @query
@@ -198,9 +197,8 @@ def unit_and_type_labels(run: Run) -> DataFrame:
         .when(F.col("o_orderkey") % 4 == 2, "aop ")
         .otherwise(F.col("o_orderstatus"))
     )
-    labels = run.table("orders").select(
-        ft.normalize_uom(uom).alias("uom"), ft.normalize_target_type(kind).alias("target_type")
-    )
+    labels = run.table("orders").select(uom.alias("u"), kind.alias("k"))
+    labels = labels.selectExpr(f"{ft.normalize_uom('u')} as uom", f"{ft.normalize_target_type('k')} as target_type")
     return labels.groupBy("uom", "target_type").agg(F.count("*").alias("row_count"))
 
 
@@ -224,7 +222,8 @@ def date_text() -> Column:
 
 @query
 def dayfirst_parse(run: Run) -> DataFrame:
-    return run.table("orders").select("o_orderkey", fd.parse_date(date_text()).alias("order_day"))
+    orders = run.table("orders").select("o_orderkey", date_text().alias("t"))
+    return orders.selectExpr("o_orderkey", f"{fd.parse_date('t')} as order_day")
 
 
 def month_text() -> Column:
@@ -246,17 +245,17 @@ def month_text() -> Column:
 
 @query
 def target_month_parse(run: Run) -> DataFrame:
-    parsed = fd.parse_target_month(month_text(), SAMPLE_CONFIG.default_target_year)
-    rows = run.table("orders").select(month_text().alias("month_raw"), parsed.alias("month_start"))
-    return rows.groupBy("month_raw", "month_start").agg(F.count("*").alias("row_count"))
+    counted = run.table("orders").groupBy(month_text().alias("month_raw")).agg(F.count("*").alias("row_count"))
+    parsed = fd.parse_target_month("month_raw", SAMPLE_CONFIG.default_target_year)
+    return counted.selectExpr("*", f"{parsed} as month_start")
 
 
 @query
 def py_day_map(run: Run) -> DataFrame:
     """Order days on the report year's calendar, with the working-day flag found there."""
     days = run.table("orders").groupBy(F.to_date("o_orderdate").alias("order_day")).agg(F.count("*").alias("row_count"))
-    mapped = fd.same_day_in_year(F.col("order_day"), SAMPLE_CONFIG.default_target_year)
-    return cal.with_working_day(days.withColumn("mapped_day", mapped), F.col("mapped_day"), run.inputs.calendar)
+    mapped = fd.same_day_in_year("order_day", SAMPLE_CONFIG.default_target_year)
+    return cal.with_working_day(days.selectExpr("*", f"{mapped} as mapped_day"), "mapped_day", run.inputs.calendar)
 
 
 @query
@@ -266,8 +265,8 @@ def working_day_flag(run: Run) -> DataFrame:
     flag = F.lit(None).cast("string")
     for position, token in enumerate(tokens):
         flag = F.when(style == position, F.lit(token)).otherwise(flag)
-    rows = run.table("lineitem").select(flag.alias("flag"), ft.working_day_flag(flag).alias("is_working_day"))
-    return rows.groupBy("flag", "is_working_day").agg(F.count("*").alias("row_count"))
+    counted = run.table("lineitem").groupBy(flag.alias("flag")).agg(F.count("*").alias("row_count"))
+    return counted.selectExpr("*", f"{ft.working_day_flag('flag')} as is_working_day")
 
 
 @query
@@ -278,12 +277,12 @@ def month_progress(run: Run) -> DataFrame:
 @query
 def month_progress_check(run: Run) -> DataFrame:
     ordered = run.inputs.month_progress.orderBy("month_start")
-    return ordered.withColumn("shown", fn.show_percent(F.col("ratio")))
+    return ordered.selectExpr("*", f"{fn.show_percent('ratio')} as shown")
 
 
 @query
 def report_dates(run: Run) -> DataFrame:
-    return cal.report_dates(run.inputs.actual, run.inputs.calendar)
+    return cal.report_dates(run.inputs.calendar, *cal.last_dates(run.inputs.actual))
 
 
 @query
@@ -296,7 +295,7 @@ def date_range_check(run: Run) -> DataFrame:
 
 @query
 def target_conform(run: Run) -> DataFrame:
-    conformed = targets.conform_targets(run.inputs.shaped_targets, run.inputs.brands)
+    conformed = targets.conform_targets(run.inputs.shaped_targets, run.inputs.brands, SAMPLE_CONFIG)
     return conformed.select(
         "target_type", "month_raw", "month_start", "dv", "agent", "original_brand", "brand_key",
         "reporting_name", "brand_match", "source_uom", "target_hl", "target_crates",
@@ -350,7 +349,7 @@ def target_sums(run: Run, windows: tuple[str, ...]) -> DataFrame:
     columns = [targets.target_column(w, t) for w in windows for t in targets.TARGET_TYPES]
     keys = ("division", "agent_key", "agent", "brand_kpi_key")
     rows = run.inputs.target_sums().na.drop("any", subset=list(keys))
-    return rows.groupBy(*keys).agg(*[fn.total(F.col(c)).alias(c) for c in columns])
+    return rows.groupBy(*keys).agg(*[F.expr(t) for t in fn.totals(columns)])
 
 
 @query

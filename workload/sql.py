@@ -62,9 +62,9 @@ def quoted(name: str) -> str:
     return f'"{name}"'
 
 
-def num(expression: str, alias: str, places: int | None = None) -> str:
-    places = (8 if is_ratio(alias) else 4) if places is None else places
-    return f"round(CAST({expression} AS DOUBLE), {places}) + 0.0 AS {quoted(alias)}"
+def num(expression: str, alias: str) -> str:
+    scale = "1e8" if is_ratio(alias) else "1e4"
+    return f"round_even(CAST({expression} AS DOUBLE) * {scale}::DOUBLE, 0) / {scale}::DOUBLE + 0.0 AS {quoted(alias)}"
 
 
 def total(expression: str) -> str:
@@ -478,14 +478,14 @@ BODIES: dict[str, str] = {
     "last_day_wtd_shipment": name_sums("last_day_shipment", "wtd_shipment"),
     "last_day_wtd_depletion": name_sums("last_day_depletion", "wtd_depletion"),
     "agent_mdm": "SELECT agent_source_key, agent_key, agent, division FROM dim_agent",
-    "brand_mdm": "SELECT brand_key, reporting_name FROM dim_brand",
+    "brand_mdm": f"SELECT brand_key, reporting_name, {brand_key('reporting_name')} AS brand_kpi_key FROM dim_brand",
     "agent_conform": """SELECT source AS agent_source_name, agent, agent_key, division,
         CASE WHEN division IS NULL THEN 'Not Matched' ELSE 'Matched' END AS agent_match,
         CASE WHEN brand_known THEN 'Matched' ELSE 'Not Matched' END AS brand_match,
         count(*) AS row_count, sum(crates) AS crates FROM actual GROUP BY ALL""",
-    "clean_text_keys": f"""SELECT doc_id, md5(k) AS key_hash, length(k) AS key_length
+    "clean_text_keys": f"""SELECT doc_id, md5(k) AS key_hash, CAST(length(k) AS BIGINT) AS key_length
         FROM (SELECT doc_id, {clean("' ' || chr(9) || text || '   ' || chr(10)")} AS k FROM documents)""",
-    "proper_text_names": f"""SELECT doc_id, md5(k) AS text_hash, length(k) AS text_length
+    "proper_text_names": f"""SELECT doc_id, md5(k) AS text_hash, CAST(length(k) AS BIGINT) AS text_length
         FROM (SELECT doc_id, {proper('text')} AS k FROM documents)""",
     "brand_kpi_keys": f"""SELECT p_partkey, key AS brand_kpi_key, {FAMILY_SHOWN} ELSE {title('key')} END AS brand, plain_key
         FROM (SELECT p_partkey, {FAMILY_KEY} AS key, plain_key
