@@ -143,10 +143,14 @@ class ReportConfig:
     def with_options(self, **changes) -> ReportConfig:
         return replace(self, **changes)
 
+    @staticmethod
+    def from_dict(raw: dict) -> ReportConfig:
+        values = dict(raw)
+        if "brand_rules" in values:
+            values["brand_rules"] = BrandRules.from_dict(values["brand_rules"])
+        return ReportConfig(**values)
+
     @staticmethod
     def from_json(path: str) -> ReportConfig:
         with open(path, encoding="utf-8") as handle:
-            raw = json.load(handle)
-        if "brand_rules" in raw:
-            raw["brand_rules"] = BrandRules.from_dict(raw["brand_rules"])
-        return ReportConfig(**raw)
+            return ReportConfig.from_dict(json.load(handle))

@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cratewise.functions.dates import same_day_in_year
 from cratewise.functions.numbers import growth, safe_divide, show_number, show_percent, total, totals
 from cratewise.functions.sql import day, number, quoted, text
 from cratewise.operators import volumes
-from cratewise.operators.calendar import daily_volume
+from cratewise.operators.calendar import daily_volume, with_working_day
 from cratewise.plans.inputs import Inputs
 from cratewise.plans.wide import with_report_names
 
@@ -94,7 +95,7 @@ def shipment_totals(inputs: Inputs) -> DataFrame:
     dates = inputs.dates
     actual = inputs.actual.filter(f"event_date <= {day(dates.last_date)}").selectExpr("crates as actual")
     prior = inputs.prior.filter(f"event_date <= {day(dates.py_cutoff)}").selectExpr("crates as py")
-    selected = inputs.targets.filter(f"target_type = {text(inputs.config.selected_target_type)}")
+    selected = inputs.phased_targets.filter(f"target_type = {text(inputs.config.selected_target_type)}")
     row = one_row([one_row([actual]), one_row([prior]), one_row([selected.selectExpr("target_crates_to_date as target")])])
     return metric_values(
         row,
@@ -165,6 +166,25 @@ def period_source_vs_merged(inputs: Inputs, table: DataFrame) -> DataFrame:
     )
 
 
+def working_day_split(inputs: Inputs) -> DataFrame:
+    """Sell-in of both years by working and other days; a prior-year day takes the
+    flag of the same day in the current year."""
+    dates = inputs.dates
+    facts = {
+        "Actual Shipment": (inputs.actual, dates.last_date, "event_date"),
+        "PY Shipment": (inputs.prior, dates.py_cutoff, same_day_in_year("event_date", dates.last_date.year)),
+    }
+    parts = []
+    for label, (fact, until, calendar_day) in facts.items():
+        kept = fact.filter(f"event_date <= {day(until)}")
+        daily = kept.groupBy("event_date").agg(F.expr("count(*) as row_count"), F.expr(total("crates", "crates")))
+        parts.append(daily.selectExpr(f"{text(label)} as source", f"{calendar_day} as day", "row_count", "crates"))
+    flagged = with_working_day(parts[0].unionByName(parts[1]), "day", inputs.calendar)
+    return flagged.groupBy("source", "is_working_day").agg(
+        F.expr("sum(row_count) as row_count"), F.expr(total("crates", "crates"))
+    )
+
+
 def date_range_check(inputs: Inputs) -> DataFrame:
     """Date range and row counts of sell-in up to the last date."""
     dates = inputs.dates

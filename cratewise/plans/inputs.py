@@ -71,11 +71,15 @@ class Inputs:
     def month_progress(self) -> DataFrame:
         return cal.month_progress(self.calendar, self.dates.last_date)
 
+    @cached_property
+    def phased_targets(self) -> DataFrame:
+        """Target rows phased to date, for totals that need no brand lookup."""
+        return targets.target_to_date(self.shaped_targets, self.month_progress)
+
     @cached_property
     def targets(self) -> DataFrame:
-        """Target rows, conformed and phased to date."""
-        conformed = targets.conform_targets(self.shaped_targets, self.brands, self.config)
-        return targets.target_to_date(conformed, self.month_progress)
+        """Target rows phased to date, with their brand names."""
+        return targets.conform_targets(self.phased_targets, self.brands, self.config)
 
     @cached_property
     def stock_long(self) -> DataFrame:

@@ -29,7 +29,7 @@ def regional_report(inputs: Inputs) -> DataFrame:
     """One row per region with a selected target, largest sell-in first."""
     factor = inputs.config.hl_per_crate
     joined = attach_by_region(
-        selected_target_by_region(inputs.targets, inputs.config.selected_target_type),
+        selected_target_by_region(inputs.phased_targets, inputs.config.selected_target_type),
         by_region(inputs.shipment(to_date=True), "actual", factor),
     )
     joined = attach_by_region(joined, by_region(inputs.py_shipment(to_date=True), "py", factor))

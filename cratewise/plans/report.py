@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.config import ReportConfig
-from cratewise.operators import metrics, stock, targets
+from cratewise.operators import calendar, metrics, stock, targets
 from cratewise.plans import checks, wide
 from cratewise.plans.extract import extract_rows, final_extract
 from cratewise.plans.inputs import Inputs
@@ -62,7 +62,7 @@ class ReportBundle:
         return regional_report(self.inputs)
 
     def regional_target_pivot(self) -> DataFrame:
-        return targets.pivot_by_type(self.inputs.targets, ["dv"], "target_crates_to_date")
+        return targets.pivot_by_type(self.inputs.phased_targets, ["dv"], "target_crates_to_date")
 
     def key_spine(self) -> DataFrame:
         return self.metric_table.select(*metrics.KEYS, "division", "agent", "brand")
@@ -81,10 +81,11 @@ class ReportBundle:
             "unmatched_py_agents": checks.unmatched_agents(py_shipment),
             "unmatched_actual_brands": checks.unmatched_brands(shipment),
             "unmatched_py_brands": checks.unmatched_brands(py_shipment),
-            "target_totals": checks.target_totals(inputs.targets),
+            "target_totals": checks.target_totals(inputs.phased_targets),
+            "duplicate_calendar_days": calendar.duplicate_calendar_days(inputs.tables["calendar_mdm"]),
             "month_progress": inputs.month_progress.orderBy("month_start"),
             "month_parse": checks.month_parse_check(inputs.shaped_targets),
-            "aop_by_month": targets.aop_by_month(inputs.targets),
+            "aop_by_month": targets.aop_by_month(inputs.phased_targets),
             "shipment_totals": checks.shipment_totals(inputs),
             "date_range": checks.date_range_check(inputs),
             "stock_by_column": stock.stock_by_column(inputs.stock_long),

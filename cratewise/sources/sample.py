@@ -13,6 +13,15 @@ from cratewise.config import HL_PER_CRATE, REQUIRED_TABLES, ReportConfig
 
 CURRENT_YEAR = 2001
 CUTOFF = date(2001, 7, 18)
+# Columns the input tables are built from; a given schema spares a look at the files.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_orderdate timestamp_ntz",
+    "part": "p_partkey bigint, p_brand string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
 BRANDS = [f"Brand#{number}" for number in range(1, 26)]
 UNMATCHED_BRAND = "Brand#25"
 # Snapshot day and the modulus its quantities are cut to.
@@ -40,7 +49,8 @@ class SampleTables(Mapping):
 
     def table(self, name: str) -> DataFrame:
         if name not in self._read:
-            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            reader = self.spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else self.spark.read
+            self._read[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self._read[name]
 
     @cached_property

@@ -23,7 +23,7 @@ from cratewise.plans import checks
 from cratewise.plans.inputs import Inputs
 from cratewise.plans.report import ReportBundle
 from cratewise.plans.wide import with_report_names
-from cratewise.session import shared_path
+from cratewise.session import configure, shared_path
 from cratewise.sources.extract import EXTRACT_COLUMNS, PERIODS, period_columns, read_extract, write_extract
 from cratewise.sources.sample import SAMPLE_CONFIG, SampleTables
 
@@ -56,12 +56,12 @@ class Run:
     """One query's view of the engine over a folder of tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.sample = SampleTables(spark, folder)
+        self.sample = SampleTables(configure(spark), folder)
         self.inputs = Inputs(self.sample, SAMPLE_CONFIG)
         self.bundle = ReportBundle(self.inputs)
 
     def table(self, name: str) -> DataFrame:
-        return self.sample.table(name)
+        return self.sample.spark.read.parquet(f"{self.sample.folder}/{name}.parquet")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -285,6 +285,16 @@ def report_dates(run: Run) -> DataFrame:
     return cal.report_dates(run.inputs.calendar, *cal.last_dates(run.inputs.actual))
 
 
+@query
+def working_day_split(run: Run) -> DataFrame:
+    return checks.working_day_split(run.inputs)
+
+
+@query
+def calendar_days(run: Run) -> DataFrame:
+    return run.inputs.calendar
+
+
 @query
 def date_range_check(run: Run) -> DataFrame:
     return checks.date_range_check(run.inputs)
@@ -312,12 +322,12 @@ def target_to_date(run: Run) -> DataFrame:
 
 @query
 def target_totals(run: Run) -> DataFrame:
-    return checks.target_totals(run.inputs.targets)
+    return checks.target_totals(run.inputs.phased_targets)
 
 
 @query
 def aop_month_check(run: Run) -> DataFrame:
-    return targets.aop_by_month(run.inputs.targets)
+    return targets.aop_by_month(run.inputs.phased_targets)
 
 
 @query
@@ -327,7 +337,7 @@ def month_parse_check(run: Run) -> DataFrame:
 
 @query
 def regional_target(run: Run) -> DataFrame:
-    return targets.regional_targets(run.inputs.targets)
+    return targets.regional_targets(run.inputs.phased_targets)
 
 
 @query
@@ -337,7 +347,7 @@ def regional_target_pivot(run: Run) -> DataFrame:
 
 @query
 def selected_target_region(run: Run) -> DataFrame:
-    return targets.selected_target_by_region(run.inputs.targets, SAMPLE_CONFIG.selected_target_type)
+    return targets.selected_target_by_region(run.inputs.phased_targets, SAMPLE_CONFIG.selected_target_type)
 
 
 @query

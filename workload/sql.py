@@ -517,6 +517,13 @@ BODIES: dict[str, str] = {
     "month_progress_check": f"""SELECT month_start, month_working_days, elapsed_working_days, {num('ratio', 'ratio')},
         format('{{:.1f}}', CAST(ratio AS DOUBLE) * 100) || '%' AS shown FROM progress""",
     "report_dates": "SELECT * FROM dates",
+    "working_day_split": """SELECT source, coalesce(working, false) AS is_working_day, count(*) AS row_count,
+          sum(crates) AS crates
+        FROM (SELECT 'Actual Shipment' AS source, date AS day, crates FROM actual
+              UNION ALL SELECT 'PY Shipment', CASE WHEN strftime(date, '%m-%d') <> '02-29'
+                THEN make_date(2001, month(date), day(date)) END, crates FROM py)
+        LEFT JOIN calendar c ON day = c.date GROUP BY ALL""",
+    "calendar_days": "SELECT date, month_start, working AS is_working_day FROM calendar",
     "date_range_check": """SELECT count(*) FILTER (WHERE crates > 0) AS positive_rows, min(date) AS min_date,
         max(date) AS max_date, count(*) FILTER (WHERE date = report_day) AS last_day_rows,
         count(*) FILTER (WHERE date BETWEEN week_start AND report_day) AS wtd_rows FROM actual, dates""",
