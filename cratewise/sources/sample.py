@@ -53,12 +53,14 @@ class SampleTables(Mapping):
             self._read[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self._read[name]
 
-    @cached_property
-    def lines(self) -> DataFrame:
-        """Line items with the supplier and brand names, columns pruned by use."""
+    def with_names(self, lines: DataFrame) -> DataFrame:
+        """Line items with their supplier and brand names."""
         supplier = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
         part = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-        return self.table("lineitem").join(supplier, "l_suppkey").join(part, "l_partkey")
+        return lines.join(supplier, "l_suppkey").join(part, "l_partkey")
+
+    def shipped(self, year: int, until: date | None = None) -> DataFrame:
+        return self.with_names(self.table("lineitem").filter(year_range("l_shipdate", year, until)))
 
     @cached_property
     def agents(self) -> DataFrame:
@@ -104,7 +106,7 @@ class SampleTables(Mapping):
 
     def calendar_mdm(self) -> DataFrame:
         first, last = date(CURRENT_YEAR, 1, 1), date(CURRENT_YEAR, 12, 31)
-        days = self.spark.range(1 + (last - first).days).select(
+        days = self.spark.range(0, 1 + (last - first).days, numPartitions=1).select(
             F.date_add(F.lit(first), F.col("id").cast("int")).alias("Date"), F.struct("id").alias("_row_id")
         )
         return days.withColumn("Working Day", F.when(F.dayofweek("Date") != 1, "Yes").otherwise("No"))
@@ -116,15 +118,11 @@ class SampleTables(Mapping):
         return self.table("nation").select(F.col("n_nationkey").alias("Plant"), F.col("n_name").alias("Name"))
 
     def shipment(self, year: int, until: date | None = None) -> DataFrame:
-        return (
-            self.lines
-            .filter(year_range("l_shipdate", year, until))
-            .select(
-                F.col("l_shipdate").alias("Date"),
-                F.col("s_name").alias("Agent"),
-                F.col("p_brand").alias("Item Description"),
-                F.col("l_quantity").alias("Invoiced Quantity"),
-            )
+        return self.shipped(year, until).select(
+            F.col("l_shipdate").alias("Date"),
+            F.col("s_name").alias("Agent"),
+            F.col("p_brand").alias("Item Description"),
+            F.col("l_quantity").alias("Invoiced Quantity"),
         )
 
     def depletion(self, year: int, volume: str, until: date | None = None) -> DataFrame:
@@ -134,8 +132,8 @@ class SampleTables(Mapping):
             .select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
         )
         return (
-            self.lines
-            .join(orders, "l_orderkey")
+            # The orders of one year come first, so that the name lookups see fewer rows.
+            self.with_names(self.table("lineitem").join(orders, "l_orderkey"))
             .select(
                 F.col("o_orderdate").alias("Date"),
                 F.upper("s_name").alias("Sales Unit"),
@@ -180,7 +178,7 @@ class SampleTables(Mapping):
         return self.target(month, value, "Target, HL", "Agent", "Item Description")
 
     def stock(self) -> DataFrame:
-        halves = self.lines.filter(year_range("l_shipdate", CURRENT_YEAR, date(CURRENT_YEAR, 6, 30)))
+        halves = self.shipped(CURRENT_YEAR, date(CURRENT_YEAR, 6, 30))
         per_agent = halves.groupBy("s_name").pivot("p_brand", BRANDS).agg(F.sum("l_quantity"))
         snapshots = F.array(
             *[F.struct(F.lit(day).alias("day"), F.lit(float(cut)).alias("cut")) for day, cut in SNAPSHOTS]
