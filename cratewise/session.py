@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,9 +54,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
-    folder = tempfile.mkdtemp(prefix="cratewise-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="cratewise-")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

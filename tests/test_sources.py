@@ -8,7 +8,7 @@ import pytest
 from cratewise.__main__ import run
 from cratewise.operators import mdm
 from cratewise.plans.report import build_report
-from cratewise.session import checkpointed, shared_path
+from cratewise.session import checkpointed, shared_folder, shared_path
 from cratewise.sources import catalog
 from cratewise.sources.catalog import SourceSpec, clean_column_name, load_tables
 from cratewise.sources.extract import BOM, EXTRACT_COLUMNS, read_extract, write_extract
@@ -134,3 +134,19 @@ def test_checkpoints_use_the_folder_of_the_session(spark):
     if folder:
         assert folder.rstrip("/") in context_folder
         assert shared_path(spark, "x").startswith(folder)
+
+
+class Session:
+    """Stands in for a session without a checkpoint folder."""
+
+    def __init__(self, master, settings=()):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = dict(settings)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session("spark://host:7077"))
+    assert shared_folder(Session("spark://host:7077", {"spark.checkpoint.dir": "s3://shared"})) == "s3://shared"
+    own = shared_folder(Session("local[2]"))
+    assert os.path.isdir(own) and shared_folder(Session("local[2]")) == own
