@@ -18,7 +18,11 @@ from pyspark.sql import functions as F
 
 from cratewise.llm.common import BLANKS, chosen_rows, file_backed, fresh_path, located, saved, text_of
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on the executors' disks; small stores, so no space is set aside for each.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(column: str = "text") -> Column:
@@ -41,16 +45,15 @@ def stream_groups(spark: SparkSession, log_path: str, schema, files_per_batch: i
         # Overwriting by batch number makes a repeated batch harmless.
         batch.write.mode("overwrite").parquet(f"{groups_path}/batch={number}")
 
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    before = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         writer = groups.writeStream.outputMode("update").option("checkpointLocation", state_path)
         writer.foreachBatch(keep).trigger(availableNow=True).start().awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-        else:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     kind = "digest string, keeper struct<no_id: boolean, doc_id: {0}, _file: long, _row: long>, copies long, batch int"
     schema = kind.format(dict((f.name, f.dataType.simpleString()) for f in schema.fields)["doc_id"])
     written = spark.read.schema(schema).option("ignoreMissingFiles", "true")
