@@ -25,6 +25,10 @@ STATE_SETTINGS = {
 }
 
 
+#: Tasks that one group of copies is dealt to.
+SALTS = 16
+
+
 def normalised(column: str = "text") -> Column:
     """Every run of blanks becomes one space."""
     return F.regexp_replace(text_of(column), BLANKS, " ")
@@ -72,12 +76,16 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, files_per_batch: int = 100
     log.write.parquet(log_path)
     log = spark.read.schema(log.schema).parquet(log_path)
     groups = saved(stream_groups(spark, log_path, log.schema, files_per_batch), "dedup-state-rows")
-    hits = groups.filter("copies > 1").select(F.col("digest").alias("_hit"))
-    # Full bytes of the hits only; equal rows merge before the shuffle.
+    # Full bytes of the hits only. A group of copies is dealt to SALTS tasks, each of
+    # which merges its equal rows; what they leave meets in one row per text and salt.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    hits = groups.filter("copies > 1").select("digest", salts)
     bytes_of = rows.select(normalised().alias("bytes"), "doc_id", "_file", "_row")
-    bytes_of = bytes_of.withColumn("digest", F.sha2("bytes", 256)).join(hits, F.col("digest") == F.col("_hit"))
+    salt = F.pmod(F.xxhash64("_file", "_row"), F.lit(SALTS)).cast("int").alias("salt")
+    bytes_of = bytes_of.select("*", F.sha2("bytes", 256).alias("digest"), salt).join(hits, ["digest", "salt"])
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_file", "_row")
-    classes = bytes_of.groupBy("digest", "bytes").agg(F.min(first).alias("keeper"), F.count("*").alias("copies"))
+    parts = bytes_of.groupBy("digest", "salt", "bytes").agg(F.min(first).alias("keeper"), F.count("*").alias("copies"))
+    classes = parts.groupBy("digest", "bytes").agg(F.min("keeper").alias("keeper"), F.sum("copies").alias("copies"))
     checked = saved(classes.select("digest", F.xxhash64("bytes").alias("other"), "keeper", "copies"), "dedup-checked")
     clashes = checked.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1")
     result = log.join(groups, "digest")
