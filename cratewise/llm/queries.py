@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratewise.llm import exact_dedup, imatch, licenses, mixing, packing, pii, quality, secrets, simhash
+from cratewise.llm import exact_dedup, imatch, licenses, mixing, packing, pii, quality, secrets, simhash, substrings
 from cratewise.llm.common import documents
 
 VOCABULARY = "word_bpe_49k.json"
@@ -47,6 +47,13 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.compared(spark, documents(spark, sf_dir))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.without_repeats(documents(spark, sf_dir))
+    size = F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["high"] - r["low"])
+    spans = F.size("runs").cast("long").alias("n_spans")
+    return found.select("doc_id", "n_bytes", size.alias("n_removed"), spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -75,5 +82,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_pii, op2_license_scan, op3_mixing, op4_exact_dedup, op5_imatch, op7_quality, op8_simhash, op9_packing, op10_secrets)
-}
+    for f in (
+        op1_pii, op2_license_scan, op3_mixing, op4_exact_dedup, op5_imatch,
+        op6_suffix_dedup, op7_quality, op8_simhash, op9_packing, op10_secrets,
+    )
+}
