@@ -14,6 +14,7 @@ documents of their own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import sys
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -29,7 +30,9 @@ from cratewise.llm.common import bits_for, running_total, saved, text_of
 CAPACITY = 2048
 SEPARATOR = 0
 #: Fillings looked at around one largest piece, and words whose ids a task keeps.
-NODES, WORDS_KEPT = 400, 400_000
+NODES, WORDS_KEPT = 400, 1_000_000
+#: Marks that stand alone to the tokenizer when they follow letters.
+MARKS = frozenset(".,;:!?")
 
 
 class WordIds:
@@ -43,24 +46,37 @@ class WordIds:
     def __init__(self, path: str, kept: int = WORDS_KEPT):
         self.tokenizer, self.kept, self.ids = Tokenizer.from_file(path), kept, {}
 
+    @staticmethod
+    def of_worker(path: str) -> WordIds:
+        """The one of this process, which a worker keeps from task to task."""
+        known = sys.__dict__.setdefault("_word_ids", {})
+        if path not in known:
+            known[path] = WordIds(path)
+        return known[path]
+
     def learn(self, words: list[str]) -> None:
         found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
         ids = np.array(found.ids, "<u4")
         at = np.array(found.word_ids, np.int64)
-        ends = np.searchsorted(at, np.arange(len(words) + 1))
+        ends = (4 * np.searchsorted(at, np.arange(len(words) + 1))).tolist()
         raw = ids.tobytes()
-        for word, a, b in zip(words, ends, ends[1:], strict=False):
-            self.ids[word] = raw[4 * a : 4 * b]
+        self.ids.update(zip(words, [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)], strict=True))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = set().union(*split) - self.ids.keys() if split else set()
+        seen = set().union(*split) if split else set()
+        new = seen - self.ids.keys()
         if len(new) + len(self.ids) > self.kept:
             self.ids.clear()
-            new = set().union(*split)
-        if new:
-            self.learn(sorted(new))
+            new = seen
+        # Letters and the mark after them are separate to the tokenizer, and it ignores case.
+        parts = {w: (w[:-1].lower(), w[-1]) for w in new if w[-1:] in MARKS and w[:-1].isalpha() and w.isascii()}
+        parts |= {w: (w.lower(), "") for w in new if w not in parts and w.isalpha() and w.isascii()}
+        basic = {x for pair in parts.values() for x in pair} | {w for w in new if w not in parts}
+        if basic := sorted(basic - self.ids.keys()):
+            self.learn(basic)
         get = self.ids.__getitem__
+        self.ids.update([(w, get(a) + get(b)) for w, (a, b) in parts.items()])
         for words in split:
             yield b"".join(map(get, words))
 
@@ -69,7 +85,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every document's pieces of at most ``capacity`` tokens."""
 
     def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, end = WordIds(path), np.array([SEPARATOR], "<u4").tobytes()
+        words, end = WordIds.of_worker(path), np.array([SEPARATOR], "<u4").tobytes()
         for part in parts:
             for low in range(0, len(part), 256):
                 few = part.iloc[low : low + 256]

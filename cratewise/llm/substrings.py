@@ -35,7 +35,9 @@ from cratewise.llm.suffixes import equal_runs, suffix_array
 SIZE, GRAM = 50, 20
 #: Bytes of text to a bucket of fragments, different fragments of a name from which on single
 #: windows are dealt out, and symbols to one suffix array (a bucket's share, never cutting a name).
-BUCKET_BYTES, MANY, AT_ONCE = 16_000_000, 500, 1 << 16
+BUCKET_BYTES, MANY, AT_ONCE = 8_000_000, 500, 1 << 16
+#: Bytes of text that are hashed and settled together in a task (one text at least).
+BATCH_BYTES = 8_000_000
 LAST = np.iinfo(np.int64).max
 #: An odd base of the rolling hash and its inverse modulo 2**64, and a mixer's multipliers.
 BASE = 0x9E3779B97F4A7C15
@@ -127,12 +129,21 @@ def rows_with_bytes(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", place.alias("doc"), F.col("_file").alias("file"), F.col("_row").alias("row"), F.encode(text_of(), "UTF-8").alias("data"))
 
 
+def by_bytes(parts: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+    """Batches of about ``most`` bytes of ``data``."""
+    for part in parts:
+        place = part["data"].map(len).cumsum().to_numpy() // most
+        cuts = [*np.flatnonzero(np.diff(place, prepend=-1)).tolist(), len(part)]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            yield part.iloc[low:high]
+
+
 def dealt_fragments(rows: DataFrame, buckets: int, size: int, gram: int) -> DataFrame:
     """(bucket, entries): packed arrays of fragments by bucket of name, or of settled ranges in buckets by row."""
 
     def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
-        for part in parts:
+        for part in by_bytes(parts, BATCH_BYTES):
             found = []
             for number, data in enumerate(part["data"]):
                 if len(data) >= size:
