@@ -33,6 +33,10 @@ SEPARATOR = 0
 NODES, WORDS_KEPT = 400, 1_000_000
 #: Marks that stand alone to the tokenizer when they follow letters.
 MARKS = frozenset(".,;:!?")
+#: Below this character, lower case is one letter for one, and letters are composed as they stand.
+PLAIN = "\u0130"
+#: Characters whose words are looked up together (one text at least).
+CHARS_AT_ONCE = 6_000_000
 
 
 class WordIds:
@@ -70,11 +74,12 @@ class WordIds:
             self.ids.clear()
             new = seen
         # Letters and the mark after them are separate to the tokenizer, and it ignores case.
-        parts = {w: (w[:-1].lower(), w[-1]) for w in new if w[-1:] in MARKS and w[:-1].isalpha() and w.isascii()}
-        parts |= {w: (w.lower(), "") for w in new if w not in parts and w.isalpha() and w.isascii()}
-        basic = {x for pair in parts.values() for x in pair} | {w for w in new if w not in parts}
-        if basic := sorted(basic - self.ids.keys()):
-            self.learn(basic)
+        plain = [w for w in new if w and max(w) < PLAIN]
+        parts = {w: (w[:-1].lower(), w[-1]) for w in plain if w[-1] in MARKS and w[:-1].isalpha()}
+        parts |= {w: (w.lower(), "") for w in plain if w.isalpha()}
+        basic = (new - parts.keys()).union(*parts.values()) - self.ids.keys()
+        if basic:
+            self.learn(list(basic))
         get = self.ids.__getitem__
         self.ids.update([(w, get(a) + get(b)) for w, (a, b) in parts.items()])
         for words in split:
@@ -87,8 +92,10 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, end = WordIds.of_worker(path), np.array([SEPARATOR], "<u4").tobytes()
         for part in parts:
-            for low in range(0, len(part), 256):
-                few = part.iloc[low : low + 256]
+            place = part["text"].map(len).cumsum().to_numpy() // CHARS_AT_ONCE
+            cuts = [*np.flatnonzero(np.diff(place, prepend=-1)).tolist(), len(part)]
+            for low, high in zip(cuts, cuts[1:], strict=False):
+                few = part.iloc[low:high]
                 rows = []
                 for doc_id, raw in zip(few["doc_id"], words.encode(list(few["text"])), strict=True):
                     raw += end
