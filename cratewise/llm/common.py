@@ -13,6 +13,7 @@ from pyspark.sql.utils import AnalysisException
 #: What separates words, and a word, as the contracts give them.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,10 +46,16 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: a lost executor
-    then costs one file read, and what is used twice is computed once."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    then costs one file read, and what is used twice is computed once. What was
+    shuffled for it is of no use afterwards and is removed at once."""
+    spark = df.sparkSession
+    path, before = fresh_path(spark, name), spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def file_backed(df: DataFrame) -> DataFrame:

@@ -35,9 +35,9 @@ from cratewise.llm.suffixes import equal_runs, suffix_array
 SIZE, GRAM = 50, 20
 #: Bytes of text to a bucket of fragments, different fragments of a name from which on single
 #: windows are dealt out, and symbols to one suffix array (a bucket's share, never cutting a name).
-BUCKET_BYTES, MANY, AT_ONCE = 8_000_000, 500, 1 << 16
+BUCKET_BYTES, MANY, AT_ONCE = 4_000_000, 500, 1 << 16
 #: Bytes of text that are hashed and settled together in a task (one text at least).
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 4_000_000
 LAST = np.iinfo(np.int64).max
 #: An odd base of the rolling hash and its inverse modulo 2**64, and a mixer's multipliers.
 BASE = 0x9E3779B97F4A7C15
