@@ -29,7 +29,7 @@ BAND = (0.0005, 0.05)
 DENSITIES = tuple(1 / 2**level for level in range(4, 12) for _ in range(2))
 PART = 8  # hex digits of one subset's hash
 #: Characters to a block of neighbouring documents, and cells that ids are counted in.
-BLOCK_CHARS, CELLS = 16_000_000, 65_536
+BLOCK_CHARS, CELLS = 4_000_000, 65_536
 
 
 def terms(text: Column) -> Column:

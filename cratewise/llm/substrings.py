@@ -332,7 +332,7 @@ def without_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bucket_
     buckets = int(total // bucket_bytes) + 1
     found = saved(compared(dealt_fragments(rows, buckets, size, gram), many), "repeats")
     asks = found.filter("name is not null").groupBy("file", "row").agg(F.collect_list(F.struct("name", "low", "high", "wide")).alias("asks"))
-    cut = cut_out(rows.drop("doc_id").join(asks, ["file", "row"]), buckets, size)
+    cut = cut_out(rows.drop("doc_id").join(asks, ["file", "row"]), 4 * buckets, size)
     seen = saved(looked_at(cut, size), "repeats-seen")
     gone = found.filter("name is null").select("file", "row", "low", "high").union(seen)
     ranges = gone.groupBy("file", "row").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
