@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from cratewise.config import HL_PER_CRATE, REQUIRED_TABLES, ReportConfig
 
 CURRENT_YEAR = 2001
-CUTOFF = date(2001, 7, 18)
 # Columns the input tables are built from; a given schema spares a look at the files.
 SCHEMAS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_shipdate timestamp_ntz",
@@ -22,7 +21,6 @@ SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "region": "r_regionkey int, r_name string",
 }
-BRANDS = [f"Brand#{number}" for number in range(1, 26)]
 UNMATCHED_BRAND = "Brand#25"
 # Snapshot day and the modulus its quantities are cut to.
 SNAPSHOTS = ((date(2001, 6, 1), 30), (date(2001, 7, 1), 50))
@@ -178,26 +176,27 @@ class SampleTables(Mapping):
         return self.target(month, value, "Target, HL", "Agent", "Item Description")
 
     def stock(self) -> DataFrame:
-        halves = self.shipped(CURRENT_YEAR, date(CURRENT_YEAR, 6, 30))
-        per_agent = halves.groupBy("s_name").pivot("p_brand", BRANDS).agg(F.sum("l_quantity"))
+        # One column per brand there is: as many as the part table has brands.
+        brands = sorted(row[0] for row in self.table("part").select("p_brand").distinct().collect() if row[0])
+        per_agent = self.shipped(CURRENT_YEAR).groupBy("s_name").pivot("p_brand", brands).agg(F.sum("l_quantity"))
         snapshots = F.array(
             *[F.struct(F.lit(day).alias("day"), F.lit(float(cut)).alias("cut")) for day, cut in SNAPSHOTS]
         )
         return per_agent.withColumn("snapshot", F.explode(snapshots)).select(
             F.col("snapshot.day").alias("Reporting Date"),
             F.col("s_name").alias("Agent"),
-            *[(F.col(f"`{brand}`") % F.col("snapshot.cut")).alias(f"{brand} Crate 24x33") for brand in BRANDS],
+            *[(F.col(f"`{brand}`") % F.col("snapshot.cut")).alias(f"{brand} Crate 24x33") for brand in brands],
         )
 
     def build(self, name: str) -> DataFrame:
         if name == "py_shipment":
             return self.shipment(CURRENT_YEAR - 1)
         if name == "actual_shipment":
-            return self.shipment(CURRENT_YEAR, CUTOFF)
+            return self.shipment(CURRENT_YEAR)
         if name == "py_depletion":
             return self.depletion(CURRENT_YEAR - 1, "Sales")
         if name == "ytd_depletion":
-            return self.depletion(CURRENT_YEAR, "Depletion", CUTOFF)
+            return self.depletion(CURRENT_YEAR, "Depletion")
         return getattr(self, name)()
 
     def __getitem__(self, name: str) -> DataFrame:

@@ -125,28 +125,21 @@ def test_wrong_headers_are_refused(spark, tmp_path):
         read_extract(spark, path).collect()
 
 
-def test_checkpoints_use_the_folder_of_the_session(spark):
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+def test_kept_tables_lie_in_the_shared_folder(spark):
     df = checkpointed(spark.range(10))
     assert df.count() == 10
-    assert "Range" not in df._jdf.queryExecution().executedPlan().toString()
-    context_folder = spark.sparkContext.getCheckpointDir()
-    if folder:
-        assert folder.rstrip("/") in context_folder
-        assert shared_path(spark, "x").startswith(folder)
+    assert all(shared_folder(spark) in path for path in df.inputFiles())
+    assert shared_path(spark, "x").startswith(shared_folder(spark))
 
 
 class Session:
-    """Stands in for a session without a checkpoint folder."""
+    """Stands in for a session with some settings."""
 
-    def __init__(self, master, settings=()):
-        self.sparkContext = type("Context", (), {"master": master})
+    def __init__(self, settings):
         self.conf = dict(settings)
 
 
-def test_a_cluster_must_name_its_shared_folder():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Session("spark://host:7077"))
-    assert shared_folder(Session("spark://host:7077", {"spark.checkpoint.dir": "s3://shared"})) == "s3://shared"
-    own = shared_folder(Session("local[2]"))
-    assert os.path.isdir(own) and shared_folder(Session("local[2]")) == own
+def test_the_shared_folder_is_the_one_the_cluster_names():
+    warehouse = {"spark.sql.warehouse.dir": "s3://warehouse/"}
+    assert shared_folder(Session({**warehouse, "spark.checkpoint.dir": "s3://shared"})) == "s3://shared"
+    assert shared_folder(Session(warehouse)) == "s3://warehouse/_shared"

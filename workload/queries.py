@@ -520,12 +520,16 @@ def zero_period_rows(run: Run) -> DataFrame:
     return checks.zero_period_rows(checks.period_totals(run.bundle.extract_rows))
 
 
+PREVIEW_ROWS = 100
+
+
 @query
 def extract_preview(run: Run) -> DataFrame:
-    """The hundred largest crate rows of one target type, a top-k report."""
-    rows = run.bundle.extract_rows.filter((F.col("UOM") == "Crates") & (F.col("Target Type") == "Sales"))
-    order = [F.desc_nulls_last("YTD_Sales"), *[F.asc_nulls_last(name) for name in ("Division", "Agent", "Brand")]]
-    return checks.preview(rows.select("Division", "Agent", "Brand", "YTD_Sales", "YTD_PY", "YTD VS PY Ach"), order, 100)
+    """The rows of largest year-to-date sales, a top-k report over the whole extract."""
+    keys = ["UOM", "Target Type", "Division", "Agent", "Brand"]
+    order = [F.desc_nulls_last("YTD_Sales"), *[F.asc_nulls_last(name) for name in keys]]
+    shown = run.bundle.extract_rows.select(*keys, "YTD_Sales", "YTD_PY", "YTD VS PY Ach")
+    return checks.preview(shown, order, PREVIEW_ROWS)
 
 
 @query
@@ -537,8 +541,8 @@ def display_format(run: Run) -> DataFrame:
         "YTD VS PY Ach": "+%",
         "MTD Sales vs PY": "%",
     }
-    rows = run.bundle.extract_rows.filter((F.col("Target Type") == "Sales") & (F.col("UOM") == "Crates"))
-    return checks.display_text(rows.select("Division", "Agent", "Brand", *[f"`{n}`" for n in styles]), styles)
+    keys = ["UOM", "Target Type", "Division", "Agent", "Brand"]
+    return checks.display_text(run.bundle.extract_rows.select(*keys, *[f"`{n}`" for n in styles]), styles)
 
 
 @query

@@ -14,7 +14,7 @@ from cratewise.sources.extract import EXTRACT_COLUMNS, PERIODS
 from workload.queries import FAMILY_RULES, is_ratio
 
 HL = "CAST(0.0792 AS DOUBLE)"
-CUTOFF = "TIMESTAMP '2001-07-19'"
+YEAR_END = "TIMESTAMP '2002-01-01'"
 
 
 # -- expressions ------------------------------------------------------------
@@ -96,14 +96,14 @@ SELECT CAST(d AS DATE) AS date, CAST(date_trunc('month', d) AS DATE) AS month_st
 FROM generate_series(DATE '2001-01-01', DATE '2001-12-31', INTERVAL 1 DAY) t(d)"""
 STEPS["actual_all"] = f"""
 SELECT ship_day AS date, s_name AS source, p_brand AS item, l_quantity AS crates
-FROM lines WHERE l_shipdate >= TIMESTAMP '2001-01-01' AND l_shipdate < {CUTOFF}"""
+FROM lines WHERE l_shipdate >= TIMESTAMP '2001-01-01' AND l_shipdate < {YEAR_END}"""
 STEPS["py_all"] = """
 SELECT ship_day AS date, s_name AS source, p_brand AS item, l_quantity AS crates
 FROM lines WHERE l_shipdate >= TIMESTAMP '2000-01-01' AND l_shipdate < TIMESTAMP '2001-01-01'"""
 STEPS["dep_all"] = f"""
 SELECT CAST(o_orderdate AS DATE) AS date, upper(s_name) AS source, p_brand AS item, l_quantity AS crates
 FROM lines JOIN orders ON l_orderkey = o_orderkey
-WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderdate < {CUTOFF}"""
+WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderdate < {YEAR_END}"""
 STEPS["py_dep_all"] = """
 SELECT CAST(o_orderdate AS DATE) AS date, upper(s_name) AS source, p_brand AS item, l_quantity AS crates
 FROM lines JOIN orders ON l_orderkey = o_orderkey
@@ -216,7 +216,7 @@ def target_sums(windows: tuple[str, ...], keys: str) -> str:
 STEPS["m_target"] = target_sums(TARGET_WINDOWS, BY_KEY)
 STEPS["stock_sums"] = """
 SELECT s_name, p_brand, sum(l_quantity) % 50 AS quantity
-FROM lines WHERE l_shipdate >= TIMESTAMP '2001-01-01' AND l_shipdate < TIMESTAMP '2001-07-01' GROUP BY s_name, p_brand"""
+FROM lines WHERE l_shipdate >= TIMESTAMP '2001-01-01' AND l_shipdate < TIMESTAMP '2002-01-01' GROUP BY s_name, p_brand"""
 STEPS["stock_rows"] = """
 SELECT s_name AS source, p_brand || ' Crate 24x33' AS brand_raw, p_brand, quantity FROM stock_sums WHERE quantity <> 0"""
 STEPS["stock_ab"] = f"""
@@ -616,11 +616,12 @@ BODIES: dict[str, str] = {
     "period_totals": f'SELECT "UOM", "Target Type", {summed(PERIOD_COLUMNS)} FROM extract GROUP BY 1, 2',
     "zero_period_rows": f"""SELECT "UOM", "Target Type", {summed(PERIOD_COLUMNS)} FROM extract GROUP BY 1, 2
         HAVING sum(extract."Last_Day_Sales") = 0 AND sum(extract."WTD_Sales") = 0""",
-    "extract_preview": f"""SELECT {extract_columns(['Division', 'Agent', 'Brand', 'YTD_Sales', 'YTD_PY',
-        'YTD VS PY Ach'])} FROM (SELECT * FROM extract WHERE "UOM" = 'Crates' AND "Target Type" = 'Sales'
-        ORDER BY "YTD_Sales" DESC NULLS LAST, "Division" NULLS LAST, "Agent" NULLS LAST, "Brand" NULLS LAST LIMIT 100)""",
-    "display_format": f"""SELECT "Division", "Agent", "Brand", {DISPLAYED} FROM extract
-        WHERE "UOM" = 'Crates' AND "Target Type" = 'Sales'""",
+    "extract_preview": f"""SELECT {extract_columns(['UOM', 'Target Type', 'Division', 'Agent', 'Brand', 'YTD_Sales', 'YTD_PY',
+        'YTD VS PY Ach'])} FROM (SELECT * FROM extract
+        ORDER BY "YTD_Sales" DESC NULLS LAST, "UOM" NULLS LAST, "Target Type" NULLS LAST, "Division" NULLS LAST, "Agent" NULLS LAST, "Brand" NULLS LAST LIMIT 100)""",
+    "display_format": f"""SELECT "UOM", "Target Type", "Division", "Agent", "Brand", {DISPLAYED} FROM extract""",
 }
+# What is written and read back is the extract itself.
+BODIES["extract_csv_roundtrip"] = BODIES["final_extract"]
 
 SQL = {name: with_steps(body) for name, body in BODIES.items()}
