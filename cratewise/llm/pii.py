@@ -179,7 +179,7 @@ class Selector:
         self.thresholds = np.full(len(GENERATORS), np.inf)
         for number in range(len(GENERATORS)):
             own = x[~part][:, 0] == number
-            for low in np.unique(np.round(chance[own], 6)):
+            for low in np.unique(np.floor(chance[own] * 1e6) / 1e6):
                 above = own & (chance >= low)
                 # One wrong one is added to what was seen, so that a few examples prove little.
                 if held[above].sum() / (above.sum() + 1) >= precision and low >= 0.5:
@@ -229,7 +229,7 @@ def fitted(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, most: int = TRAIN_
 
     rows = part.select(text_of().alias("text")).mapInPandas(of, "x array<double>, y int")
     rows = rows.orderBy(F.xxhash64("x"), "x", "y").limit(most).collect()
-    x = np.array([r["x"] for r in rows], float).reshape(len(rows), -1)
+    x = np.array([r["x"] for r in rows], float) if rows else np.zeros((0, 1))
     return Selector(x, np.array([r["y"] for r in rows], float))
 
 

@@ -100,10 +100,12 @@ def fragments(hasher: Hasher, data: np.ndarray, size: int, gram: int) -> tuple[n
 
 def joined_runs(doc: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ranges put together where they touch; sorted by ``doc`` (any row number), then ``low``."""
+    if not len(doc):
+        return doc, low, high
     order = np.lexsort((low, doc))
     doc, low, high = doc[order], low[order], high[order]
     reach = np.maximum.accumulate(high + doc * (1 << 40)) - doc * (1 << 40)
-    fresh = np.concatenate([[True], (doc[1:] != doc[:-1]) | (low[1:] > reach[:-1])]) if len(doc) else np.zeros(0, bool)
+    fresh = np.concatenate([[True], (doc[1:] != doc[:-1]) | (low[1:] > reach[:-1])])
     starts = np.flatnonzero(fresh)
     ends = np.append(starts[1:], len(doc)) - 1
     return doc[starts], low[starts], reach[ends]
