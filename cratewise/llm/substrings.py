@@ -12,7 +12,10 @@
 
 A batch of documents settles its own equal fragments before anything is dealt out,
 so a passage that a third of all documents share arrives once per batch. A name
-with very many different fragments is dealt out again by single windows.
+with very many different fragments is dealt out again by single windows, of which
+a batch settles the equal ones too. Long texts are hashed in slices of SLICE windows,
+and a name too large for one suffix array is settled in rounds: what a round finds
+covered by earlier documents leaves, the rest meets again.
 
 Equal fragments are told by 128 bits of hash (name and fragment), windows by their
 bytes. Cases: null and empty texts have no windows; rows with one doc_id don't
@@ -36,6 +39,8 @@ SIZE, GRAM = 50, 20
 #: Bytes of text to a bucket of fragments, different fragments of a name from which on single
 #: windows are dealt out, and symbols to one suffix array (a bucket's share, never cutting a name).
 BUCKET_BYTES, MANY, AT_ONCE = 4_000_000, 500, 1 << 16
+#: Windows of a long text that are hashed at once, and windows or fragments handed on at once.
+SLICE, HAND_ON = 1 << 18, 20_000
 #: Bytes of text that are hashed and settled together in a task (one text at least).
 BATCH_BYTES = 4_000_000
 LAST = np.iinfo(np.int64).max
@@ -131,13 +136,26 @@ def rows_with_bytes(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", place.alias("doc"), F.col("_file").alias("file"), F.col("_row").alias("row"), F.encode(text_of(), "UTF-8").alias("data"))
 
 
-def by_bytes(parts: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
-    """Batches of about ``most`` bytes of ``data``."""
+def slices(parts: Iterator[pd.DataFrame], most: int, size: int) -> Iterator[tuple[list[np.ndarray], list[bytes], np.ndarray]]:
+    """Batches of about ``most`` bytes: (doc, file, row) arrays, slices of texts, and where in its text each begins.
+
+    Slices of a text share ``size`` - 1 bytes, so that every window is in just one.
+    """
     for part in parts:
-        place = part["data"].map(len).cumsum().to_numpy() // most
-        cuts = [*np.flatnonzero(np.diff(place, prepend=-1)).tolist(), len(part)]
-        for low, high in zip(cuts, cuts[1:], strict=False):
-            yield part.iloc[low:high]
+        columns = [part[c].to_numpy(np.int64) for c in ("doc", "file", "row")]
+        at, data, begins, held = [], [], [], 0
+        for number, text in enumerate(part["data"]):
+            for begin in range(0, len(text) - size + 1, SLICE):
+                piece = text[begin : begin + SLICE + size - 1]
+                at.append(number)
+                data.append(piece)
+                begins.append(begin)
+                held += len(piece)
+                if held >= most:
+                    yield [c[at] for c in columns], data, np.array(begins)
+                    at, data, begins, held = [], [], [], 0
+        if at:
+            yield [c[at] for c in columns], data, np.array(begins)
 
 
 def dealt_fragments(rows: DataFrame, buckets: int, size: int, gram: int) -> DataFrame:
@@ -145,17 +163,14 @@ def dealt_fragments(rows: DataFrame, buckets: int, size: int, gram: int) -> Data
 
     def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
-        for part in by_bytes(parts, BATCH_BYTES):
+        for (doc, file, row), pieces, begins in slices(parts, BATCH_BYTES, size):
             found = []
-            for number, data in enumerate(part["data"]):
-                if len(data) >= size:
-                    name, digest, low, high = fragments(hasher, np.frombuffer(data, np.uint8), size, gram)
-                    found.append((name, digest, np.full(len(name), number), low, high))
-            if not found:
-                continue
+            for number, data in enumerate(pieces):
+                name, digest, low, high = fragments(hasher, np.frombuffer(data, np.uint8), size, gram)
+                begin = begins[number]
+                found.append((name, digest, np.full(len(name), number), low + begin, high + begin))
             name, digest, number, low, high = (np.concatenate(x) for x in zip(*found, strict=True))
             del found
-            doc, file, row = (part[c].to_numpy(np.int64) for c in ("doc", "file", "row"))
             least, _ = earliest(name ^ digest * np.uint64(BASE), doc[number])
             # Later copies within the batch are settled here.
             gone = doc[number] > least
@@ -224,36 +239,71 @@ def compared(dealt: DataFrame, many: int) -> DataFrame:
     return dealt.groupBy("bucket").applyInPandas(of, schema)
 
 
+def windows_of(hasher: Hasher, data: bytes, low: int, high: int, size: int) -> Iterator[tuple[int, int]]:
+    """(name, first byte) of the single windows of a range."""
+    for begin in range(low, high - size + 1, SLICE):
+        end = min(high, begin + SLICE + size - 1)
+        sums = hasher.sums(np.frombuffer(data, np.uint8, end - begin, begin))
+        at = np.arange(end - begin - size + 1)
+        yield from zip(hasher.of(sums, at, at + size).astype(np.int64).tolist(), (at + begin).tolist(), strict=True)
+
+
 def cut_out(asked: DataFrame, buckets: int, size: int) -> DataFrame:
-    """(bucket, name, doc, file, row, low, data) of the fragments asked for; those of very common names by single windows."""
-    schema = "bucket long, name long, doc long, file long, row long, low long, data binary"
+    """(bucket, name, doc, file, row, low, high, data) of the fragments asked for; those of very common names by single
+    windows. Without ``data``: a range that an earlier document of the batch settles."""
+    schema = "bucket long, name long, doc long, file long, row long, low long, high long, data binary"
+    columns = ["name", "doc", "file", "row", "low", "high", "data"]
+
+    def dealt(out: list[tuple]) -> pd.DataFrame:
+        frame = pd.DataFrame(out, columns=columns)
+        frame.insert(0, "bucket", (mixed(frame["name"].to_numpy(np.int64).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64))
+        return frame
+
+    def narrowed(singles: list[tuple]) -> Iterator[pd.DataFrame]:
+        """Of equal windows in later documents only their ranges are left."""
+        least: dict[bytes, int] = {}
+        for _, doc, *_, data in singles:
+            least[data] = min(doc, least.get(data, doc))
+        yield dealt([s for s in singles if s[1] == least[s[-1]]])
+        gone = [s[2:6] for s in singles if s[1] > least[s[-1]]]
+        if gone:
+            frame = pd.DataFrame(gone, columns=["file", "row", "low", "high"])
+            number = frame.groupby(["file", "row"], sort=False).ngroup().to_numpy()
+            _, first = np.unique(number, return_index=True)
+            n, low, high = joined_runs(number, frame["low"].to_numpy(), frame["high"].to_numpy())
+            file, row = (frame[c].to_numpy()[first][n] for c in ("file", "row"))
+            # Dealt by row, under a name of its own: nothing is compared with it.
+            yield dealt([(r, 0, f, r, a, b, None) for f, r, a, b in zip(file.tolist(), row.tolist(), low.tolist(), high.tolist(), strict=True)])
 
     def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
         for part in parts:
-            out = []
-            for doc, file, row, data, asks in zip(part["doc"], part["file"], part["row"], part["data"], part["asks"], strict=True):
-                sums = None
-                for ask in asks:
-                    low, high = ask["low"], ask["high"]
-                    if not ask["wide"]:
-                        out.append((ask["name"], doc, file, row, low, data[low:high]))
-                        continue
-                    if sums is None:
-                        sums = hasher.sums(np.frombuffer(data, np.uint8))
-                    at = np.arange(low, high - size + 1)
-                    for i, name in zip(at.tolist(), hasher.of(sums, at, at + size).astype(np.int64).tolist(), strict=True):
-                        out.append((name, doc, file, row, i, data[i : i + size]))
-            if out:
-                frame = pd.DataFrame(out, columns=["name", "doc", "file", "row", "low", "data"])
-                frame.insert(0, "bucket", (mixed(frame["name"].to_numpy(np.int64).astype(np.uint64)) % np.uint64(buckets)).astype(np.int64))
-                yield frame
+            whole: list[tuple] = []
+            singles: list[tuple] = []
+            rows = zip(*(part[c] for c in ("doc", "file", "row", "data", "names", "lows", "highs", "wides")), strict=True)
+            for doc, file, row, data, names, lows, highs, wides in rows:
+                for name, low, high, wide in zip(names.tolist(), lows.tolist(), highs.tolist(), wides.tolist(), strict=True):
+                    if wide:
+                        singles += [(w, doc, file, row, i, i + size, data[i : i + size]) for w, i in windows_of(hasher, data, low, high, size)]
+                    else:
+                        whole.append((name, doc, file, row, low, high, data[low:high]))
+                if len(whole) >= HAND_ON:
+                    yield dealt(whole)
+                    whole = []
+                if len(singles) >= 5 * HAND_ON:
+                    yield from narrowed(singles)
+                    singles = []
+            if whole:
+                yield dealt(whole)
+            if singles:
+                yield from narrowed(singles)
 
     return asked.mapInPandas(of, schema)
 
 
-def settled_by_suffixes(data: list[bytes], doc: np.ndarray, size: int) -> list[tuple[int, int, int]]:
-    """(entry, first byte, end) of the ranges of these strings that an earlier document has too."""
+def settled_by_suffixes(data: list[bytes], doc: np.ndarray, size: int) -> tuple[list[tuple[int, int, int]], set[int]]:
+    """(entry, first byte, end) of the ranges of these strings that an earlier document has too, and the entries
+    of which it has every window."""
     lengths = np.array([len(d) for d in data])
     # A symbol below all bytes ends each string, so that no window runs on.
     raw = np.frombuffer(b"".join(d + b"\0" for d in data), np.uint8)
@@ -268,8 +318,10 @@ def settled_by_suffixes(data: list[bytes], doc: np.ndarray, size: int) -> list[t
     run = equal_runs(raw, order, size)
     least, _ = earliest(run, doc[entry[order]])
     gone = order[doc[entry[order]] > least]
+    windows = np.bincount(entry[gone], minlength=len(data))
     n, a, b = joined_runs(entry[gone], offset[gone], offset[gone] + size)
-    return list(zip(n.tolist(), a.tolist(), b.tolist(), strict=True))
+    whole_gone = np.flatnonzero(windows == lengths - size + 1)
+    return list(zip(n.tolist(), a.tolist(), b.tolist(), strict=True)), set(whole_gone.tolist())
 
 
 def possible(hasher: Hasher, name: np.ndarray, data: list[bytes], doc: np.ndarray, size: int) -> list[tuple[int, int, int]]:
@@ -292,36 +344,75 @@ def possible(hasher: Hasher, name: np.ndarray, data: list[bytes], doc: np.ndarra
     return list(zip(n.tolist(), a.tolist(), b.tolist(), strict=True))
 
 
+def settled_in_rounds(data: list[bytes], doc: np.ndarray, size: int) -> list[tuple[int, int, int]]:
+    """As settled_by_suffixes, for a name of any size: arrays of about AT_ONCE symbols settle their strings, and
+    those that lose every window leave before the rest meets. The earliest document with a window keeps that window, so it stays."""
+    alive, found = list(range(len(data))), []
+    while alive:
+        ends = np.cumsum([len(data[n]) + 1 for n in alive]) // AT_ONCE
+        cuts = [*np.flatnonzero(np.diff(ends, prepend=-1)).tolist(), len(alive)]
+        stay: list[int] = []
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            some = alive[low:high]
+            ranges, gone = settled_by_suffixes([data[n] for n in some], doc[some], size)
+            found += [(some[n], a, b) for n, a, b in ranges]
+            stay += [n for i, n in enumerate(some) if i not in gone]
+        if len(cuts) == 2:
+            break
+        if 10 * len(stay) > 9 * len(alive):
+            ranges, _ = settled_by_suffixes([data[n] for n in stay], doc[stay], size)
+            found += [(stay[n], a, b) for n, a, b in ranges]
+            break
+        alive = stay
+    return found
+
+
+def in_names(name: np.ndarray, sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of entries, sorted by name: whole names, up to ``most`` of ``sizes`` or one name."""
+    starts = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]])) if len(name) else np.zeros(0, np.int64)
+    begin, held = 0, 0
+    for low, more in zip(starts.tolist(), np.add.reduceat(sizes, starts).tolist() if len(starts) else [], strict=True):
+        if held and held + more > most:
+            yield begin, low
+            begin, held = low, 0
+        held += more
+    if held:
+        yield begin, len(name)
+
+
+def settled_names(name: np.ndarray, doc: np.ndarray, data: list[bytes], size: int) -> Iterator[tuple[int, int, int]]:
+    """(entry, first byte, end) of the ranges that an earlier document has too, of strings sorted by name."""
+    hasher = Hasher()
+    for low, high in in_names(name, np.array([len(d) for d in data], np.int64), SLICE):
+        left = possible(hasher, name[low:high], data[low:high], doc[low:high], size)
+        entry = np.array([n + low for n, _, _ in left], np.int64)
+        for begin, end in in_names(name[entry], np.array([b - a + 1 for _, a, b in left], np.int64), AT_ONCE):
+            strings = [data[low + n][a:b] for n, a, b in left[begin:end]]
+            for n, a, b in settled_in_rounds(strings, doc[entry[begin:end]], size):
+                shift = left[begin + n][1]
+                yield low + left[begin + n][0], shift + a, shift + b
+
+
 def looked_at(cut: DataFrame, size: int) -> DataFrame:
     """Ranges that go: file, row, low, high."""
 
     def of(key, part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["name", "doc", "file", "row", "low"])
-        name, doc, low = (part[c].to_numpy(np.int64) for c in ("name", "doc", "low"))
-        data = [bytes(d) for d in part["data"]]
-        left = possible(Hasher(), name, data, doc, size)
-        found: list[tuple[int, int, int]] = []
-        begin = 0
-        while begin < len(left):
-            # Whole names, up to AT_ONCE symbols or one name.
-            end, symbols = begin, 0
-            while end < len(left):
-                stop = end
-                while stop < len(left) and name[left[stop][0]] == name[left[end][0]]:
-                    stop += 1
-                more = sum(b - a + 1 for _, a, b in left[end:stop])
-                if symbols and symbols + more > AT_ONCE:
-                    break
-                end, symbols = stop, symbols + more
-            some = left[begin:end]
-            entries = np.array([n for n, _, _ in some])
-            for n, a, b in settled_by_suffixes([data[n][a:b] for n, a, b in some], doc[entries], size):
-                entry, shift, _ = some[n]
-                found.append((entry, shift + a, shift + b))
-            begin = end
-        entry = np.array([n for n, _, _ in found], np.int64)
-        a, b = (np.array([f[i] for f in found], np.int64) + low[entry] for i in (1, 2))
-        return marks_of(part["file"].to_numpy()[entry], part["row"].to_numpy()[entry], a, b)
+        known = part["data"].isna()
+        done = part.loc[known, ["file", "row", "low", "high"]]
+        part = part[~known].sort_values(["name", "doc"])
+        if not len(part):
+            return done
+        # What a document has several times is compared once.
+        same = part.groupby(["name", "doc", "data"], sort=False).ngroup().to_numpy()
+        _, first = np.unique(same, return_index=True)
+        name, doc = (part[c].to_numpy(np.int64)[first] for c in ("name", "doc"))
+        data = part["data"].to_numpy()[first].tolist()
+        found = list(settled_names(name, doc, data, size))
+        entry, a, b = np.array(found, np.int64).reshape(-1, 3).T
+        ranges = pd.DataFrame({"same": entry, "a": a, "b": b})
+        places = pd.DataFrame({"same": same, **{c: part[c].to_numpy() for c in ("file", "row", "low")}})
+        hit = ranges.merge(places, on="same")
+        return pd.concat([done, marks_of(hit["file"], hit["row"], hit["low"] + hit["a"], hit["low"] + hit["b"])])
 
     return cut.groupBy("bucket").applyInPandas(of, "file long, row long, low long, high long")
 
@@ -333,20 +424,21 @@ def without_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bucket_
     total = docs.agg(F.sum(F.octet_length(text_of()))).first()[0] or 0
     buckets = int(total // bucket_bytes) + 1
     found = saved(compared(dealt_fragments(rows, buckets, size, gram), many), "repeats")
-    asks = found.filter("name is not null").groupBy("file", "row").agg(F.collect_list(F.struct("name", "low", "high", "wide")).alias("asks"))
+    # Arrays of numbers reach Python as numpy arrays, a list of structs as dictionaries.
+    asks = found.filter("name is not null").groupBy("file", "row").agg(F.collect_list(F.struct("name", "low", "high", "wide")).alias("a"))
+    asks = asks.select("file", "row", *[F.col(f"a.{c}").alias(f"{c}s") for c in ("name", "low", "high", "wide")])
     cut = cut_out(rows.drop("doc_id").join(asks, ["file", "row"]), 4 * buckets, size)
     seen = saved(looked_at(cut, size), "repeats-seen")
     gone = found.filter("name is null").select("file", "row", "low", "high").union(seen)
-    ranges = gone.groupBy("file", "row").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+    ranges = gone.groupBy("file", "row").agg(F.collect_list(F.struct("low", "high")).alias("r"))
+    ranges = ranges.select("file", "row", F.col("r.low").alias("lows"), F.col("r.high").alias("highs"))
 
     def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             out = []
-            for data, marked in zip(part["data"], part["ranges"], strict=True):
+            for data, low, high in zip(part["data"], part["lows"], part["highs"], strict=True):
                 runs = []
-                if marked is not None and len(marked):
-                    low = np.array([m["low"] for m in marked])
-                    high = np.array([m["high"] for m in marked])
+                if low is not None and len(low):
                     _, a, b = joined_runs(np.zeros(len(low), np.int64), low, high)
                     runs = list(zip(a.tolist(), b.tolist(), strict=True))
                 stays = [0, *[x for r in runs for x in r], len(data)]
@@ -358,4 +450,4 @@ def without_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bucket_
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, runs array<struct<low: long, high: long>>, kept binary"
-    return rows.join(ranges, ["file", "row"], "left").select("doc_id", "data", "ranges").mapInPandas(of, schema)
+    return rows.join(ranges, ["file", "row"], "left").select("doc_id", "data", "lows", "highs").mapInPandas(of, schema)

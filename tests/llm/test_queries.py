@@ -120,6 +120,36 @@ def test_substrings(spark, folder, many):
     same(found, [(i, *v) for i, rows in brute.removed(TWO).items() for v in rows])
 
 
+def covered(data, doc, size):
+    """For each string, which bytes a window covers that starts in an earlier document."""
+    first = {}
+    windows = [[t[i : i + size] for i in range(len(t) - size + 1)] for t in data]
+    for d, some in zip(doc, windows, strict=True):
+        for w in some:
+            first[w] = min(first.get(w, d), d)
+    return [{i + j for i, w in enumerate(some) if first[w] < d for j in range(size)} for d, some in zip(doc, windows, strict=True)]
+
+
+def test_rounds_and_slices(monkeypatch):
+    monkeypatch.setattr(substrings, "SLICE", 100)
+    monkeypatch.setattr(substrings, "AT_ONCE", 2000)
+    rng = np.random.default_rng(3)
+    base = bytes(rng.choice(list(b"ab cd"), 400).tolist())
+    for _ in range(3):
+        cuts = rng.integers(0, 300, 150).tolist()
+        data = [base[a : a + 60 + a % 89] if i % 3 else b"a" * (50 + a % 150) for i, a in enumerate(cuts)]
+        doc = np.sort(rng.integers(0, 60, 150))
+        for found in (substrings.settled_in_rounds(data, doc, 50), substrings.settled_names(np.zeros(150, np.int64), doc, data, 50)):
+            got = [set() for _ in data]
+            for n, a, b in found:
+                got[n].update(range(a, b))
+            assert got == covered(data, doc.tolist(), 50)
+    hasher, text = substrings.Hasher(), rng.bytes(1000)
+    sums, at = hasher.sums(np.frombuffer(text, np.uint8)), np.arange(3, 851)
+    names = hasher.of(sums, at, at + 50).astype(np.int64).tolist()
+    assert list(substrings.windows_of(hasher, text, 3, 900, 50)) == list(zip(names, at.tolist(), strict=True))
+
+
 def test_quality_separates_and_never_sees_labels(spark, tmp_path):
     rows = [(i, "All of the words in this plain line are ordinary ones. " * (1 + i % 5) if i % 2 else "JUNK!! ### $$$ " * (3 + i % 7), i % 2) for i in range(200)]
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
