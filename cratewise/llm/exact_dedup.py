@@ -18,10 +18,13 @@ from pyspark.sql import functions as F
 
 from cratewise.llm.common import BLANKS, chosen_rows, file_backed, fresh_path, located, saved, text_of
 
-#: State on the executors' disks; small stores, so no space is set aside for each.
+#: State on the executors' disks; small stores, so no space is set aside for each, and all of one executor share
+#: one bounded memory.
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
 }
 
 
