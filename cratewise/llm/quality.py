@@ -131,8 +131,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Discriminant:
     """Learns from the labelled documents whose fold isn't 0."""
     marked = labels.filter(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("y")).distinct()
     size = len(FEATURES)
-    known = docs.select("doc_id", "text").filter(fold_of() != 0).join(marked, "doc_id")
-    rows = with_statistics(known.select("y", "text"))
+    # Statistics come before the join: only they are shuffled, never texts.
+    known = docs.select("doc_id", "text").filter("doc_id is not null").filter(fold_of() != 0)
+    rows = with_statistics(known).join(marked, "doc_id")
     sums = [F.sum(F.col("x")[i]) for i in range(size)]
     products = [F.sum(F.col("x")[i] * F.col("x")[j]) for i in range(size) for j in range(i, size)]
     found = {}
