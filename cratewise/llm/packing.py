@@ -2,11 +2,12 @@
 
 What matters for a packing is how many pieces there are of each length, and there
 are no more lengths than a sequence has tokens. So the search runs on that table
-alone: around the largest piece left, fillings are enumerated that no other one
-dominates, worse ones are pruned by the waste a solution may still have, and the
-best-fit packing is the first incumbent. Each filling is used as often as the
-counts allow. Spark then deals the pieces of each length, by their number within
-the length, to the places that the fillings leave for it.
+alone: a depth-first branch and bound takes, around the largest piece left, the
+fillings that no other one dominates, goes back to every choice, prunes by the
+waste a better solution may have, and starts from the best-fit packing. It ends
+when nothing better is possible or its budget of steps is spent. Spark then deals
+the pieces of each length, by their number within the length, to the places that
+the fillings leave for it.
 
 Cases: null and empty texts are one token, the separator; repeated rows are
 documents of their own; an empty table gives an empty result.
@@ -29,8 +30,8 @@ from cratewise.llm.common import bits_for, running_total, saved, text_of
 
 CAPACITY = 2048
 SEPARATOR = 0
-#: Fillings looked at around one largest piece, and words whose ids a task keeps.
-NODES, WORDS_KEPT = 400, 1_000_000
+#: Steps of the walk through fillings after which the fullest found are tried, steps of a whole search, and words whose ids a task keeps.
+LOOK, BUDGET, WORDS_KEPT = 400, 1_000_000, 1_000_000
 #: Marks that stand alone to the tokenizer when they follow letters.
 MARKS = frozenset(".,;:!?")
 #: Below this character, lower case is one letter for one, and letters are composed as they stand.
@@ -112,82 +113,188 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     return docs.select("doc_id", text_of().alias("text")).mapInPandas(of, schema)
 
 
-def fillings(room: int, lengths: list[int], counts: dict[int, int], nodes: int) -> Iterator[tuple[int, ...]]:
-    """Fillings of ``room`` with pieces of the given lengths (ascending), fullest choices first.
+def fillings(room: int, lengths: list[int], counts: dict[int, int]) -> Iterator[tuple[tuple[int, int], ...] | None]:
+    """Fillings of ``room`` as (length, copies), long pieces first, with pieces of the given lengths (ascending).
 
-    A filling is left out if a longer piece could stand in for one of its own or
-    another piece would still fit: such a filling is dominated.
+    Equal lengths are one step of the walk, whose stack is a list: a filling may
+    hold any number of pieces. A filling is left out if a longer piece could stand
+    in for one of its own or another piece would still fit: such a filling is
+    dominated. None is a step without a filling, so that the caller can count.
     """
-    left = [nodes]
-
-    def longest(limit: int, used: tuple[int, ...]) -> Iterator[int]:
-        at = bisect_right(lengths, limit)
-        while at:
-            at -= 1
-            if counts[lengths[at]] > used.count(lengths[at]):
-                yield lengths[at]
-
-    def grow(room: int, most: int, used: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
-        ended = True
-        for length in longest(min(room, most), used):
-            ended = False
-            if left[0] <= 0:
-                return
-            yield from grow(room - length, length, (*used, length))
-        if ended:
-            left[0] -= 1
-            # Dominated if a longer piece can stand in for one of its own, or one more fits.
-            if all(next(longest(room + k, used), 0) <= k for k in {0, *used}):
-                yield used
-
-    yield from grow(room, room, ())
-
-
-def complete(counts: dict[int, int], capacity: int, slack: int | None, nodes: int = NODES) -> list[tuple[tuple[int, ...], int]] | None:
-    """Fillings with the number of their uses; None as soon as the waste exceeds ``slack``.
-
-    Without a slack the first (best-fit) filling is taken each time; with one, the
-    filling of least waste among ``nodes`` that are looked at.
-    """
-    counts = {k: v for k, v in counts.items() if v}
-    lengths, packing, waste = sorted(counts), [], 0
+
+    def dominated(used: list[tuple[int, int]], rest: int) -> bool:
+        taken = dict(used)
+        for short in (0, *taken):
+            at = bisect_right(lengths, rest + short) - 1
+            while at >= 0 and lengths[at] > short and counts[lengths[at]] == taken.get(lengths[at], 0):
+                at -= 1
+            if at >= 0 and lengths[at] > short:
+                return True
+        return False
+
+    def choices(rest: int, below: int) -> Iterator[tuple[int, int, int]]:
+        for at in range(min(bisect_right(lengths, rest), below) - 1, -1, -1):
+            length = lengths[at]
+            for copies in range(min(counts[length], rest // length), 0, -1):
+                yield at, copies, rest - copies * length
+
+    used: list[tuple[int, int]] = []
+    stack = [choices(room, len(lengths))]
+    if next(choices(room, len(lengths)), None) is None:
+        yield ()
+        return
+    while stack:
+        step = next(stack[-1], None)
+        if step is None:
+            stack.pop()
+            if used:
+                used.pop()
+            continue
+        at, copies, rest = step
+        used.append((lengths[at], copies))
+        if next(choices(rest, at), None) is None:
+            yield None if dominated(used, rest) else tuple(used)
+            used.pop()
+        else:
+            yield None
+            stack.append(choices(rest, at))
+
+
+def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """The first filling around the largest piece left, as often as the counts allow, until none is left."""
+    counts, packing = {k: v for k, v in counts.items() if v}, []
+    lengths = sorted(counts)
     while lengths:
-        largest = lengths[-1]
+        largest, used = lengths[-1], {lengths[-1]: 1}
+        rest = capacity - largest
         counts[largest] -= 1
-        best = None
-        for found in fillings(capacity - largest, lengths, counts, 1 if slack is None else nodes):
-            empty = capacity - largest - sum(found)
-            if best is None or empty < best[0]:
-                best = (empty, found)
-            if empty == 0 or slack is None:
-                break
+        for length in reversed(lengths):
+            copies = min(counts[length], rest // length)
+            if copies:
+                used[length] = used.get(length, 0) + copies
+                rest -= copies * length
         counts[largest] += 1
-        empty, found = best
-        used = (largest, *found)
-        times = min(counts[k] // used.count(k) for k in set(used))
-        packing.append((used, times))
-        waste += empty * times
-        if slack is not None and waste > slack:
-            return None
-        for k in set(used):
-            counts[k] -= times * used.count(k)
+        times = min(counts[k] // n for k, n in used.items())
+        packing.append((tuple(k for k, n in used.items() for _ in range(n)), times))
+        for k, n in used.items():
+            counts[k] -= times * n
         lengths = [k for k in lengths if counts[k]]
     return packing
 
 
+class Search:
+    """Depth-first branch and bound over the table of counts.
+
+    A node is a filling around the largest piece left and the number of its uses.
+    All undominated fillings are tried in the end, the fullest of every ``look``
+    first; as many uses as the counts allow come before a single one, from which
+    any number follows. A branch ends where its waste exceeds what a packing of
+    one sequence fewer may waste. ``budget`` counts the steps of the whole search;
+    ``proven`` tells whether it ended by itself or at the lower bound.
+    """
+
+    def __init__(self, counts: dict[int, int], capacity: int, size: int, least: int, look: int, budget: int):
+        self.counts = {k: v for k, v in counts.items() if v}
+        self.capacity, self.size, self.least, self.look, self.budget = capacity, size, least, look, budget
+        self.total = sum(k * v for k, v in counts.items())
+        self.best: list[tuple[tuple[tuple[int, int], ...], int]] | None = None
+        self.proven = size <= least
+
+    def slack(self) -> int:
+        """What a packing better by one sequence may waste."""
+        return (self.size - 1) * self.capacity - self.total
+
+    def options(self, waste: int) -> Iterator[tuple[tuple[tuple[int, int], ...], int, int]]:
+        """(filling, uses, its waste) around the largest piece left; the counts must be as they were at each step."""
+        counts = dict(self.counts)
+        lengths = sorted(k for k, v in counts.items() if v)
+        largest, single = lengths[-1], []
+        counts[largest] -= 1
+        room = self.capacity - largest
+
+        def ready(some: list[tuple[int, tuple[tuple[int, int], ...]]]):
+            for empty, used in sorted(some):
+                times = min(self.counts[k] // n for k, n in used)
+                if times > 1:
+                    single.append((used, 1, empty))
+                yield used, times, empty * times
+
+        batch, steps = [], 0
+        for found in fillings(room, lengths, counts):
+            self.budget -= 1
+            if self.budget < 0:
+                break
+            steps += 1
+            if found is not None:
+                empty = room - sum(k * n for k, n in found)
+                used = dict(found)
+                used[largest] = used.get(largest, 0) + 1
+                pair = (empty, tuple(sorted(used.items(), reverse=True)))
+                if empty == 0:
+                    yield from ready([pair])
+                elif waste + empty <= self.slack():
+                    batch.append(pair)
+            if steps >= self.look:
+                yield from ready(batch)
+                batch, steps = [], 0
+        yield from ready(batch)
+        yield from single
+
+    def run(self) -> Search:
+        """Goes on until nothing better is possible or the budget is spent."""
+        if self.proven or not self.counts:
+            return self
+        waste, path, stack = 0, [], [self.options(0)]
+        while stack:
+            option = next(stack[-1], None)
+            if option is None:
+                stack.pop()
+                if path:
+                    used, times, lost = path.pop()
+                    waste -= lost
+                    for k, n in used:
+                        self.counts[k] += times * n
+                continue
+            used, times, lost = option
+            if waste + lost > self.slack():
+                continue
+            path.append(option)
+            waste += lost
+            for k, n in used:
+                self.counts[k] -= times * n
+            if any(self.counts.values()):
+                stack.append(self.options(waste))
+                continue
+            self.best, self.size = [(used, times) for used, times, _ in path], sum(times for _, times, _ in path)
+            if self.size <= self.least:
+                self.proven = True
+                return self
+            path.pop()
+            waste -= lost
+            for k, n in used:
+                self.counts[k] += times * n
+        self.proven = self.budget >= 0
+        return self
+
+
+def lower_bound(counts: dict[int, int], capacity: int = CAPACITY) -> int:
+    """Sequences that any packing needs."""
+    total = sum(k * v for k, v in counts.items())
+    return max(-(-total // capacity), sum(v for k, v in counts.items() if 2 * k > capacity))
+
+
 def pack(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """The best packing found of ``counts`` (length to number of pieces)."""
-    total = sum(k * v for k, v in counts.items())
-    least = max(-(-total // capacity), sum(v for k, v in counts.items() if 2 * k > capacity))
-    best = complete(counts, capacity, None)
+    least = lower_bound(counts, capacity)
+    best = best_fit(counts, capacity)
     size = sum(times for _, times in best)
-    for nodes in (NODES // 20, NODES):
-        if size <= least:
+    for look, budget in ((LOOK // 20, BUDGET // 4), (LOOK, BUDGET)):
+        found = Search(counts, capacity, size, least, look, budget).run()
+        if found.best is not None:
+            best = [(tuple(k for k, n in used for _ in range(n)), times) for used, times in found.best]
+            size = found.size
+        if found.proven:
             break
-        # Whoever is to be better by one sequence may waste no more than this.
-        other = complete(counts, capacity, (size - 1) * capacity - total, nodes)
-        if other is not None:
-            best, size = other, sum(times for _, times in other)
     return best
 
 
