@@ -20,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratewise.llm.common import WORD, saved, text_of
+from cratewise.llm.common import WORD, chosen_rows, file_backed, located, saved, text_of
 from cratewise.llm.components import stars
 
 BITS = 64
@@ -108,3 +108,15 @@ def simhash_groups(docs: DataFrame, distance: int = 4, segments: int = 3) -> Dat
 
 def hex_of(column: str) -> Column:
     return F.lower(F.lpad(F.hex(column), 16, "0"))
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id; all columns as they came.
+
+    Documents without an id come after those that have one.
+    """
+    docs = file_backed(docs)
+    groups = simhash_groups(located(docs.select("doc_id", "text")))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_file", "_row")
+    first = groups.groupBy("root").agg(F.min(order).alias("first"))
+    return chosen_rows(docs, first.select("first._file", "first._row"))
