@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cratewise.llm import exact_dedup, mixing, near, packing, quality
+from cratewise.llm import exact_dedup, mixing, packing, quality, simhash
 from cratewise.llm.common import documents, saved
 from cratewise.llm.queries import vocabulary
 
@@ -25,8 +25,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (5-word shingles, similarity 0.8) stays."""
-    return near.keep_one_of_each(spark, docs)
+    """One document of each group of linked fingerprints stays, with the shingles and distance of op8."""
+    return simhash.keep_one_of_each(spark, docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
