@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratewise.llm import exact_dedup, imatch, licenses, mixing, packing, pii, quality, secrets, simhash, substrings
+from cratewise.llm import (
+    audit, exact_dedup, imatch, licenses, mixing, packing, pii, quality, search, secrets, simhash, substrings, toxicity,
+)
 from cratewise.llm.common import documents
 
 VOCABULARY = "word_bpe_49k.json"
@@ -80,10 +82,27 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed, 256).alias("base_sha256"), every.alias("spans"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    found = toxicity.scored(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    held = (toxicity.fold_of() == toxicity.HELD_OUT).alias("held_out")
+    more = [F.col(f"_{name}").alias(name) for name in ("lang_threshold", "flagged")]
+    return found.select("doc_id", held, F.col("_score").alias("score"), F.col("_predicted").alias("predicted"), *more)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pii, op2_license_scan, op3_mixing, op4_exact_dedup, op5_imatch,
         op6_suffix_dedup, op7_quality, op8_simhash, op9_packing, op10_secrets,
+        op11_search, op12_filter_audit, op13_toxicity,
     )
 }

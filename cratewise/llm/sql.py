@@ -38,7 +38,67 @@ def license_scan() -> str:
         SELECT doc_id, digest, license FROM seen LEFT JOIN known USING (digest)"""
 
 
+#: Fixed value: a term of the lexical search, after A-Z are lower-cased.
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def search() -> str:
+    """Every score of every item and document that share a term, ranked."""
+    upper = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
+    terms = f"unnest(regexp_extract_all(translate(text, '{upper}', '{upper.lower()}'), {quoted(TERM)})) AS term"
+    return f"""
+        WITH t AS (SELECT doc_id, {terms} FROM documents),
+             d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+             g AS (SELECT count(*) AS docs, sum(n) AS words FROM d),
+             m AS (SELECT doc_id, 25 + (75 * n * docs) // words AS m FROM d, g),
+             q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, {terms} FROM benchmark) GROUP BY ALL),
+             tf AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+             w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+                   FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), g),
+             s AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+                   FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+             r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+                   FROM s WHERE score > 0)
+        SELECT * FROM r WHERE rank <= 10"""
+
+
+def filter_audit() -> str:
+    """Every order of the filters over the table of failed filters; shares as sums over all orders."""
+    letters = "(SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS b)"
+    steps = [f"SELECT o, {i} AS step, p{i} AS own, {'+'.join(['0', *[f'p{j}' for j in range(1, i)]])} AS before FROM orders" for i in range(1, 6)]
+    pairs = [(i, j) for i in range(1, 6) for j in range(i + 1, 6)]
+    return f"""
+        WITH w AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                          regexp_extract_all(coalesce(text, ''), {quoted("[^" + BLANK[1:])}) AS words FROM documents),
+             l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+             f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                          CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+                          + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+                          + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+                          + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+                          + CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS fails
+                   FROM w LEFT JOIN l USING (doc_id)),
+             cells AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+             orders AS (SELECT {"||".join(f"l{i}.l" for i in range(1, 6))} AS o, {", ".join(f"l{i}.b AS p{i}" for i in range(1, 6))}
+                        FROM {", ".join(f"{letters} AS l{i}" for i in range(1, 6))} WHERE {" AND ".join(f"l{i}.b <> l{j}.b" for i, j in pairs)}),
+             steps AS ({" UNION ALL ".join(steps)}),
+             found AS (SELECT part, o, step, own,
+                              sum(n) FILTER (fails & (before | own) = 0) AS kept,
+                              sum(n) FILTER (fails & before = 0 AND fails & own <> 0) AS removed,
+                              sum(n) FILTER (fails & before <> 0 AND fails & own <> 0) AS redundant,
+                              sum(n) FILTER (fails = own) AS unique_fails,
+                              sum(good) FILTER (fails & before = 0 AND fails & own <> 0) AS good_lost,
+                              sum(toxic) FILTER (fails & before = 0 AND fails & own <> 0) AS toxic_lost
+                       FROM cells, steps GROUP BY part, o, step, own)
+        SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step,
+               {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))},
+               CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley
+        FROM found"""
+
+
 SQL: dict[str, str] = {
     "op2_license_scan": license_scan(),
     "op4_exact_dedup": exact_dedup(),
+    "op11_search": search(),
+    "op12_filter_audit": filter_audit(),
 }

@@ -1,9 +1,11 @@
 """Plain, slow versions of what the operators compute, to hold results against."""
 
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from itertools import permutations
 
 import numpy as np
 import public_tokenizers
@@ -168,3 +170,56 @@ def token_pieces(rows, capacity=2048):
             cut = ids[start : start + capacity]
             out.append((doc_id, number, start, len(cut), zlib.crc32(np.array(cut, "<u4").tobytes())))
     return out
+
+
+def search(rows, items, k=10):
+    """(item_id, rank, doc_id, score); equal scores by doc_id, rows without an id last."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    terms = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(lower))
+    docs = [(i, Counter(terms(t))) for i, t in rows]
+    docs = [(i, c) for i, c in docs if c]
+    holders = Counter(t for _, c in docs for t in c)
+    length, out = sum(sum(c.values()) for _, c in docs), []
+    for item_id, text in sorted(set(items), key=repr):
+        scores = []
+        for doc_id, counts in docs:
+            m = 25 + (75 * sum(counts.values()) * len(docs)) // length
+            score = 0
+            for t in terms(text):
+                if tf := counts[t]:
+                    w = math.floor(1000 * math.log((2 * len(docs) + 2) / (2 * holders[t] + 1)))
+                    score += w * ((1_000_000_000 * tf) // (1000 * tf + 8 * m))
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id))
+        out += [(item_id, n, doc_id, -s) for n, (s, _, doc_id) in enumerate(sorted(scores, key=lambda r: (r[0], r[1], r[2] or 0))[:k], 1)]
+    return out
+
+
+def failed(text):
+    words = WORD.findall(text)
+    found = {"A": len(words) < 200, "B": 100 * len(set(words)) < 50 * len(words)}
+    found["C"] = 100 * sum("A" <= c <= "Z" for c in text) > 3 * len(text)
+    found["D"] = any(c in "#$%&*|" for c in text)
+    return {k for k, v in found.items() if v}
+
+
+def audit(rows, good, toxic):
+    """rows: (doc_id, text, part). Every order is run over every document."""
+    first = {}
+    for i, t, _ in rows:
+        if i is not None:
+            first[t or ""] = min(i, first.get(t or "", i))
+    fails = [(p, failed(t or "") | ({"E"} if i is not None and i > first[t or ""] else set()), i) for i, t, p in rows]
+    out, shares = [], Counter()
+    for part in {p for _, _, p in rows}:
+        own = [(f, i) for p, f, i in fails if p == part]
+        for order in permutations("ABCDE"):
+            left = own
+            for step, name in enumerate(order, 1):
+                gone, kept = [d for d in left if name in d[0]], [d for d in left if name not in d[0]]
+                every = sum(name in f for f, _ in own)
+                counts = len(kept), len(gone), every - len(gone), sum(f == {name} for f, _ in own)
+                out.append((part, "".join(order), step, *counts, sum(i in good for _, i in gone), sum(i in toxic for _, i in gone)))
+                shares[part, name] += len(gone)
+                left = kept
+    return [(*r, shares[r[0], r[1][r[2] - 1]]) for r in out]

@@ -6,7 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from rows import ROWS  # noqa: E402
+from rows import ITEMS, ROWS  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -27,4 +27,6 @@ def folder(spark, tmp_path_factory):
         spark.createDataFrame(some, kind).repartition(3).write.parquet(str(top / name / "documents.parquet"))
         labels = [(i, i % 2, 0) for i, _, _ in ROWS if i is not None] if some else []
         spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(top / name / "labels.parquet"))
+        items = spark.createDataFrame(ITEMS if some else [], "item_id long, text string")
+        items.write.parquet(str(top / name / "benchmark.parquet"))
     return top

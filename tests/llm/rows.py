@@ -22,3 +22,15 @@ ROWS = [
     (None, COMMON, "a"),
     (13, "one two", "b"),
 ]
+#: Items of a search: a null and an empty one, a tie, an item that repeats whole, two that share an id, one without an id.
+ITEMS = [
+    (1, "The quick brown fox"),
+    (2, None),
+    (3, "..."),
+    (4, "Words DIFFER words words 2nd"),
+    (4, "Words DIFFER words words 2nd"),
+    (5, "Été straße \U0001f600"),
+    (5, "aaaa"),
+    (6, "unheard-of"),
+    (None, "the river"),
+]
