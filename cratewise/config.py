@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field, replace
+from datetime import date
 
 # Unit factor, target types and the words dropped from a brand
 # text before it becomes a key (in this order).
@@ -21,21 +22,23 @@ BRAND_WORDS_REMOVED = (
     "H + HK",
 )
 
-REQUIRED_TABLES = (
-    "aop_target",
-    "sales_target",
-    "snop_target",
-    "agent_left",
-    "brand_left",
-    "calendar_mdm",
-    "hl_converter",
-    "plant_code",
-    "stock",
-    "py_shipment",
-    "actual_shipment",
-    "py_depletion",
-    "ytd_depletion",
-)
+# The input tables, with the name of the view over each as it was loaded.
+VIEWS = {
+    "aop_target": "fact_aop_target",
+    "sales_target": "fact_sales_target",
+    "snop_target": "fact_snop_target",
+    "agent_left": "dim_agent",
+    "brand_left": "dim_brand_raw",
+    "calendar_mdm": "dim_calendar",
+    "hl_converter": "dim_hl_converter",
+    "plant_code": "dim_plant",
+    "stock": "fact_stock",
+    "py_shipment": "fact_py_shipment",
+    "actual_shipment": "fact_actual_shipment",
+    "py_depletion": "fact_py_depletion",
+    "ytd_depletion": "fact_ytd_depletion",
+}
+REQUIRED_TABLES = tuple(VIEWS)
 
 # Accepted header spellings per role; the first one present wins.
 EVENT_DATE = ("Date", "Billing Date", "Shipment Date", "Posting Date", "Invoice Date")
@@ -101,6 +104,17 @@ CALENDAR_FLAG = (
 )
 STOCK_DATE = ("Reporting Date", "Date", "Stock Date", "Month", "Posting Date")
 
+# The roles of the volume facts. A row without any of them counts nowhere, so
+# blank rows are told by these columns and the others are never read.
+FACT_ROLES = {
+    "actual_shipment": (EVENT_DATE, CUTOFF_DATE, SHIPMENT_AGENT, SHIPMENT_ITEM, SHIPMENT_CRATES),
+    "py_shipment": (EVENT_DATE, SHIPMENT_AGENT, SHIPMENT_ITEM, SHIPMENT_CRATES),
+    "ytd_depletion": (DEPLETION_DATE, DEPLETION_AGENT, DEPLETION_ITEM, DEPLETION_HL + DEPLETION_CRATES, DIVISION),
+    "py_depletion": (DEPLETION_DATE, DEPLETION_AGENT, DEPLETION_ITEM, DEPLETION_HL + PY_DEPLETION_CRATES, DIVISION),
+}
+# Tables of which the first row of a key counts, in source order.
+KEEP_FIRST_TABLES = ("agent_left", "brand_left", "calendar_mdm")
+
 
 @dataclass(frozen=True)
 class BrandRules:
@@ -132,6 +146,8 @@ class ReportConfig:
     default_target_year: int = 2026
     selected_target_type: str = "Sales Target"
     number_mode: str = "compat"
+    # The report as it was on this day: later shipments and stock snapshots don't count.
+    as_of: date | None = None
     brand_rules: BrandRules = field(default_factory=BrandRules)
 
     def __post_init__(self):
@@ -148,6 +164,8 @@ class ReportConfig:
         values = dict(raw)
         if "brand_rules" in values:
             values["brand_rules"] = BrandRules.from_dict(values["brand_rules"])
+        if isinstance(values.get("as_of"), str):
+            values["as_of"] = date.fromisoformat(values["as_of"])
         return ReportConfig(**values)
 
     @staticmethod

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from calendar import isleap
+from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cratewise.functions.numbers import SIGNED, parsed_number
-from cratewise.functions.sql import let, text
+from cratewise.functions.sql import let, quoted, text
 from cratewise.functions.text import strip
 
 # Accepted month spellings.
@@ -27,6 +30,7 @@ MONTH_NAMES = {
     "DEC": 12, "DECEMBER": 12,
 }
 SERIAL_ORIGIN = "1899-12-30"
+TYPED_DAYS = (T.DateType, T.TimestampType, T.TimestampNTZType)
 # The years a bare year text may name.
 YEAR_ONLY = (1678, 2261)
 
@@ -95,19 +99,48 @@ def from_shape(value: str, shape: Shape, default_year: int | None = None) -> str
 def parse_date(value: str) -> str:
     """Day-first text to a date, null where no accepted shape fits.
 
-    Text that starts with a four-digit year is always year-month-day.
+    Text that starts with a four-digit year is always year-month-day. Frames with
+    many rows take ``parsed_days``.
     """
-    branches = ", ".join(from_shape("t", shape) for shape in WHOLE_DATES)
-    return let(f"upper({strip(value)})", "t", f"coalesce({branches})")
+    return let(f"upper({strip(value)})", "t", _whole_date("t"))
+
+
+def _whole_date(key: str) -> str:
+    return f"coalesce({', '.join(from_shape(key, shape) for shape in WHOLE_DATES)})"
+
+
+def parsed_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with text columns parsed as ``parse_date`` does, row by row."""
+    keys = df.selectExpr(*[f"upper({strip(quoted(c))}) as {quoted(c)}" if c in columns else quoted(c) for c in df.columns])
+    return keys.selectExpr(*[f"{_whole_date(quoted(c))} as {quoted(c)}" if c in columns else quoted(c) for c in df.columns])
+
+
+def parsed_days(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``parsed_rows`` for frames with many rows.
+
+    Sheets and logs spell few different days in very many rows, so each spelling
+    is parsed once: the distinct ones are parsed and looked up, broadcast where
+    their measured size allows.
+    """
+    for column in columns:
+        spelled = df.selectExpr(f"{quoted(column)} as _spelled").distinct()
+        days = parsed_rows(spelled.selectExpr("_spelled", "_spelled as _day"), ["_day"])
+        joined = df.join(days, F.col(quoted(column)) == F.col("_spelled"), "left")
+        df = joined.selectExpr(*[f"_day as {quoted(c)}" if c == column else quoted(c) for c in df.columns])
+    return df
 
 
 def date_from(value: str, data_type: T.DataType) -> str:
     """``parse_date`` for text; typed dates and timestamps lose the time of day."""
+    day = day_or_text(value, data_type)
+    return day if isinstance(data_type, TYPED_DAYS) else parse_date(day)
+
+
+def day_or_text(value: str, data_type: T.DataType) -> str:
+    """The day of a typed date or timestamp; anything else as text, for ``parsed_days``."""
     if isinstance(data_type, T.DateType):
         return value
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
-        return f"to_date({value})"
-    return parse_date(f"cast({value} as string)")
+    return f"to_date({value})" if isinstance(data_type, TYPED_DAYS) else f"cast({value} as string)"
 
 
 def month_start(value: str) -> str:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cratewise import config as names
 from cratewise.config import ReportConfig
-from cratewise.functions.dates import date_from
+from cratewise.functions.dates import day_or_text
 from cratewise.functions.numbers import number_from
 from cratewise.functions.sql import day, number, quoted
 from cratewise.operators.calendar import ReportDates
@@ -28,18 +28,18 @@ Window = tuple[date | None, date]
 
 
 def shape_shipment(df: DataFrame, table: str, config: ReportConfig, with_cutoff: bool = False) -> DataFrame:
-    """event_date, agent_raw, item_raw, crates (and cutoff_date)."""
+    """event_date, agent_raw, item_raw, crates (and cutoff_date); days that are text stay text (see ``day_sums``)."""
     event = find_col(df, names.EVENT_DATE, table)
     crates = find_col(df, names.SHIPMENT_CRATES, table)
     columns = [
-        f"{date_from(quoted(event), type_of(df, event))} as event_date",
+        f"{day_or_text(quoted(event), type_of(df, event))} as event_date",
         f"cast({quoted(find_col(df, names.SHIPMENT_AGENT, table))} as string) as agent_raw",
         f"cast({quoted(find_col(df, names.SHIPMENT_ITEM, table))} as string) as item_raw",
         f"{number_from(quoted(crates), type_of(df, crates), config.number_mode)} as crates",
     ]
     if with_cutoff:
         cutoff = find_col(df, names.CUTOFF_DATE, table)
-        columns.append(f"{date_from(quoted(cutoff), type_of(df, cutoff))} as cutoff_date")
+        columns.append(f"{day_or_text(quoted(cutoff), type_of(df, cutoff))} as cutoff_date")
     return df.selectExpr(*columns)
 
 
@@ -53,7 +53,7 @@ def shape_depletion(df: DataFrame, table: str, crate_names: Sequence[str], confi
         crates = f"{crates} / {number(config.hl_per_crate)}"
     division = optional_col(df, names.DIVISION)
     return df.selectExpr(
-        f"{date_from(quoted(event), type_of(df, event))} as event_date",
+        f"{day_or_text(quoted(event), type_of(df, event))} as event_date",
         f"cast({quoted(find_col(df, names.DEPLETION_AGENT, table))} as string) as agent_raw",
         f"cast({quoted(find_col(df, names.DEPLETION_ITEM, table))} as string) as item_raw",
         f"cast({quoted(division) if division else 'null'} as string) as dv_raw",
@@ -118,7 +118,7 @@ def window_sums(
     ranks: Mapping[str, int] | None = None,
     until: date | None = None,
 ) -> DataFrame:
-    """One conditional sum per window and source-name pair, in one pass.
+    """One conditional sum per window and source-name pair, in one pass over a fact or its day sums.
 
     A window sum is null where the pair has no row in it. ``ranks`` numbers the
     windows whose rows make a key part of the report. ``until`` cuts rows

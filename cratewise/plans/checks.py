@@ -13,6 +13,7 @@ from cratewise.functions.numbers import growth, safe_divide, show_number, show_p
 from cratewise.functions.sql import day, number, quoted, text
 from cratewise.operators import volumes
 from cratewise.operators.calendar import daily_volume, with_working_day
+from cratewise.operators.day_sums import rows_of
 from cratewise.plans.inputs import Inputs
 from cratewise.plans.wide import with_report_names
 
@@ -27,6 +28,17 @@ PERIOD_MEASURES = (
     "last_day_shipment", "wtd_shipment", "last_day_py_shipment", "wtd_py_shipment",
     "last_day_depletion", "wtd_depletion", "last_day_py_depletion", "wtd_py_depletion",
 )
+UNIT_AND_TYPE = ("UOM", "Target Type")
+# Levels of the totals, in the order of their grouping ids.
+LEVELS = (UNIT_AND_TYPE, ("UOM",), ("Target Type",), ())
+TOTAL_COLUMNS = (
+    "MTD_Sales", "MTD_Target", "MTD_Depletion", "YTD_Sales", "YTD_Target", "YTD_Depletion",
+    "MTD_PY", "YTD_PY", "Beginning_Stock", "Stock_per_Agent", "Avg_Daily_Depletion",
+)
+PERIOD_COLUMNS = (
+    "Last_Day_Sales", "Last_Day_Target", "Last_Day_Depletion",
+    "WTD_Sales", "WTD_Target", "WTD_Depletion", "MTD_Sales", "YTD_Sales",
+)
 # Display styles: decimals of a plain number, "%" or "+%".
 Styles = Mapping[str, int | str]
 
@@ -126,6 +138,11 @@ def reconciliation(inputs: Inputs, table: DataFrame) -> DataFrame:
     return metric_values(one_row([source, final]), values)
 
 
+def same_total(source: float, final: float) -> bool:
+    """Whether two totals round to the same whole number, halves to even."""
+    return round(source) == round(final)
+
+
 def assert_reconciled(check: DataFrame) -> None:
     """Raises unless the rounded year-to-date totals agree."""
     names = ("Source YTD Shipment Crates", "Final YTD Shipment Crates")
@@ -177,7 +194,7 @@ def working_day_split(inputs: Inputs) -> DataFrame:
     parts = []
     for label, (fact, until, calendar_day) in facts.items():
         kept = fact.filter(f"event_date <= {day(until)}")
-        daily = kept.groupBy("event_date").agg(F.expr("count(*) as row_count"), F.expr(total("crates", "crates")))
+        daily = kept.groupBy("event_date").agg(F.expr(f"{rows_of(kept)} as row_count"), F.expr(total("crates", "crates")))
         parts.append(daily.selectExpr(f"{text(label)} as source", f"{calendar_day} as day", "row_count", "crates"))
     flagged = with_working_day(parts[0].unionByName(parts[1]), "day", inputs.calendar)
     return flagged.groupBy("source", "is_working_day").agg(
@@ -205,51 +222,76 @@ def totals_by_uom(report: DataFrame) -> DataFrame:
     return summed.unpivot(["UOM"], None, "metric", "value")
 
 
-def totals_by_uom_type(extract: DataFrame) -> DataFrame:
-    columns = (
-        "MTD_Sales", "MTD_Target", "MTD_Depletion", "YTD_Sales", "YTD_Target", "YTD_Depletion",
-        "MTD_PY", "YTD_PY", "Beginning_Stock", "Stock_per_Agent", "Avg_Daily_Depletion",
-    )
-    return summed_by(extract, ["UOM", "Target Type"], columns).selectExpr(
-        "*",
+def with_total_ratios(summed: DataFrame) -> DataFrame:
+    """Totals per unit and type with the ratios of the totals."""
+    return summed.selectExpr(
+        *map(quoted, (*UNIT_AND_TYPE, *TOTAL_COLUMNS)),
         f"{growth('MTD_Sales', 'MTD_Target')} as `MTD Ach`",
         f"{growth('YTD_Sales', 'YTD_Target')} as `YTD Ach`",
         f"{safe_divide('Stock_per_Agent', 'Avg_Daily_Depletion')} as `Days of Stock`",
     )
 
 
+def totals_by_uom_type(extract: DataFrame) -> DataFrame:
+    return with_total_ratios(summed_by(extract, UNIT_AND_TYPE, TOTAL_COLUMNS))
+
+
+MEAN_COVER = "avg(`Days of Stock`) as Days_of_Stock"
+
+
+def shown_stock_totals(summed: DataFrame) -> DataFrame:
+    columns = ["Beginning_Stock", "Avg_Daily_Depletion", "Stock_per_Agent as Stock_Balance", "Days_of_Stock"]
+    return summed.selectExpr(*map(quoted, UNIT_AND_TYPE), *columns)
+
+
 def stock_totals(extract: DataFrame) -> DataFrame:
-    sums = totals(["Beginning_Stock", "Avg_Daily_Depletion"])
-    return extract.groupBy("UOM", "Target Type").agg(
-        *[F.expr(s) for s in sums],
-        F.expr(total("Stock_per_Agent", "Stock_Balance")),
-        F.expr("avg(`Days of Stock`) as Days_of_Stock"),
-    )
+    sums = totals(["Beginning_Stock", "Avg_Daily_Depletion", "Stock_per_Agent"])
+    return shown_stock_totals(extract.groupBy(*UNIT_AND_TYPE).agg(*[F.expr(s) for s in [*sums, MEAN_COVER]]))
+
+
+def shown_stock_change(summed: DataFrame) -> DataFrame:
+    return summed.selectExpr(
+        "UOM", "Carried_Stock as Beginning_Stock_Before", "Beginning_Stock as Beginning_Stock_After",
+        "Stock_per_Agent as Stock_Balance_After", "MTD_Sales", "MTD_Depletion",
+    )
 
 
 def stock_before_after(rows: DataFrame) -> DataFrame:
     """Stock per unit before and after the source figures replace the carried ones."""
-    return rows.groupBy("UOM").agg(
-        F.expr(total("Carried_Stock", "Beginning_Stock_Before")),
-        F.expr(total("Beginning_Stock", "Beginning_Stock_After")),
-        F.expr(total("Stock_per_Agent", "Stock_Balance_After")),
-        *[F.expr(s) for s in totals(["MTD_Sales", "MTD_Depletion"])],
-    )
+    columns = ["Carried_Stock", "Beginning_Stock", "Stock_per_Agent", "MTD_Sales", "MTD_Depletion"]
+    return shown_stock_change(summed_by(rows, ["UOM"], columns))
 
 
-def period_totals(extract: DataFrame) -> DataFrame:
-    columns = (
-        "Last_Day_Sales", "Last_Day_Target", "Last_Day_Depletion",
-        "WTD_Sales", "WTD_Target", "WTD_Depletion", "MTD_Sales", "YTD_Sales",
-    )
-    return summed_by(extract, ["UOM", "Target Type"], columns)
+def period_totals(extract: DataFrame, more_keys: Sequence[str] = ()) -> DataFrame:
+    return summed_by(extract, [*UNIT_AND_TYPE, *more_keys], PERIOD_COLUMNS)
 
 
 def zero_period_rows(totals: DataFrame) -> DataFrame:
-    """Units and types whose last-day and week sell-in are both zero."""
+    """Groups whose last-day and week sell-in are both zero."""
     return totals.filter((F.col("Last_Day_Sales") == 0) & (F.col("WTD_Sales") == 0))
 
 
+def level_totals(rows: DataFrame) -> DataFrame:
+    """All totals of the extract at every level of LEVELS, in one aggregate.
+
+    ``level`` names the keys a row is summed by; the other key is null there.
+    """
+    columns = dict.fromkeys([*TOTAL_COLUMNS, *PERIOD_COLUMNS, "Carried_Stock"])
+    sets = [[F.col(quoted(k)) for k in level] for level in LEVELS]
+    grouped = rows.groupingSets(sets, *[F.col(quoted(k)) for k in UNIT_AND_TYPE])
+    names = " ".join(f"when {number} then {text(level_name(level))}" for number, level in zip((0, 1, 2, 3), LEVELS, strict=True))
+    summed = grouped.agg(F.grouping_id().alias("_id"), *[F.expr(t) for t in [*totals(columns), MEAN_COVER]])
+    return summed.selectExpr(f"case _id {names} end as level", *[quoted(c) for c in summed.columns if c != "_id"])
+
+
+def level_name(keys: Sequence[str]) -> str:
+    return " and ".join(keys) or "All"
+
+
+def at_level(levels: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return levels.filter(F.col("level") == level_name(keys)).drop("level")
+
+
 def distinct_labels(extract: DataFrame) -> DataFrame:
     """The units and target types an extract holds."""
     return extract.select("UOM", F.col("Target Type")).distinct()

@@ -35,9 +35,9 @@ def regional_report(inputs: Inputs) -> DataFrame:
     joined = attach_by_region(joined, by_region(inputs.py_shipment(to_date=True), "py", factor))
     volumes = [f"{p}_shipment_{u}" for p in ("actual", "py") for u in ("crates", "hl")]
     report = joined.na.fill(0.0, subset=volumes)
-    # The grand total is a scalar subquery, not a window over all rows.
-    with_total = report.withColumn("grand_total", report.agg(F.sum("actual_shipment_crates")).scalar())
-    return with_total.selectExpr(
+    # One row per region: gathered with their total, so that the facts are planned once.
+    gathered = report.agg(F.collect_list(F.struct(*report.columns)).alias("rows"), F.sum("actual_shipment_crates").alias("grand_total"))
+    return gathered.selectExpr("grand_total", "inline(rows)").selectExpr(
         *report.columns,
         "actual_shipment_crates - target_crates_to_date as variance_vs_target_crates",
         f"{safe_divide('actual_shipment_crates', 'target_crates_to_date')} as achievement_pct",

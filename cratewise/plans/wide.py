@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cratewise.operators import kpi, metrics
@@ -11,9 +11,9 @@ from cratewise.plans.inputs import Inputs
 NAMES = ("division", "agent", "brand")
 
 
-def metric_table(inputs: Inputs) -> DataFrame:
+def metric_table(inputs: Inputs, observed: Observation | None = None) -> DataFrame:
     """Keys, names and the 35 measures, one row per (agent key, brand key)."""
-    return metrics.add_brand_name(metrics.assemble(inputs.metric_parts()), inputs.config.brand_rules)
+    return metrics.add_brand_name(metrics.assemble(inputs.metric_parts(observed)), inputs.config.brand_rules)
 
 
 def kpi_wide(inputs: Inputs, table: DataFrame | None = None) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cratewise.config import REQUIRED_TABLES
+from cratewise.config import FACT_ROLES, KEEP_FIRST_TABLES, REQUIRED_TABLES, VIEWS
 from cratewise.functions.sql import number, quoted
+from cratewise.sources.footers import FileBounds
 
 ROW_ID = "_row_id"
 FACT_SOURCE = "fact_source"
@@ -26,13 +27,6 @@ FACT_LABELS = {
     "sales_target": "Sales Target",
     "snop_target": "SNOP Target",
 }
-DIMENSION_VIEWS = {
-    "calendar_mdm": "dim_calendar",
-    "agent_left": "dim_agent",
-    "brand_left": "dim_brand_raw",
-    "hl_converter": "dim_hl_converter",
-    "plant_code": "dim_plant",
-}
 
 
 @dataclass(frozen=True)
@@ -52,33 +46,69 @@ def clean_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[clean_column_name(name) for name in df.columns])
 
 
+def tells_files(df: DataFrame) -> bool:
+    """Whether the source says which file a row comes from."""
+    try:
+        df.select("_metadata.file_path")
+        return True
+    except AnalysisException:
+        return False
+
+
 def with_row_id(df: DataFrame, *, from_files: bool) -> DataFrame:
-    """Adds a sortable id that follows the order of rows in the source files."""
+    """Adds a sortable id that follows the order of rows in the source files.
+
+    Sources without files have no order of their own: there the order is that of
+    the partitions as Spark reads them.
+    """
     parts = [F.monotonically_increasing_id().alias("row")]
     if from_files:
         parts = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")] + parts
     return df.withColumn(ROW_ID, F.struct(*parts))
 
 
-def read_table(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+def without_blank_rows(df: DataFrame, name: str | None) -> DataFrame:
+    """Drops rows that hold nothing.
+
+    Of a volume fact only the role columns are looked at, in a condition that
+    file formats can test themselves, so that a scan reads no other column.
+    """
+    roles = [optional_col(df, spellings) for spellings in FACT_ROLES.get(name, ())]
+    if not any(roles):
+        return df.na.drop("all", subset=[c for c in df.columns if c != ROW_ID])
+    held = [f"{quoted(column)} is not null" for column in dict.fromkeys(filter(None, roles))]
+    return df.filter(" or ".join(held))
+
+
+def read_table(spark: SparkSession, spec: SourceSpec, name: str | None = None) -> DataFrame:
+    """One table under clean headers; with row ids where the order of rows counts (or the table isn't named)."""
     reader = spark.read.format(spec.format)
     if spec.format == "csv":
         reader = reader.option("header", "true").option("inferSchema", "false")
-    df = reader.options(**dict(spec.options)).load(spec.path)
-    df = clean_columns(with_row_id(df, from_files=True))
-    return df.na.drop("all", subset=[name for name in df.columns if name != ROW_ID])
+    reader = reader.options(**dict(spec.options))
+    df = reader.load(spec.path) if spec.path else reader.load()
+    if name is None or name in KEEP_FIRST_TABLES:
+        df = with_row_id(df, from_files=tells_files(df))
+    return without_blank_rows(clean_columns(df), name)
+
+
+class LoadedTables(dict):
+    """Tables by name, and the bounds of their columns as far as the files tell them."""
+
+    def __init__(self, bounds: FileBounds):
+        super().__init__()
+        self.bounds = bounds
 
 
-def load_tables(
-    spark: SparkSession, specs: Mapping[str, SourceSpec]
-) -> tuple[dict[str, DataFrame], dict[str, str]]:
+def load_tables(spark: SparkSession, specs: Mapping[str, SourceSpec]) -> tuple[LoadedTables, dict[str, str]]:
     """Loads every table that can be loaded; the report maps each name to
     ``"loaded"`` or to the reason it was skipped."""
-    tables: dict[str, DataFrame] = {}
+    paths = {name: spec.path for name, spec in specs.items() if spec.format == "parquet" and not spec.options}
+    tables = LoadedTables(FileBounds(spark, paths))
     report: dict[str, str] = {}
     for name, spec in specs.items():
         try:
-            tables[name] = read_table(spark, spec)
+            tables[name] = read_table(spark, spec, name)
             report[name] = "loaded"
         except AnalysisException as error:
             report[name] = f"skipped: {str(error).splitlines()[0]}"
@@ -88,7 +118,7 @@ def load_tables(
 def require_tables(tables: Mapping[str, DataFrame]) -> None:
     missing = [name for name in REQUIRED_TABLES if name not in tables]
     if missing:
-        raise KeyError(f"These tables failed to load: {missing}. Check the source paths.")
+        raise KeyError(f"No data for the tables {missing}; name a readable source for each of them.")
 
 
 def tag_sources(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -101,16 +131,9 @@ def tag_sources(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 def register_views(tables: Mapping[str, DataFrame]) -> list[str]:
     """Registers the raw star schema as temporary views."""
-    names = []
-    for name, df in tables.items():
-        if name in DIMENSION_VIEWS:
-            view = DIMENSION_VIEWS[name]
-        elif name in FACT_LABELS:
-            view = f"fact_{name}"
-        else:
-            view = name
+    names = [VIEWS.get(name, name) for name in tables]
+    for view, df in zip(names, tables.values(), strict=True):
         df.createOrReplaceTempView(view)
-        names.append(view)
     return names
 
 
@@ -119,9 +142,7 @@ def find_col(df: DataFrame, candidates: Iterable[str], table: str) -> str:
     candidates = list(candidates)
     found = optional_col(df, candidates)
     if found is None:
-        raise KeyError(
-            f"No matching column found in {table}. Tried: {candidates}. Available columns: {df.columns}"
-        )
+        raise KeyError(f"Table {table} needs a column under one of the headers {candidates}; it has {df.columns}.")
     return found
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from cratewise.config import HL_PER_CRATE, REQUIRED_TABLES, ReportConfig
 
-CURRENT_YEAR = 2001
 # Columns the input tables are built from; a given schema spares a look at the files.
 SCHEMAS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_shipdate timestamp_ntz",
@@ -22,22 +21,24 @@ SCHEMAS = {
     "region": "r_regionkey int, r_name string",
 }
 UNMATCHED_BRAND = "Brand#25"
-# Snapshot day and the modulus its quantities are cut to.
-SNAPSHOTS = ((date(2001, 6, 1), 30), (date(2001, 7, 1), 50))
+# Month and day of a snapshot in the newest year, and the modulus its quantities are cut to.
+SNAPSHOTS = ((6, 1, 30), (7, 1, 50))
 SALES_FACTOR, SNOP_FACTOR, AOP_FACTOR = 1.10, 1.05, 1.20
-SAMPLE_CONFIG = ReportConfig(default_target_year=CURRENT_YEAR)
 
 
-def year_range(col: str, year: int, until: date | None = None) -> Column:
+def year_range(col: str, year: int) -> Column:
     """Bounds on the raw timestamp, so they reach the file scan."""
-    last = until or date(year, 12, 31)
-    return (F.col(col) >= F.lit(date(year, 1, 1)).cast("timestamp_ntz")) & (
-        F.col(col) < F.lit(date.fromordinal(last.toordinal() + 1)).cast("timestamp_ntz")
-    )
+    first, after = (F.lit(date(y, 1, 1)).cast("timestamp_ntz") for y in (year, year + 1))
+    return (F.col(col) >= first) & (F.col(col) < after)
 
 
 class SampleTables(Mapping):
-    """Input tables over ``<folder>/<table>.parquet``, each built when first asked for."""
+    """Input tables over ``<folder>/<table>.parquet``, each built when first asked for.
+
+    The current year is the newest one in which something was shipped or ordered,
+    the prior year the one before; the calendar has the days of the year on which
+    there ever was an order.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -51,14 +52,29 @@ class SampleTables(Mapping):
             self._read[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self._read[name]
 
+    @cached_property
+    def days(self) -> tuple[date, date]:
+        """The newest ship and order dates: two columns, one row each to the driver."""
+        newest = [self.table(t).agg(F.max(c).cast("date").alias("day")) for t, c in (("lineitem", "l_shipdate"), ("orders", "o_orderdate"))]
+        shipped, ordered = (row["day"] for row in newest[0].unionAll(newest[1]).collect())
+        return shipped or ordered or date(1, 1, 1), ordered or shipped or date(1, 1, 1)
+
+    @property
+    def year(self) -> int:
+        return max(self.days).year
+
+    @property
+    def config(self) -> ReportConfig:
+        return ReportConfig(default_target_year=self.year)
+
     def with_names(self, lines: DataFrame) -> DataFrame:
         """Line items with their supplier and brand names."""
         supplier = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
         part = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
         return lines.join(supplier, "l_suppkey").join(part, "l_partkey")
 
-    def shipped(self, year: int, until: date | None = None) -> DataFrame:
-        return self.with_names(self.table("lineitem").filter(year_range("l_shipdate", year, until)))
+    def shipped(self, year: int) -> DataFrame:
+        return self.with_names(self.table("lineitem").filter(year_range("l_shipdate", year)))
 
     @cached_property
     def agents(self) -> DataFrame:
@@ -103,11 +119,11 @@ class SampleTables(Mapping):
         )
 
     def calendar_mdm(self) -> DataFrame:
-        first, last = date(CURRENT_YEAR, 1, 1), date(CURRENT_YEAR, 12, 31)
-        days = self.spark.range(0, 1 + (last - first).days, numPartitions=1).select(
-            F.date_add(F.lit(first), F.col("id").cast("int")).alias("Date"), F.struct("id").alias("_row_id")
-        )
-        return days.withColumn("Working Day", F.when(F.dayofweek("Date") != 1, "Yes").otherwise("No"))
+        ordered = F.to_date("o_orderdate")
+        day = F.try_to_date(F.concat(F.lit(f"{self.year}-"), F.date_format(ordered, "MM-dd")), "yyyy-MM-dd")
+        days = self.table("orders").select(day.alias("Date")).filter("Date is not null").distinct()
+        flag = F.when(F.dayofweek("Date") != 1, "Yes").otherwise("No")
+        return days.select("Date", flag.alias("Working Day"), F.struct("Date").alias("_row_id"))
 
     def hl_converter(self) -> DataFrame:
         return self.table("part").select("p_brand").distinct().withColumn("HL per Crate", F.lit(HL_PER_CRATE))
@@ -115,18 +131,18 @@ class SampleTables(Mapping):
     def plant_code(self) -> DataFrame:
         return self.table("nation").select(F.col("n_nationkey").alias("Plant"), F.col("n_name").alias("Name"))
 
-    def shipment(self, year: int, until: date | None = None) -> DataFrame:
-        return self.shipped(year, until).select(
+    def shipment(self, year: int) -> DataFrame:
+        return self.shipped(year).select(
             F.col("l_shipdate").alias("Date"),
             F.col("s_name").alias("Agent"),
             F.col("p_brand").alias("Item Description"),
             F.col("l_quantity").alias("Invoiced Quantity"),
         )
 
-    def depletion(self, year: int, volume: str, until: date | None = None) -> DataFrame:
+    def depletion(self, year: int, volume: str) -> DataFrame:
         orders = (
             self.table("orders")
-            .filter(year_range("o_orderdate", year, until))
+            .filter(year_range("o_orderdate", year))
             .select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
         )
         return (
@@ -146,7 +162,7 @@ class SampleTables(Mapping):
         part = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
         volume = (
             self.table("lineitem")
-            .filter(year_range("l_shipdate", CURRENT_YEAR - 1))
+            .filter(year_range("l_shipdate", self.year - 1))
             .join(part, "l_partkey")
             .groupBy(F.col("l_suppkey").alias("s_suppkey"), "p_brand", F.month("l_shipdate").alias("month"))
             .agg(F.sum("l_quantity").alias("crates"))
@@ -167,20 +183,20 @@ class SampleTables(Mapping):
         return self.target(month, F.col("crates") * SALES_FACTOR, "Target", "Sales Unit", "Brand")
 
     def snop_target(self) -> DataFrame:
-        month = F.date_format(F.make_date(F.lit(CURRENT_YEAR), "month", F.lit(1)), "MMMM")
+        month = F.date_format(F.make_date(F.lit(self.year), "month", F.lit(1)), "MMMM")
         return self.target(month, F.col("crates") * SNOP_FACTOR, "Target Crates", "Agent", "Item Description")
 
     def aop_target(self) -> DataFrame:
-        month = (F.lit(CURRENT_YEAR * 100) + F.col("month")).cast("string")
+        month = (F.lit(self.year * 100) + F.col("month")).cast("string")
         value = F.col("crates") * AOP_FACTOR * HL_PER_CRATE
         return self.target(month, value, "Target, HL", "Agent", "Item Description")
 
     def stock(self) -> DataFrame:
         # One column per brand there is: as many as the part table has brands.
         brands = sorted(row[0] for row in self.table("part").select("p_brand").distinct().collect() if row[0])
-        per_agent = self.shipped(CURRENT_YEAR).groupBy("s_name").pivot("p_brand", brands).agg(F.sum("l_quantity"))
+        per_agent = self.shipped(self.year).groupBy("s_name").pivot("p_brand", brands).agg(F.sum("l_quantity"))
         snapshots = F.array(
-            *[F.struct(F.lit(day).alias("day"), F.lit(float(cut)).alias("cut")) for day, cut in SNAPSHOTS]
+            *[F.struct(F.lit(date(self.year, month, day)).alias("day"), F.lit(float(cut)).alias("cut")) for month, day, cut in SNAPSHOTS]
         )
         return per_agent.withColumn("snapshot", F.explode(snapshots)).select(
             F.col("snapshot.day").alias("Reporting Date"),
@@ -190,13 +206,13 @@ class SampleTables(Mapping):
 
     def build(self, name: str) -> DataFrame:
         if name == "py_shipment":
-            return self.shipment(CURRENT_YEAR - 1)
+            return self.shipment(self.year - 1)
         if name == "actual_shipment":
-            return self.shipment(CURRENT_YEAR)
+            return self.shipment(self.year)
         if name == "py_depletion":
-            return self.depletion(CURRENT_YEAR - 1, "Sales")
+            return self.depletion(self.year - 1, "Sales")
         if name == "ytd_depletion":
-            return self.depletion(CURRENT_YEAR, "Depletion")
+            return self.depletion(self.year, "Depletion")
         return getattr(self, name)()
 
     def __getitem__(self, name: str) -> DataFrame:

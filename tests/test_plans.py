@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cratewise.plans.inputs import Inputs
 from cratewise.plans.report import ReportBundle
-from cratewise.sources.sample import SAMPLE_CONFIG, SampleTables
+from cratewise.sources.sample import SampleTables
 from mini import CONFIG, TABLES, mini_tables
 from workload.join_chain import metric_table_by_joins
 
@@ -26,7 +26,8 @@ def plan_of(df):
 
 @pytest.fixture(scope="module")
 def bundle(spark, folder):
-    return ReportBundle(Inputs(SampleTables(spark, folder), SAMPLE_CONFIG))
+    sample = SampleTables(spark, folder)
+    return ReportBundle(Inputs(sample, sample.config))
 
 
 def rows_of(df):

@@ -7,12 +7,13 @@ ratios to eight places, volumes to four.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cratewise.config import BrandRules
+from cratewise.config import BrandRules, ReportConfig
 from cratewise.functions import dates as fd
 from cratewise.functions import numbers as fn
 from cratewise.functions import text as ft
@@ -25,7 +26,7 @@ from cratewise.plans.report import ReportBundle
 from cratewise.plans.wide import with_report_names
 from cratewise.session import configure, shared_path
 from cratewise.sources.extract import EXTRACT_COLUMNS, PERIODS, period_columns, read_extract, write_extract
-from cratewise.sources.sample import SAMPLE_CONFIG, SampleTables
+from cratewise.sources.sample import SampleTables
 
 # Rules of the family test: words of part names stand in for brand families.
 FAMILY_RULES = BrandRules(
@@ -41,13 +42,17 @@ def is_ratio(name: str) -> bool:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to their comparison precision; negative zero becomes zero."""
+    """Doubles to their comparison precision; negative zero becomes zero.
+
+    The order of a sum moves a double's last digits, and with them a value that
+    lies on the border of two rounded ones, so these digits go first.
+    """
     columns = []
     for field in df.schema.fields:
         value = quoted(field.name)
         if isinstance(field.dataType, T.DoubleType):
             scale = "1e8D" if is_ratio(field.name) else "1e4D"
-            value = f"rint({value} * {scale}) / {scale} + 0.0D as {value}"
+            value = f"rint(rint({value} * {scale} * 1e4D) / 1e4D) / {scale} + 0.0D as {value}"
         columns.append(value)
     return df.selectExpr(*columns)
 
@@ -57,8 +62,22 @@ class Run:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.sample = SampleTables(configure(spark), folder)
-        self.inputs = Inputs(self.sample, SAMPLE_CONFIG)
-        self.bundle = ReportBundle(self.inputs)
+
+    @cached_property
+    def config(self) -> ReportConfig:
+        return self.sample.config
+
+    @cached_property
+    def inputs(self) -> Inputs:
+        return Inputs(self.sample, self.config)
+
+    @cached_property
+    def bundle(self) -> ReportBundle:
+        return ReportBundle(self.inputs)
+
+    def as_of_orders(self) -> Inputs:
+        """The report as it was on the last day with an order, where shipments go on after it."""
+        return Inputs(self.sample, self.config.with_options(as_of=min(self.sample.days)))
 
     def table(self, name: str) -> DataFrame:
         return self.sample.spark.read.parquet(f"{self.sample.folder}/{name}.parquet")
@@ -116,6 +135,12 @@ def last_day_wtd_depletion(run: Run) -> DataFrame:
     return name_sums(run.inputs.depletion_sums(), ["last_day_depletion", "wtd_depletion"])
 
 
+@query
+def last_day_wtd_depletion_as_of(run: Run) -> DataFrame:
+    """The same on the last day with an order, when there is sell-out to see."""
+    return name_sums(run.as_of_orders().depletion_sums(), ["last_day_depletion", "wtd_depletion"])
+
+
 # -- master data and text ---------------------------------------------------
 
 
@@ -246,7 +271,7 @@ def month_text() -> Column:
 @query
 def target_month_parse(run: Run) -> DataFrame:
     counted = run.table("orders").groupBy(month_text().alias("month_raw")).agg(F.count("*").alias("row_count"))
-    parsed = fd.parse_target_month("month_raw", SAMPLE_CONFIG.default_target_year)
+    parsed = fd.parse_target_month("month_raw", run.config.default_target_year)
     return counted.selectExpr("*", f"{parsed} as month_start")
 
 
@@ -254,7 +279,7 @@ def target_month_parse(run: Run) -> DataFrame:
 def py_day_map(run: Run) -> DataFrame:
     """Order days on the report year's calendar, with the working-day flag found there."""
     days = run.table("orders").groupBy(F.to_date("o_orderdate").alias("order_day")).agg(F.count("*").alias("row_count"))
-    mapped = fd.same_day_in_year("order_day", SAMPLE_CONFIG.default_target_year)
+    mapped = fd.same_day_in_year("order_day", run.config.default_target_year)
     return cal.with_working_day(days.selectExpr("*", f"{mapped} as mapped_day"), "mapped_day", run.inputs.calendar)
 
 
@@ -305,7 +330,7 @@ def date_range_check(run: Run) -> DataFrame:
 
 @query
 def target_conform(run: Run) -> DataFrame:
-    conformed = targets.conform_targets(run.inputs.shaped_targets, run.inputs.brands, SAMPLE_CONFIG)
+    conformed = targets.conform_targets(run.inputs.shaped_targets, run.inputs.brands, run.config)
     return conformed.select(
         "target_type", "month_raw", "month_start", "dv", "agent", "original_brand", "brand_key",
         "reporting_name", "brand_match", "source_uom", "target_hl", "target_crates",
@@ -347,7 +372,7 @@ def regional_target_pivot(run: Run) -> DataFrame:
 
 @query
 def selected_target_region(run: Run) -> DataFrame:
-    return targets.selected_target_by_region(run.inputs.phased_targets, SAMPLE_CONFIG.selected_target_type)
+    return targets.selected_target_by_region(run.inputs.phased_targets, run.config.selected_target_type)
 
 
 @query
@@ -390,7 +415,7 @@ def stock_by_column(run: Run) -> DataFrame:
 
 @query
 def key_spine(run: Run) -> DataFrame:
-    return metrics.key_spine(run.inputs.metric_parts(), SAMPLE_CONFIG.brand_rules)
+    return metrics.key_spine(run.inputs.metric_parts(), run.config.brand_rules)
 
 
 @query
@@ -520,6 +545,22 @@ def zero_period_rows(run: Run) -> DataFrame:
     return checks.zero_period_rows(checks.period_totals(run.bundle.extract_rows))
 
 
+@query
+def zero_period_agents(run: Run) -> DataFrame:
+    """Agents without sell-in on the last day and in its week."""
+    return checks.zero_period_rows(checks.period_totals(run.bundle.extract_rows, ("Agent",)))
+
+
+@query
+def totals_by_level(run: Run) -> DataFrame:
+    return checks.level_totals(run.bundle.extract_rows)
+
+
+@query
+def extract_labels(run: Run) -> DataFrame:
+    return checks.distinct_labels(run.bundle.extract_rows)
+
+
 PREVIEW_ROWS = 100
 
 

@@ -4,6 +4,8 @@ table is a chain of left joins."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from cratewise.config import BRAND_WORDS_REMOVED
 from cratewise.functions.text import WHITESPACE
 from cratewise.operators.kpi import TARGETS, UNITLESS, WIDE_MEASURES, report_name
@@ -14,7 +16,8 @@ from cratewise.sources.extract import EXTRACT_COLUMNS, PERIODS
 from workload.queries import FAMILY_RULES, is_ratio
 
 HL = "CAST(0.0792 AS DOUBLE)"
-YEAR_END = "TIMESTAMP '2002-01-01'"
+# The newest year in which something was shipped or ordered.
+YEAR = "(SELECT y FROM span)"
 
 
 # -- expressions ------------------------------------------------------------
@@ -64,7 +67,8 @@ def quoted(name: str) -> str:
 
 def num(expression: str, alias: str) -> str:
     scale = "1e8" if is_ratio(alias) else "1e4"
-    return f"round_even(CAST({expression} AS DOUBLE) * {scale}::DOUBLE, 0) / {scale}::DOUBLE + 0.0 AS {quoted(alias)}"
+    steady = f"round_even(CAST({expression} AS DOUBLE) * {scale}::DOUBLE * 1e4::DOUBLE, 0) / 1e4::DOUBLE"
+    return f"round_even({steady}, 0) / {scale}::DOUBLE + 0.0 AS {quoted(alias)}"
 
 
 def total(expression: str) -> str:
@@ -74,6 +78,8 @@ def total(expression: str) -> str:
 # -- shared steps -----------------------------------------------------------
 
 STEPS: dict[str, str] = {}
+STEPS["span"] = """
+SELECT greatest((SELECT max(year(l_shipdate)) FROM lineitem), (SELECT max(year(o_orderdate)) FROM orders)) AS y"""
 STEPS["agents"] = """
 SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 10 <> 4 THEN r_name END AS division
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
@@ -91,23 +97,23 @@ SELECT DISTINCT {clean('p_brand')} AS brand_key,
        p_brand || CASE WHEN CAST(split_part(p_brand, '#', 2) AS INTEGER) % 2 = 0 THEN ' Beer' ELSE '' END
          AS reporting_name
 FROM part WHERE p_brand <> 'Brand#25'"""
-STEPS["calendar"] = """
-SELECT CAST(d AS DATE) AS date, CAST(date_trunc('month', d) AS DATE) AS month_start, dayofweek(d) <> 0 AS working
-FROM generate_series(DATE '2001-01-01', DATE '2001-12-31', INTERVAL 1 DAY) t(d)"""
+STEPS["calendar"] = f"""
+SELECT d AS date, CAST(date_trunc('month', d) AS DATE) AS month_start, dayofweek(d) <> 0 AS working
+FROM (SELECT DISTINCT TRY_CAST(CAST({YEAR} AS VARCHAR) || strftime(o_orderdate, '-%m-%d') AS DATE) AS d FROM orders) WHERE d IS NOT NULL"""
 STEPS["actual_all"] = f"""
 SELECT ship_day AS date, s_name AS source, p_brand AS item, l_quantity AS crates
-FROM lines WHERE l_shipdate >= TIMESTAMP '2001-01-01' AND l_shipdate < {YEAR_END}"""
-STEPS["py_all"] = """
+FROM lines WHERE year(l_shipdate) = {YEAR}"""
+STEPS["py_all"] = f"""
 SELECT ship_day AS date, s_name AS source, p_brand AS item, l_quantity AS crates
-FROM lines WHERE l_shipdate >= TIMESTAMP '2000-01-01' AND l_shipdate < TIMESTAMP '2001-01-01'"""
+FROM lines WHERE year(l_shipdate) = {YEAR} - 1"""
 STEPS["dep_all"] = f"""
 SELECT CAST(o_orderdate AS DATE) AS date, upper(s_name) AS source, p_brand AS item, l_quantity AS crates
 FROM lines JOIN orders ON l_orderkey = o_orderkey
-WHERE o_orderdate >= TIMESTAMP '2001-01-01' AND o_orderdate < {YEAR_END}"""
-STEPS["py_dep_all"] = """
+WHERE year(o_orderdate) = {YEAR}"""
+STEPS["py_dep_all"] = f"""
 SELECT CAST(o_orderdate AS DATE) AS date, upper(s_name) AS source, p_brand AS item, l_quantity AS crates
 FROM lines JOIN orders ON l_orderkey = o_orderkey
-WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderdate < TIMESTAMP '2001-01-01'"""
+WHERE year(o_orderdate) = {YEAR} - 1"""
 STEPS["anchor"] = """
 SELECT max(date) AS last_date, coalesce(max(date) FILTER (WHERE crates > 0), max(date)) AS report_day FROM actual_all"""
 STEPS["bounds"] = """
@@ -153,21 +159,21 @@ SELECT month_start, month_working_days, elapsed_working_days,
 FROM (SELECT c.month_start, any_value(d.month_start) AS current_month, count(*) FILTER (WHERE working) AS month_working_days,
              count(*) FILTER (WHERE working AND date <= last_date) AS elapsed_working_days
       FROM calendar c, dates d GROUP BY c.month_start)"""
-STEPS["plan"] = """
+STEPS["plan"] = f"""
 SELECT a.s_name, a.division, p_brand, month(l_shipdate) AS month, sum(l_quantity) AS crates
 FROM lineitem JOIN part ON l_partkey = p_partkey JOIN agents a ON l_suppkey = a.s_suppkey
-WHERE l_shipdate >= TIMESTAMP '2000-01-01' AND l_shipdate < TIMESTAMP '2001-01-01'
+WHERE year(l_shipdate) = {YEAR} - 1
 GROUP BY ALL"""
 STEPS["target_rows"] = f"""
-SELECT 'AOP' AS target_type, CAST(200100 + month AS VARCHAR) AS month_raw, s_name AS agent, division AS dv,
+SELECT 'AOP' AS target_type, CAST({YEAR} * 100 + month AS VARCHAR) AS month_raw, s_name AS agent, division AS dv,
        p_brand AS item, 'HL' AS source_uom, crates * 1.2::DOUBLE * {HL} AS target_hl,
-       crates * 1.2::DOUBLE * {HL} / {HL} AS target_crates, make_date(2001, month, 1) AS month_start FROM plan
+       crates * 1.2::DOUBLE * {HL} / {HL} AS target_crates, make_date({YEAR}, month, 1) AS month_start FROM plan
 UNION ALL
 SELECT 'Sales Target', CAST(month AS VARCHAR), s_name, division, p_brand, 'Crates', crates * 1.1::DOUBLE * {HL},
-       crates * 1.1::DOUBLE, make_date(2001, month, 1) FROM plan
+       crates * 1.1::DOUBLE, make_date({YEAR}, month, 1) FROM plan
 UNION ALL
-SELECT 'SNOP', strftime(make_date(2001, month, 1), '%B'), s_name, division, p_brand, 'Crates',
-       crates * 1.05::DOUBLE * {HL}, crates * 1.05::DOUBLE, make_date(2001, month, 1) FROM plan"""
+SELECT 'SNOP', strftime(make_date({YEAR}, month, 1), '%B'), s_name, division, p_brand, 'Crates',
+       crates * 1.05::DOUBLE * {HL}, crates * 1.05::DOUBLE, make_date({YEAR}, month, 1) FROM plan"""
 STEPS["targets"] = f"""
 SELECT t.*, {clean('item')} AS brand_key, coalesce(b.reporting_name, item) AS reporting_name,
        CASE WHEN b.brand_key IS NULL THEN 'Not Matched' ELSE 'Matched' END AS brand_match,
@@ -214,9 +220,9 @@ def target_sums(windows: tuple[str, ...], keys: str) -> str:
 
 
 STEPS["m_target"] = target_sums(TARGET_WINDOWS, BY_KEY)
-STEPS["stock_sums"] = """
+STEPS["stock_sums"] = f"""
 SELECT s_name, p_brand, sum(l_quantity) % 50 AS quantity
-FROM lines WHERE l_shipdate >= TIMESTAMP '2001-01-01' AND l_shipdate < TIMESTAMP '2002-01-01' GROUP BY s_name, p_brand"""
+FROM lines WHERE year(l_shipdate) = {YEAR} GROUP BY s_name, p_brand"""
 STEPS["stock_rows"] = """
 SELECT s_name AS source, p_brand || ' Crate 24x33' AS brand_raw, p_brand, quantity FROM stock_sums WHERE quantity <> 0"""
 STEPS["stock_ab"] = f"""
@@ -356,14 +362,14 @@ def mentions(body: str) -> set[str]:
     return words & set(STEPS)
 
 
-def with_steps(select: str) -> str:
-    """The select with every step it needs; a step only uses earlier ones."""
-    needed = mentions(select)
-    for name in reversed(STEPS):
+def with_steps(select: str, changed: Mapping[str, str] | None = None) -> str:
+    """The select with every step it needs; a step only uses earlier ones. ``changed`` replaces steps."""
+    needed, steps = mentions(select), {**STEPS, **(changed or {})}
+    for name in reversed(steps):
         if name in needed:
-            earlier = list(STEPS)[: list(STEPS).index(name)]
-            needed |= mentions(STEPS[name]) & set(earlier)
-    heads = ",\n".join(f"{name} AS MATERIALIZED ({STEPS[name].strip()})" for name in STEPS if name in needed)
+            earlier = list(steps)[: list(steps).index(name)]
+            needed |= mentions(steps[name]) & set(earlier)
+    heads = ",\n".join(f"{name} AS MATERIALIZED ({steps[name].strip()})" for name in steps if name in needed)
     return f"WITH {heads}\n{select}" if needed else select
 
 
@@ -406,9 +412,9 @@ MONTH_STYLES = """CASE o_orderkey % 10
   WHEN 5 THEN strftime(o_orderdate, '%B %Y') WHEN 6 THEN strftime(o_orderdate, '%d/%m/%Y')
   WHEN 7 THEN strftime(o_orderdate, '%-d-%b') WHEN 8 THEN strftime(o_orderdate, '%Y')
   ELSE CAST(month(o_orderdate) + 12 AS VARCHAR) || 'x' END"""
-MONTH_MEANT = """CASE o_orderkey % 10
-  WHEN 0 THEN make_date(2001, month(o_orderdate), 1) WHEN 1 THEN make_date(2001, month(o_orderdate), 1)
-  WHEN 2 THEN make_date(2001, month(o_orderdate), 1) WHEN 7 THEN make_date(2001, month(o_orderdate), 1)
+MONTH_MEANT = f"""CASE o_orderkey % 10
+  WHEN 0 THEN make_date({YEAR}, month(o_orderdate), 1) WHEN 1 THEN make_date({YEAR}, month(o_orderdate), 1)
+  WHEN 2 THEN make_date({YEAR}, month(o_orderdate), 1) WHEN 7 THEN make_date({YEAR}, month(o_orderdate), 1)
   WHEN 8 THEN make_date(year(o_orderdate), 1, 1) WHEN 9 THEN NULL
   ELSE CAST(date_trunc('month', o_orderdate) AS DATE) END"""
 FLAG_TEXT = """CASE l_orderkey % 9 WHEN 0 THEN 'Yes' WHEN 1 THEN ' y' WHEN 2 THEN 'TRUE' WHEN 3 THEN '1'
@@ -503,10 +509,10 @@ BODIES: dict[str, str] = {
         FROM orders""",
     "target_month_parse": f"""SELECT {MONTH_STYLES} AS month_raw, {MONTH_MEANT} AS month_start, count(*) AS row_count
         FROM orders GROUP BY ALL""",
-    "py_day_map": """SELECT order_day, row_count, mapped_day, coalesce(working, false) AS is_working_day
+    "py_day_map": f"""SELECT order_day, row_count, mapped_day, coalesce(working, false) AS is_working_day
         FROM (SELECT order_day, row_count,
                      CASE WHEN strftime(order_day, '%m-%d') <> '02-29'
-                          THEN make_date(2001, month(order_day), day(order_day)) END AS mapped_day
+                          THEN make_date({YEAR}, month(order_day), day(order_day)) END AS mapped_day
               FROM (SELECT CAST(o_orderdate AS DATE) AS order_day, count(*) AS row_count FROM orders GROUP BY 1))
         LEFT JOIN calendar ON mapped_day = date""",
     "working_day_flag": f"""SELECT flag, coalesce(upper(trim(flag)) IN
@@ -517,11 +523,11 @@ BODIES: dict[str, str] = {
     "month_progress_check": f"""SELECT month_start, month_working_days, elapsed_working_days, {num('ratio', 'ratio')},
         format('{{:.1f}}', CAST(ratio AS DOUBLE) * 100) || '%' AS shown FROM progress""",
     "report_dates": "SELECT * FROM dates",
-    "working_day_split": """SELECT source, coalesce(working, false) AS is_working_day, count(*) AS row_count,
+    "working_day_split": f"""SELECT source, coalesce(working, false) AS is_working_day, count(*) AS row_count,
           sum(crates) AS crates
         FROM (SELECT 'Actual Shipment' AS source, date AS day, crates FROM actual
               UNION ALL SELECT 'PY Shipment', CASE WHEN strftime(date, '%m-%d') <> '02-29'
-                THEN make_date(2001, month(date), day(date)) END, crates FROM py)
+                THEN make_date({YEAR}, month(date), day(date)) END, crates FROM py)
         LEFT JOIN calendar c ON day = c.date GROUP BY ALL""",
     "calendar_days": "SELECT date, month_start, working AS is_working_day FROM calendar",
     "date_range_check": """SELECT count(*) FILTER (WHERE crates > 0) AS positive_rows, min(date) AS min_date,
@@ -616,6 +622,13 @@ BODIES: dict[str, str] = {
     "period_totals": f'SELECT "UOM", "Target Type", {summed(PERIOD_COLUMNS)} FROM extract GROUP BY 1, 2',
     "zero_period_rows": f"""SELECT "UOM", "Target Type", {summed(PERIOD_COLUMNS)} FROM extract GROUP BY 1, 2
         HAVING sum(extract."Last_Day_Sales") = 0 AND sum(extract."WTD_Sales") = 0""",
+    "zero_period_agents": f"""SELECT "UOM", "Target Type", "Agent", {summed(PERIOD_COLUMNS)} FROM extract GROUP BY 1, 2, 3
+        HAVING sum(extract."Last_Day_Sales") = 0 AND sum(extract."WTD_Sales") = 0""",
+    "totals_by_level": f"""SELECT CASE grouping("UOM", "Target Type") WHEN 0 THEN 'UOM and Target Type' WHEN 1 THEN 'UOM'
+        WHEN 2 THEN 'Target Type' ELSE 'All' END AS level, "UOM", "Target Type",
+        {summed(dict.fromkeys([*TOTAL_COLUMNS, *PERIOD_COLUMNS, 'Carried_Stock']))}, {num('avg("Days of Stock")', 'Days_of_Stock')}
+        FROM extract GROUP BY GROUPING SETS (("UOM", "Target Type"), ("UOM"), ("Target Type"), ())""",
+    "extract_labels": 'SELECT DISTINCT "UOM", "Target Type" FROM extract',
     "extract_preview": f"""SELECT {extract_columns(['UOM', 'Target Type', 'Division', 'Agent', 'Brand', 'YTD_Sales', 'YTD_PY',
         'YTD VS PY Ach'])} FROM (SELECT * FROM extract
         ORDER BY "YTD_Sales" DESC NULLS LAST, "UOM" NULLS LAST, "Target Type" NULLS LAST, "Division" NULLS LAST, "Agent" NULLS LAST, "Brand" NULLS LAST LIMIT 100)""",
@@ -625,3 +638,11 @@ BODIES: dict[str, str] = {
 BODIES["extract_csv_roundtrip"] = BODIES["final_extract"]
 
 SQL = {name: with_steps(body) for name, body in BODIES.items()}
+# The report as it was on the last day with an order.
+AS_OF = """
+SELECT min(day) AS day FROM (SELECT max(CAST(l_shipdate AS DATE)) AS day FROM lineitem
+                             UNION ALL SELECT max(CAST(o_orderdate AS DATE)) FROM orders)"""
+ANCHOR_AS_OF = f"""
+SELECT max(date) AS last_date, coalesce(max(date) FILTER (WHERE crates > 0), max(date)) AS report_day
+FROM actual_all WHERE date <= ({AS_OF})"""
+SQL["last_day_wtd_depletion_as_of"] = with_steps(BODIES["last_day_wtd_depletion"], {"anchor": ANCHOR_AS_OF})
