@@ -16,6 +16,10 @@ from cratewise.functions.text import brand_kpi_key, clean_text, strip
 from cratewise.sources.catalog import ROW_ID, find_col, optional_col, with_row_id
 
 
+# The agent's lookup key; frames from a bucketed store bring it along.
+AGENT_KEY = "agent_source_key"
+
+
 def keep_first(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """One row per non-null key: the first in source order.
 
@@ -70,11 +74,10 @@ def add_agent_fields(df: DataFrame, dim_agent: DataFrame, own_division: str | No
     lookup = dim_agent.selectExpr(
         "agent_source_key", "agent_key as mdm_key", "agent as mdm_agent", "division as mdm_division"
     )
-    joined = df.withColumn("agent_source_key", F.expr(clean_text("agent_raw"))).join(
-        lookup, "agent_source_key", "left"
-    )
+    keyed = df if AGENT_KEY in df.columns else df.withColumn(AGENT_KEY, F.expr(clean_text("agent_raw")))
+    joined = keyed.join(lookup, AGENT_KEY, "left")
     return joined.selectExpr(
-        *[quoted(name) for name in df.columns if name != "agent_raw"],
+        *[quoted(name) for name in df.columns if name not in ("agent_raw", AGENT_KEY)],
         "agent_raw as agent_source_name",
         "coalesce(mdm_agent, agent_raw) as agent",
         f"if(mdm_agent is null, {clean_text('agent_raw')}, mdm_key) as agent_key",

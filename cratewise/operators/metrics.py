@@ -65,12 +65,38 @@ def assemble(parts: Sequence[DataFrame]) -> DataFrame:
     Takes the place of one left join per measure: missing measures are null
     columns of the union, null keys form a group of their own.
     """
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rows = union_of(parts)
     present = [m for m in MEASURES if m in rows.columns]
     summed = rows.groupBy(*KEYS).agg(*[F.expr(e) for e in spine_aggregates() + totals(present)])
     return summed.filter("in_base").drop("in_base")
 
 
+# Null-free stand-ins of the keys: aggregates by them meet in a join without another shuffle.
+CODED = {"_agent": "coalesce(agent_key, '')", "_no_agent": "agent_key is null", "_brand": "coalesce(brand_kpi_key, '')", "_no_brand": "brand_kpi_key is null"}
+
+
+def assemble_kept(rows: DataFrame) -> DataFrame:
+    """``assemble`` for metric rows that are stored.
+
+    Names are texts, which an aggregate can't change in place: with them among
+    its results it sorts every row with all measures. Here measures are summed
+    by hash, names come from an aggregate over the few name columns, and both,
+    dealt by the same keys, are joined where they are.
+    """
+    coded = rows.selectExpr(*[f"{value} as {name}" for name, value in CODED.items()], *[c for c in rows.columns if c not in KEYS])
+    present = [m for m in MEASURES if m in rows.columns]
+    summed = coded.groupBy(*CODED).agg(*[F.expr(t) for t in totals(present)])
+    counted = coded.filter("rank is not null").groupBy(*CODED).agg(*[F.expr(e) for e in spine_aggregates()[:2]])
+    joined = summed.join(counted, list(CODED))
+    keys = ["if(_no_agent, null, _agent) as agent_key", "if(_no_brand, null, _brand) as brand_kpi_key"]
+    return joined.selectExpr(*keys, "division", "agent", *present)
+
+
+def union_of(parts: Sequence[DataFrame]) -> DataFrame:
+    """All metric rows; measures that a part lacks are null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def key_spine(parts: Sequence[DataFrame], rules: BrandRules) -> DataFrame:
     """One division, agent and brand name per key pair."""
     rows = reduce(DataFrame.unionByName, [part.select(*KEYS, "division", "agent", "rank") for part in parts])

@@ -20,6 +20,7 @@ from cratewise.functions.dates import day_or_text
 from cratewise.functions.numbers import number_from
 from cratewise.functions.sql import day, number, quoted
 from cratewise.operators.calendar import ReportDates
+from cratewise.operators.mdm import AGENT_KEY
 from cratewise.sources.catalog import find_col, optional_col, type_of
 
 SHIPMENT_NAMES = ("agent_raw", "item_raw")
@@ -124,6 +125,8 @@ def window_sums(
     windows whose rows make a key part of the report. ``until`` cuts rows
     before any window is looked at.
     """
+    if AGENT_KEY in fact.columns and by:
+        by = [AGENT_KEY, *by]
     starts = [start for start, _ in windows.values()]
     last = max(end for _, end in windows.values())
     kept = in_window((None if None in starts else min(starts), min(last, until) if until else last))

@@ -36,11 +36,13 @@ class Inputs:
         config: ReportConfig,
         keep: Callable[[str, DataFrame, Sequence[str]], DataFrame] | None = None,
         bounds: FileBounds | None = None,
+        keep_agents: Callable[[DataFrame], DataFrame] | None = None,
     ):
         self.tables = tables
         self.config = config
         self.keep = keep
         self.bounds = bounds
+        self.keep_agents = keep_agents or (lambda dimension: dimension)
 
     def fact(self, name: str, shaped: DataFrame, by: Sequence[str]) -> DataFrame:
         """A volume fact with parsed days, or its day sums."""
@@ -58,7 +60,7 @@ class Inputs:
 
     @cached_property
     def agents(self) -> DataFrame:
-        return mdm.agent_dimension(self.tables["agent_left"])
+        return self.keep_agents(mdm.agent_dimension(self.tables["agent_left"]))
 
     @cached_property
     def brands(self) -> DataFrame:

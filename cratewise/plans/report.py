@@ -18,6 +18,7 @@ from cratewise.plans.inputs import Inputs
 from cratewise.plans.regional import regional_report
 from cratewise.session import checkpointed
 from cratewise.sources.day_store import DayStore
+from cratewise.sources.layout import BucketedTables
 from cratewise.sources.catalog import assert_unique_columns, register_views, require_tables, tag_sources
 
 
@@ -44,7 +45,7 @@ class ReportBundle:
             return wide.metric_table(self.inputs)
         source, final = Observation(), Observation()
         sums = [F.expr(total(f"{p}_shipment", f"final_{p}")) for p in ("ytd", "mtd")]
-        table = checkpointed(wide.metric_table(self.inputs, source).observe(final, *sums))
+        table = checkpointed(wide.metric_table(self.inputs, source, kept=True).observe(final, *sums))
         seen = source.get
         self.observed = {"source_ytd": seen["to_date"], "source_mtd": seen["mtd_shipment"], **final.get}
         return table
@@ -151,13 +152,14 @@ def build_report(
     *,
     reuse: bool = False,
     reconcile: bool = False,
-    store: DayStore | None = None,
+    store: DayStore | BucketedTables | None = None,
 ) -> ReportBundle:
     """Checks the table contract and returns the reports of one run.
 
     ``reuse`` reads every volume fact once and keeps what several reports need;
-    with a ``store`` the day sums are kept between runs as well, and only days
-    that are new or changed are summed. ``reconcile`` runs the year-to-date gate at once and raises where the
+    with a ``DayStore`` the day sums are kept between runs as well, and only
+    months that are new or changed are summed; with ``BucketedTables`` they lie
+    so that lookups move none of their rows. ``reconcile`` runs the year-to-date gate at once and raises where the
     metric table lost or gained sell-in.
     """
     require_tables(tables)
@@ -166,7 +168,8 @@ def build_report(
     keep = None
     if reuse:
         keep = store.refreshed if store else lambda name, shaped, by: checkpointed(day_sums(shaped, by))
-    inputs = Inputs(tagged, config or ReportConfig(), keep, getattr(tables, "bounds", None))
+    keep_agents = store.agents if isinstance(store, BucketedTables) else None
+    inputs = Inputs(tagged, config or ReportConfig(), keep, getattr(tables, "bounds", None), keep_agents)
     bundle = ReportBundle(inputs, reuse)
     if reconcile:
         bundle.assert_reconciled()

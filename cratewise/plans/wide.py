@@ -7,13 +7,19 @@ from pyspark.sql import functions as F
 
 from cratewise.operators import kpi, metrics
 from cratewise.plans.inputs import Inputs
+from cratewise.session import checkpointed
 
 NAMES = ("division", "agent", "brand")
 
 
-def metric_table(inputs: Inputs, observed: Observation | None = None) -> DataFrame:
-    """Keys, names and the 35 measures, one row per (agent key, brand key)."""
-    return metrics.add_brand_name(metrics.assemble(inputs.metric_parts(observed)), inputs.config.brand_rules)
+def metric_table(inputs: Inputs, observed: Observation | None = None, kept: bool = False) -> DataFrame:
+    """Keys, names and the 35 measures, one row per (agent key, brand key).
+
+    ``kept`` stores the metric rows first and sums them without a sort.
+    """
+    parts = inputs.metric_parts(observed)
+    table = metrics.assemble_kept(checkpointed(metrics.union_of(parts))) if kept else metrics.assemble(parts)
+    return metrics.add_brand_name(table, inputs.config.brand_rules)
 
 
 def kpi_wide(inputs: Inputs, table: DataFrame | None = None) -> DataFrame:

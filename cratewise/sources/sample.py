@@ -227,3 +227,41 @@ class SampleTables(Mapping):
 
     def __len__(self) -> int:
         return len(REQUIRED_TABLES)
+
+
+class OddSampleTables(SampleTables):
+    """The same tables as an untidy source delivers them.
+
+    Every agent stands twice in the master data, under other names and without a
+    division, for some agents first; reporting names differ by what the extract
+    evens out; shipments come as text, billed up to two days later; sell-out
+    comes in hectolitres.
+    """
+
+    def agent_left(self) -> DataFrame:
+        pair, even = F.expr("cast(s_suppkey div 2 as string)"), F.col("s_suppkey") % 2 == 0
+        named = F.when(even, F.concat(F.lit("agent-"), pair)).otherwise(F.concat(F.lit("AGENT  "), pair))
+        turn = F.explode(F.array(F.lit(0), F.lit(1))).alias("turn")
+        twice = self.agents.filter(F.col("s_suppkey") % 10 != 9).select("*", named.alias("named"), turn)
+        first = F.col("turn") == 0
+        place = F.when(F.col("s_suppkey") % 3 == 0, -F.col("turn")).otherwise(F.col("turn"))
+        return twice.select(
+            F.col("s_name").alias("Name(S4H_C4C)"),
+            F.when(first, F.col("division")).alias("DV"),
+            F.when(first, F.col("named")).otherwise(F.concat(F.lit("other-"), pair)).alias("Reporting Name"),
+            F.struct(place.alias("place"), "s_suppkey").alias("_row_id"),
+        )
+
+    def shipment(self, year: int) -> DataFrame:
+        billed = F.date_add(F.to_date("l_shipdate"), (F.col("l_orderkey") % 3).cast("int"))
+        return self.shipped(year).select(
+            F.date_format("l_shipdate", "dd/MM/yyyy").alias("Date"),
+            F.date_format(billed, "d-MMM-yyyy").alias("Billing Date"),
+            F.col("s_name").alias("Agent"),
+            F.col("p_brand").alias("Item Description"),
+            F.format_number("l_quantity", 2).alias("Invoiced Quantity"),
+        )
+
+    def depletion(self, year: int, volume: str) -> DataFrame:
+        rows = super().depletion(year, "Depletion")
+        return rows.withColumn("Depletion", F.col("Depletion") * HL_PER_CRATE).withColumnRenamed("Depletion", "Dep HL")

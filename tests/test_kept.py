@@ -244,3 +244,36 @@ def test_shifted_dates_give_the_same_counts(spark, folder, tmp_path):
         df.withColumn(column, F.expr(f"{column} + interval 4 years")).write.parquet(str(tmp_path / f"{name}.parquet"))
     for name in ("shipment_mtd_ytd", "depletion_mtd_ytd", "calendar_days", "opening_stock", "target_totals", "key_spine"):
         assert QUERIES[name](spark, str(tmp_path)).count() == QUERIES[name](spark, folder).count() > 0, name
+
+
+def test_kept_metric_rows_are_summed_without_a_sort(spark, folder):
+    from cratewise.operators import metrics
+
+    sample = SampleTables(configure(spark), folder)
+    inputs = Inputs(sample, sample.config)
+    rows = metrics.union_of(inputs.metric_parts())
+    rows.write.mode("overwrite").saveAsTable("metric_rows_of_test")
+    stored = spark.table("metric_rows_of_test")
+    kept = metrics.assemble_kept(stored)
+    plan = plan_of(kept)
+    assert not [line for line in plan.splitlines() if "SortAggregate" in line and "mtd_shipment" in line]
+    # Both aggregates meet on the exchange they have; nothing is dealt a third time.
+    assert plan.count("Exchange hashpartitioning") == 2
+    direct = metrics.assemble([stored])
+    rounded = [F.round(F.col(m), 6).alias(m) for m in metrics.MEASURES]
+    assert rows_of(kept.select(*metrics.KEYS, "division", "agent", *rounded)) == rows_of(direct.select(*metrics.KEYS, "division", "agent", *rounded))
+
+
+def test_bucketed_day_sums_move_no_row_for_the_agent_lookup(spark):
+    from cratewise.sources.layout import BucketedTables
+
+    expected = rows_of(build_report(mini_tables(spark), CONFIG).final_extract)
+    bundle = build_report(mini_tables(spark), CONFIG, reuse=True, reconcile=True, store=BucketedTables(spark, "bucketed_of_test", 4))
+    assert rows_of(bundle.final_extract) == expected
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(bundle.inputs.shipment())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [agent_source_key" in plan
+    assert "hashpartitioning(agent" not in plan and "Bucketed: true" in plan

@@ -26,7 +26,7 @@ from cratewise.plans.report import ReportBundle
 from cratewise.plans.wide import with_report_names
 from cratewise.session import configure, shared_path
 from cratewise.sources.extract import EXTRACT_COLUMNS, PERIODS, period_columns, read_extract, write_extract
-from cratewise.sources.sample import SampleTables
+from cratewise.sources.sample import OddSampleTables, SampleTables
 
 # Rules of the family test: words of part names stand in for brand families.
 FAMILY_RULES = BrandRules(
@@ -60,8 +60,8 @@ def rounded(df: DataFrame) -> DataFrame:
 class Run:
     """One query's view of the engine over a folder of tables."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.sample = SampleTables(configure(spark), folder)
+    def __init__(self, spark: SparkSession, folder: str, tables: type[SampleTables] = SampleTables):
+        self.sample = tables(configure(spark), folder)
 
     @cached_property
     def config(self) -> ReportConfig:
@@ -94,6 +94,11 @@ def query(build: Callable[[Run], DataFrame]) -> Callable[[Run], DataFrame]:
     return build
 
 
+def odd(run: Run) -> Run:
+    """The same run over the tables as an untidy source delivers them."""
+    return Run(run.sample.spark, run.sample.folder, OddSampleTables)
+
+
 def name_sums(conformed: DataFrame, measures: list[str]) -> DataFrame:
     """Measures by division, agent and brand key; groups outside every window are left out."""
     grouped = conformed.groupBy("division", "agent_key", "agent", "brand_kpi_key")
@@ -561,6 +566,33 @@ def extract_labels(run: Run) -> DataFrame:
     return checks.distinct_labels(run.bundle.extract_rows)
 
 
+# -- untidy sources ---------------------------------------------------------
+
+
+@query
+def odd_report_dates(run: Run) -> DataFrame:
+    """Text days, and a cutoff column of its own that runs beyond the last day with volume."""
+    return report_dates(odd(run))
+
+
+@query
+def odd_agent_mdm(run: Run) -> DataFrame:
+    """Of two rows of an agent the first one counts."""
+    return agent_mdm(odd(run))
+
+
+@query
+def odd_depletion(run: Run) -> DataFrame:
+    """Sell-out that comes in hectolitres."""
+    return depletion_mtd_ytd(odd(run))
+
+
+@query
+def odd_extract(run: Run) -> DataFrame:
+    """Names that the extract evens out and sums."""
+    return final_extract(odd(run))
+
+
 PREVIEW_ROWS = 100
 
 

@@ -638,6 +638,25 @@ BODIES: dict[str, str] = {
 BODIES["extract_csv_roundtrip"] = BODIES["final_extract"]
 
 SQL = {name: with_steps(body) for name, body in BODIES.items()}
+# The tables of an untidy source.
+ODD = {
+    "dim_agent": f"""
+SELECT agent_source_key, {clean('agent')} AS agent_key, {strip('agent')} AS agent, division
+FROM (SELECT s_suppkey, {clean('s_name')} AS agent_source_key, CASE WHEN s_suppkey % 3 <> 0 THEN division END AS division,
+             CASE WHEN s_suppkey % 3 = 0 THEN 'other-' WHEN s_suppkey % 2 = 0 THEN 'agent-' ELSE 'AGENT  ' END
+               || CAST(s_suppkey // 2 AS VARCHAR) AS agent
+      FROM agents WHERE s_suppkey % 10 <> 9)""",
+    "actual_all": STEPS["actual_all"].replace("SELECT ship_day", "SELECT ship_day + CAST(l_orderkey % 3 AS INTEGER) AS billed, ship_day"),
+    "dep_all": STEPS["dep_all"].replace("l_quantity AS", f"l_quantity * {HL} / {HL} AS"),
+    "py_dep_all": STEPS["py_dep_all"].replace("l_quantity AS", f"l_quantity * {HL} / {HL} AS"),
+    "anchor": """
+SELECT last_date, coalesce((SELECT max(date) FROM actual_all WHERE crates > 0 AND date <= last_date), last_date) AS report_day
+FROM (SELECT max(billed) AS last_date FROM actual_all)""",
+}
+for _query in ("report_dates", "agent_mdm", "final_extract"):
+    SQL[f"odd_{_query.removeprefix('final_')}"] = with_steps(BODIES[_query], ODD)
+_depleted = f"SELECT {BY_NAME}, {wide_columns('mtd_depletion', 'ytd_depletion')} FROM ({BODIES['depletion_mtd_ytd']})"
+SQL["odd_depletion"] = with_steps(_depleted, ODD)
 # The report as it was on the last day with an order.
 AS_OF = """
 SELECT min(day) AS day FROM (SELECT max(CAST(l_shipdate AS DATE)) AS day FROM lineitem
