@@ -44,8 +44,10 @@ class WordIds:
     """Ids of texts by way of their words.
 
     The tokenizer never joins anything across white space, nor letters with what
-    stands beside them, so ids are kept by word. The memory for them is bounded:
-    it is emptied when it is full, which costs time and changes nothing.
+    stands beside them, so ids are kept by word: of lower-cased letters, and of
+    what else there is, from text to text; of other spellings of these within one
+    call. The memory for them is bounded: it is emptied when it is full, which
+    costs time and changes nothing.
     """
 
     def __init__(self, path: str, kept: int = WORDS_KEPT):
@@ -70,21 +72,30 @@ class WordIds:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         seen = set().union(*split) if split else set()
-        new = seen - self.ids.keys()
-        if len(new) + len(self.ids) > self.kept:
-            self.ids.clear()
-            new = seen
         # Letters and the mark after them are separate to the tokenizer, and it ignores case.
-        plain = [w for w in new if w and max(w) < PLAIN]
-        parts = {w: (w[:-1].lower(), w[-1]) for w in plain if w[-1] in MARKS and w[:-1].isalpha()}
-        parts |= {w: (w.lower(), "") for w in plain if w.isalpha()}
-        basic = (new - parts.keys()).union(*parts.values()) - self.ids.keys()
+        letters, marked, basic = {}, {}, set()
+        for word in seen - self.ids.keys():
+            if word and (word.isascii() or max(word) < PLAIN):
+                if word.isalpha():
+                    letters[word] = word.lower()
+                    continue
+                if word[-1] in MARKS and (before := word[:-1]).isalpha():
+                    marked[word] = (before.lower(), word[-1])
+                    continue
+            basic.add(word)
+        basic.update(letters.values(), (a for a, _ in marked.values()), MARKS)
+        if len(self.ids) + len(basic) > self.kept:
+            self.ids.clear()
+            basic.update(seen - letters.keys() - marked.keys())
+        basic -= self.ids.keys()
         if basic:
             self.learn(list(basic))
         get = self.ids.__getitem__
-        self.ids.update([(w, get(a) + get(b)) for w, (a, b) in parts.items()])
+        of = {word: get(word) for word in seen & self.ids.keys()}
+        of.update(zip(letters, map(get, letters.values()), strict=True))
+        of.update([(word, get(a) + get(b)) for word, (a, b) in marked.items()])
         for words in split:
-            yield b"".join(map(get, words))
+            yield b"".join(map(of.__getitem__, words))
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
