@@ -393,15 +393,35 @@ def settled_names(name: np.ndarray, doc: np.ndarray, data: list[bytes], size: in
                 yield low + left[begin + n][0], shift + a, shift + b
 
 
-def looked_at(cut: DataFrame, size: int) -> DataFrame:
-    """Ranges that go: file, row, low, high."""
+def place_of(file: np.ndarray, row: np.ndarray, places: int) -> np.ndarray:
+    """The place of a text, of ``places``; as PLACE has it."""
+    return (file % places + row) % places
+
+
+#: The same as an expression: files are hashes and rows count up, so texts spread evenly.
+PLACE = "pmod(pmod(file, {0}) + row, {0})"
+
+
+def packed_ranges(frame: pd.DataFrame, places: int) -> pd.DataFrame:
+    """One row for each place with the ranges (file, row, low, high) of its texts as bytes."""
+    table = frame[["file", "row", "low", "high"]].to_numpy(np.int64)
+    at = place_of(table[:, 0], table[:, 1], places)
+    order = np.lexsort((table[:, 2], table[:, 1], table[:, 0], at))
+    at, table = at[order], table[order]
+    cuts = np.flatnonzero(np.diff(at, prepend=-1))
+    blobs = [table[a:b].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(at)), strict=False)]
+    return pd.DataFrame({"at": at[cuts], "hits": blobs})
+
+
+def looked_at(cut: DataFrame, size: int, places: int) -> DataFrame:
+    """Ranges that go, packed by place of their text: at, hits."""
 
     def of(key, part: pd.DataFrame) -> pd.DataFrame:
         known = part["data"].isna()
         done = part.loc[known, ["file", "row", "low", "high"]]
         part = part[~known].sort_values(["name", "doc"])
         if not len(part):
-            return done
+            return packed_ranges(done, places)
         # What a document has several times is compared once.
         same = part.groupby(["name", "doc", "data"], sort=False).ngroup().to_numpy()
         _, first = np.unique(same, return_index=True)
@@ -410,11 +430,37 @@ def looked_at(cut: DataFrame, size: int) -> DataFrame:
         found = list(settled_names(name, doc, data, size))
         entry, a, b = np.array(found, np.int64).reshape(-1, 3).T
         ranges = pd.DataFrame({"same": entry, "a": a, "b": b})
-        places = pd.DataFrame({"same": same, **{c: part[c].to_numpy() for c in ("file", "row", "low")}})
-        hit = ranges.merge(places, on="same")
-        return pd.concat([done, marks_of(hit["file"], hit["row"], hit["low"] + hit["a"], hit["low"] + hit["b"])])
-
-    return cut.groupBy("bucket").applyInPandas(of, "file long, row long, low long, high long")
+        copies = pd.DataFrame({"same": same, **{c: part[c].to_numpy() for c in ("file", "row", "low")}})
+        hit = ranges.merge(copies, on="same")
+        found = marks_of(hit["file"], hit["row"], hit["low"] + hit["a"], hit["low"] + hit["b"])
+        return packed_ranges(pd.concat([done, found]), places)
+
+    return cut.groupBy("bucket").applyInPandas(of, "at long, hits binary")
+
+
+def without_ranges(texts: pd.DataFrame, gone: pd.DataFrame) -> pd.DataFrame:
+    """The texts of one place without the ranges that go: some rows hold one, some many packed."""
+    packed = gone["hits"].notna().to_numpy()
+    blobs = b"".join(gone["hits"][packed])
+    single = gone.loc[~packed, ["file", "row", "low", "high"]].to_numpy(np.int64)
+    table = np.concatenate([single, np.frombuffer(blobs, np.int64).reshape(-1, 4)])
+    table = table[np.lexsort((table[:, 2], table[:, 1], table[:, 0]))]
+    fresh = np.flatnonzero((np.diff(table[:, :2], axis=0, prepend=table[:1, :2] - 1) != 0).any(axis=1))
+    ends = [*fresh[1:].tolist(), len(table)]
+    of_text = {tuple(table[a, :2].tolist()): table[a:b, 2:] for a, b in zip(fresh.tolist(), ends, strict=False)}
+    none, out = np.zeros((0, 2), np.int64), []
+    for file, row, data in zip(texts["file"].tolist(), texts["row"].tolist(), texts["data"], strict=True):
+        ranges = of_text.get((file, row), none)
+        runs = []
+        if len(ranges):
+            _, a, b = joined_runs(np.zeros(len(ranges), np.int64), ranges[:, 0], ranges[:, 1])
+            runs = list(zip(a.tolist(), b.tolist(), strict=True))
+        stays = [0, *[x for r in runs for x in r], len(data)]
+        kept = b"".join(data[a:b] for a, b in zip(stays[::2], stays[1::2], strict=True))
+        out.append((len(data), [{"low": a, "high": b} for a, b in runs], kept))
+    done = pd.DataFrame(out, columns=["n_bytes", "runs", "kept"])
+    done.insert(0, "doc_id", texts["doc_id"].array)
+    return done
 
 
 def without_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES, many: int = MANY) -> DataFrame:
@@ -428,26 +474,14 @@ def without_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, bucket_
     asks = found.filter("name is not null").groupBy("file", "row").agg(F.collect_list(F.struct("name", "low", "high", "wide")).alias("a"))
     asks = asks.select("file", "row", *[F.col(f"a.{c}").alias(f"{c}s") for c in ("name", "low", "high", "wide")])
     cut = cut_out(rows.drop("doc_id").join(asks, ["file", "row"]), 4 * buckets, size)
-    seen = saved(looked_at(cut, size), "repeats-seen")
-    gone = found.filter("name is null").select("file", "row", "low", "high").union(seen)
-    ranges = gone.groupBy("file", "row").agg(F.collect_list(F.struct("low", "high")).alias("r"))
-    ranges = ranges.select("file", "row", F.col("r.low").alias("lows"), F.col("r.high").alias("highs"))
-
-    def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            out = []
-            for data, low, high in zip(part["data"], part["lows"], part["highs"], strict=True):
-                runs = []
-                if low is not None and len(low):
-                    _, a, b = joined_runs(np.zeros(len(low), np.int64), low, high)
-                    runs = list(zip(a.tolist(), b.tolist(), strict=True))
-                stays = [0, *[x for r in runs for x in r], len(data)]
-                kept = b"".join(data[a:b] for a, b in zip(stays[::2], stays[1::2], strict=True))
-                out.append((len(data), [{"low": a, "high": b} for a, b in runs], kept))
-            done = pd.DataFrame(out, columns=["n_bytes", "runs", "kept"])
-            done.insert(0, "doc_id", part["doc_id"].array)
-            yield done
-
+    seen = saved(looked_at(cut, size, buckets), "repeats-seen")
+    at = F.expr(PLACE.format(buckets)).alias("at")
+    settled = found.filter("name is null").select(at, "file", "row", "low", "high")
+    # Columns of whole numbers with nulls would reach Python as floats.
+    none = [F.lit(0).cast("long").alias(c) for c in ("file", "row", "low", "high")]
+    gone = settled.withColumn("hits", F.lit(None).cast("binary")).unionByName(seen.select("at", *none, "hits"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, runs array<struct<low: long, high: long>>, kept binary"
-    return rows.join(ranges, ["file", "row"], "left").select("doc_id", "data", "lows", "highs").mapInPandas(of, schema)
+    texts = rows.select(at, "doc_id", "file", "row", "data")
+    # A place holds about ``bucket_bytes`` of text.
+    return texts.groupBy("at").cogroup(gone.groupBy("at")).applyInPandas(without_ranges, schema)
