@@ -16,7 +16,7 @@ from cratewise.functions.sql import day
 from cratewise.operators import calendar as cal
 from cratewise.operators import mdm, metrics, stock, targets, volumes
 from cratewise.operators.calendar import ReportDates
-from cratewise.operators.day_sums import dated
+from cratewise.operators.day_sums import dated, summed
 from cratewise.sources.catalog import optional_col
 from cratewise.sources.footers import FileBounds
 
@@ -124,10 +124,10 @@ class Inputs:
     def stock_long(self) -> DataFrame:
         return stock.stock_long(self.tables["stock"], self.config, self.footer_date("stock", names.STOCK_DATE))
 
-    def shipment_rows(self) -> DataFrame:
-        """Sell-in rows up to the last date with conformed names."""
+    def shipment_counts(self) -> DataFrame:
+        """Crates and row_count up to the last date per pair of source names, conformed."""
         rows = self.actual.filter(f"event_date <= {day(self.dates.last_date)}")
-        return mdm.conform_shipment(rows, self.agents, self.brands, self.config.brand_rules)
+        return mdm.conform_shipment(summed(rows, volumes.SHIPMENT_NAMES), self.agents, self.brands, self.config.brand_rules)
 
     def shipment(self, *, to_date: bool = False, observed: Observation | None = None) -> DataFrame:
         """Sell-in window sums per source-name pair, conformed; ``to_date``

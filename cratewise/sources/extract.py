@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cratewise.sources.catalog import ensure_columns
+
 PERIODS = ("Last Day", "WTD", "MTD", "YTD")
 KEYS = ("Division", "Agent", "Brand", "UOM", "Target Type")
 BOM = chr(0xFEFF)
@@ -49,6 +51,17 @@ EXTRACT_SCHEMA = T.StructType(
 MANIFEST = "_manifest.json"
 
 
+# Other headers that a column of an extract may have.
+ALIASES = {"Beginning_Stock": ("Opening_Stock", "Carried_Stock"), "Stock_per_Agent": ("Stock_Balance",)}
+
+
+def completed(df: DataFrame) -> DataFrame:
+    """A frame in the schema of the extract: a volume that it lacks is copied from its alias, or zero."""
+    wanted = {f.name: ALIASES.get(f.name, ()) for f in EXTRACT_SCHEMA.fields if isinstance(f.dataType, T.DoubleType)}
+    whole = ensure_columns(df, wanted)
+    return whole.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in EXTRACT_SCHEMA.fields])
+
+
 def write_extract(df: DataFrame, path: str, file_format: str = "parquet", bom: bool = True) -> dict:
     """Replaces ``path`` by the extract, one file per sorted partition, and returns its manifest.
 

@@ -4,6 +4,7 @@ import csv
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from cratewise.__main__ import run
 from cratewise.operators import mdm
@@ -11,7 +12,8 @@ from cratewise.plans.report import build_report
 from cratewise.session import checkpointed, shared_folder, shared_path
 from cratewise.sources import catalog
 from cratewise.sources.catalog import SourceSpec, clean_column_name, load_tables
-from cratewise.sources.extract import BOM, EXTRACT_COLUMNS, read_extract, write_extract
+from cratewise.sources import extract as extracts
+from cratewise.sources.extract import BOM, EXTRACT_COLUMNS, read_extract, read_manifest, write_extract
 from mini import CONFIG, TABLES, mini_tables
 
 
@@ -58,11 +60,17 @@ def test_a_whole_run_writes_extract_and_checks(spark, csv_specs, tmp_path):
         "config": {"default_target_year": 2026, "brand_rules": {"families": ["LAGER"], "display_names": {"LAGER": "Big Lager"}}},
         "extract": {"path": str(tmp_path / "extract"), "format": "csv"},
         "checks": str(tmp_path / "checks"),
+        "reports": str(tmp_path / "reports"),
+        "day_store": str(tmp_path / "days"),
     }
     assert set(run(spark, plan).values()) == {"loaded"}
     extract = read_extract(spark, plan["extract"]["path"])
     assert extract.filter("Brand = 'Big Lager'").count() > 0
     assert spark.read.parquet(f"{plan['checks']}/reconciliation").count() == 6
+    wide, both = (spark.read.parquet(f"{plan['reports']}/{name}") for name in ("wide", "two_units"))
+    assert both.count() == 2 * wide.count() and "MTD Landing vs AOP %" in wide.columns
+    assert spark.read.parquet(f"{plan['reports']}/regional").count() == 2
+    assert spark.read.parquet(f"{plan['day_store']}/py_shipment").agg(F.sum("row_count")).first()[0] == 3
 
 
 def test_missing_sources_are_reported_and_skipped(spark, csv_specs, tmp_path):
@@ -110,6 +118,30 @@ def test_extract_round_trip(spark, tmp_path, file_format):
     assert sorted(found.collect(), key=key) == sorted(extract.collect(), key=key)
 
 
+@pytest.mark.parametrize("file_format", ["csv", "parquet"])
+def test_a_failed_run_leaves_the_old_extract(spark, tmp_path, monkeypatch, file_format):
+    extract = checkpointed(build_report(mini_tables(spark), CONFIG).final_extract)
+    path = str(tmp_path / "extract")
+    manifest = write_extract(extract, path, file_format)
+    assert manifest["rows"] == extract.count() and read_manifest(spark, path) == manifest
+    old = sorted(map(str, read_extract(spark, path, file_format, verify=True).collect()))
+    breaking = extract.withColumn("Agent", F.expr("if(Agent is null, raise_error('broken'), Agent)"))
+    with pytest.raises(Exception, match="broken"):
+        write_extract(breaking, path, file_format)
+    # A run that ends after its files are written and before they are in place.
+    monkeypatch.setattr(extracts, "contents", lambda df: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        write_extract(extract.limit(1), path, file_format)
+    monkeypatch.undo()
+    assert sorted(map(str, read_extract(spark, path, file_format, verify=True).collect())) == old
+    write_extract(extract.limit(2), path, file_format)
+    assert read_extract(spark, path, file_format, verify=True).count() == 2
+    part = next(p for p in (tmp_path / "extract").iterdir() if p.suffix == f".{file_format}")
+    part.unlink()
+    with pytest.raises(ValueError, match="manifest"):
+        read_extract(spark, path, file_format, verify=True)
+
+
 def test_csv_parts_open_with_a_byte_order_mark(spark, tmp_path):
     path = tmp_path / "extract"
     write_extract(build_report(mini_tables(spark), CONFIG).final_extract, str(path), "csv")
@@ -140,6 +172,11 @@ class Session:
 
 
 def test_the_shared_folder_is_the_one_the_cluster_names():
-    warehouse = {"spark.sql.warehouse.dir": "s3://warehouse/"}
+    warehouse = {"spark.sql.warehouse.dir": "s3://warehouse/", "spark.master": "yarn"}
     assert shared_folder(Session({**warehouse, "spark.checkpoint.dir": "s3://shared"})) == "s3://shared"
     assert shared_folder(Session(warehouse)) == "s3://warehouse/_shared"
+    # A warehouse on the driver's disk serves in local mode only.
+    for own in ("file:/work/warehouse", "/work/warehouse"):
+        assert shared_folder(Session({"spark.sql.warehouse.dir": own, "spark.master": "local[4]"})) == f"{own}/_shared"
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Session({"spark.sql.warehouse.dir": own, "spark.master": "spark://host:7077"}))

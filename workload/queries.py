@@ -25,7 +25,7 @@ from cratewise.plans.inputs import Inputs
 from cratewise.plans.report import ReportBundle
 from cratewise.plans.wide import with_report_names
 from cratewise.session import configure, shared_path
-from cratewise.sources.extract import EXTRACT_COLUMNS, PERIODS, period_columns, read_extract, write_extract
+from cratewise.sources.extract import EXTRACT_COLUMNS, PERIODS, completed, period_columns, read_extract, write_extract
 from cratewise.sources.sample import OddSampleTables, SampleTables
 
 # Rules of the family test: words of part names stand in for brand families.
@@ -161,9 +161,9 @@ def brand_mdm(run: Run) -> DataFrame:
 
 @query
 def agent_conform(run: Run) -> DataFrame:
-    """Sell-in rows with conformed names, counted per source name."""
+    """Sell-in with conformed names, its rows counted per source name."""
     keys = ["agent_source_name", "agent", "agent_key", "division", "agent_match", "brand_match"]
-    return run.inputs.shipment_rows().groupBy(*keys).agg(F.count("*").alias("row_count"), F.sum("crates").alias("crates"))
+    return run.inputs.shipment_counts().groupBy(*keys).agg(F.sum("row_count").alias("row_count"), F.sum("crates").alias("crates"))
 
 
 @query
@@ -561,6 +561,13 @@ def totals_by_level(run: Run) -> DataFrame:
     return checks.level_totals(run.bundle.extract_rows)
 
 
+@query
+def extract_completed(run: Run) -> DataFrame:
+    """An extract of an earlier layout, without two columns and with one under another name, brought to the schema."""
+    earlier = run.bundle.final_extract.drop("WTD_Depletion_PY", "Avg_Daily_Depletion")
+    return completed(earlier.withColumnRenamed("Beginning_Stock", "Opening_Stock"))
+
+
 @query
 def extract_labels(run: Run) -> DataFrame:
     return checks.distinct_labels(run.bundle.extract_rows)

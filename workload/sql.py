@@ -628,6 +628,8 @@ BODIES: dict[str, str] = {
         WHEN 2 THEN 'Target Type' ELSE 'All' END AS level, "UOM", "Target Type",
         {summed(dict.fromkeys([*TOTAL_COLUMNS, *PERIOD_COLUMNS, 'Carried_Stock']))}, {num('avg("Days of Stock")', 'Days_of_Stock')}
         FROM extract GROUP BY GROUPING SETS (("UOM", "Target Type"), ("UOM"), ("Target Type"), ())""",
+    "extract_completed": f"""SELECT {extract_columns([c for c in EXTRACT_COLUMNS if c not in ('WTD_Depletion_PY', 'Avg_Daily_Depletion')])},
+        0.0 AS "WTD_Depletion_PY", 0.0 AS "Avg_Daily_Depletion" FROM extract""",
     "extract_labels": 'SELECT DISTINCT "UOM", "Target Type" FROM extract',
     "extract_preview": f"""SELECT {extract_columns(['UOM', 'Target Type', 'Division', 'Agent', 'Brand', 'YTD_Sales', 'YTD_PY',
         'YTD VS PY Ach'])} FROM (SELECT * FROM extract
