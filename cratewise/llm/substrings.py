@@ -17,8 +17,8 @@ a batch settles the equal ones too. Long texts are hashed in slices of SLICE win
 and a name too large for one suffix array is settled in rounds: what a round finds
 covered by earlier documents leaves, the rest meets again.
 
-Equal fragments are told by 128 bits of hash (name and fragment), windows by their
-bytes. Cases: null and empty texts have no windows; rows with one doc_id don't
+Equal fragments are told by one 64-bit figure of name and rolling hash, windows by
+their bytes. Cases: null and empty texts have no windows; rows with one doc_id don't
 remove from each other; a null doc_id is later than all others; rows that repeat
 are treated alike; an empty table gives an empty result.
 """
