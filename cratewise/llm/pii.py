@@ -3,8 +3,9 @@
 Base kinds are found by their expressions and checks. Beside them, generators of
 high recall propose spans that may overlap. Boosted trees score a proposal by its
 shape and its surroundings; they never see the checks of the base kinds. The
-trees learn, for each generator, to tell proposals that are validated base spans
-from all others, on a bounded sample of documents. A second part of the sample
+trees learn, for each generator, to tell proposals that are validated base spans (or
+account numbers whose check digits hold) from all others, on a bounded sample of
+documents. A second part of the sample
 calibrates the scores, and a generator's threshold is the lowest score from which
 on the calibrated precision is high enough. Proposals above it that touch no base
 span and no better proposal are added.
@@ -17,6 +18,7 @@ result.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.llm.common import text_of
+from cratewise.llm.common import saved, text_of
 
 #: The base kinds, in order, and their expressions.
 KINDS = ("email", "ip", "card", "phone")
@@ -43,8 +45,11 @@ GENERATORS = (
 )
 CUES = re.compile(r"(?i)\b(?:e-?mail|mail|contact|phone|tel|call|mobile|fax|card|visa|account|iban|ip|host|address|ssn)\b")
 AROUND = 24
-#: Most documents that the trees are fitted on, and most proposals of them.
-TRAIN_DOCUMENTS, TRAIN_PROPOSALS = 4_000, 20_000
+#: Documents that the trees are fitted on: about so many by hash, and of each rare shape so
+#: many more; and the most proposals of one generator and label.
+TRAIN_DOCUMENTS, SHAPE_DOCUMENTS, TRAIN_PROPOSALS = 4_000, 1_000, 5_000
+#: What every text with a proposal of a rare generator holds: handle, dotted, account.
+HINTS = (r"@|[\[(]at[\])]", r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]", r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}")
 PRECISION = 0.95
 
 Span = tuple[str, int, int]
@@ -206,19 +211,40 @@ class Selector:
         return chance, chance >= self.thresholds[x[:, 0].astype(int)]
 
 
+def account_checks(span: str) -> bool:
+    """The check digits of an international account number: rearranged and read as a number, 1 modulo 97."""
+    plain = span.replace(" ", "")
+    return len(plain) >= 15 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
 def examples(text: str) -> tuple[list[list[float]], list[int]]:
-    """Features of a text's proposals, and whether a base span lies at the same place."""
+    """Features of a text's proposals, and whether each is what it looks like: an account
+    number by its check digits, any other by a base span at the same place."""
     base = {(a, b) for _, a, b in base_spans(text)}
     found = proposals(text)
-    # A base phone may start at a plus sign, just before the shape of a number.
-    near = lambda a, b: any((a - d, b) in base for d in range(5))
-    return [features(text, *p) for p in found], [int(near(a, b)) for _, a, b in found]
 
+    def holds(number: int, a: int, b: int) -> bool:
+        if GENERATORS[number][0] == "account":
+            return account_checks(text[a:b])
+        # A base phone may start at a plus sign, just before the shape of a number.
+        return any((a - d, b) in base for d in range(5))
 
-def fitted(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, most: int = TRAIN_PROPOSALS) -> Selector:
-    """A selector learned from the proposals of about ``documents`` documents, ``most`` of them."""
+    return [features(text, *p) for p in found], [int(holds(*p)) for p in found]
+
+
+def training_documents(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, shape: int = SHAPE_DOCUMENTS) -> DataFrame:
+    """Texts to learn from: about ``documents`` by the hash of their ids, and, so that rare
+    shapes are seen at any size, the ``shape`` of least hash among all that hold a generator's hint."""
+    texts = docs.select(text_of().alias("text"), F.xxhash64("doc_id").alias("_h"), F.xxhash64("doc_id", text_of()).alias("_order"))
     every = max(1, docs.count() // documents)
-    part = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
+    part = texts.filter(F.pmod(F.col("_h"), F.lit(every)) == 0)
+    for hint in HINTS:
+        part = part.unionByName(texts.filter(F.col("text").rlike(hint)).orderBy("_order", "text").limit(shape))
+    return part.dropDuplicates(["_order"]).select("text")
+
+
+def fitted(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, most: int = TRAIN_PROPOSALS) -> Selector:
+    """A selector learned from the proposals of a bounded sample, ``most`` of each generator and label."""
 
     def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in parts:
@@ -227,20 +253,27 @@ def fitted(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, most: int = TRAIN_
                 if x:
                     yield pd.DataFrame({"x": [list(map(float, r)) for r in x], "y": y})
 
-    rows = part.select(text_of().alias("text")).mapInPandas(of, "x array<double>, y int")
-    rows = rows.orderBy(F.xxhash64("x"), "x", "y").limit(most).collect()
+    found = saved(training_documents(docs, documents).mapInPandas(of, "x array<double>, y int"), "pii-examples")
+    rows = []
+    for number in range(len(GENERATORS)):
+        for label in (0, 1):
+            own = found.filter((F.col("x")[0] == number) & (F.col("y") == label))
+            rows += own.orderBy(F.xxhash64("x"), "x").limit(most).collect()
+    rows.sort(key=lambda r: (zlib.crc32(repr(r["x"]).encode()), r["x"], r["y"]))
     x = np.array([r["x"] for r in rows], float) if rows else np.zeros((0, 1))
     return Selector(x, np.array([r["y"] for r in rows], float))
 
 
 def added(text: str, base: list[Span], found: list[tuple[int, int, int]], chance: np.ndarray, above: np.ndarray) -> list[Span]:
     """Proposals above their threshold, likeliest first, that touch nothing taken before."""
-    taken = [(a, b) for _, a, b in base]
+    taken = bytearray(len(text))
+    for _, a, b in base:
+        taken[a:b] = b"\1" * (b - a)
     spans: list[Span] = []
     for i in sorted(np.flatnonzero(above), key=lambda i: (-chance[i], found[i])):
         number, a, b = found[i]
-        if all(b <= c or d <= a for c, d in taken):
-            taken.append((a, b))
+        if taken.find(1, a, b) < 0:
+            taken[a:b] = b"\1" * (b - a)
             spans.append((GENERATORS[number][0], a, b))
     return spans
 

@@ -6,12 +6,14 @@ are intersected per row, the rows that satisfy a rule's query are joined with
 their texts, and the expression itself decides. Rules without mandatory trigrams
 go through every text.
 
-Cases: null and empty texts have no spans; rows alike in id and text share one
+Cases: null and empty texts have no spans; a text of very many matches takes time
+in proportion to them; rows alike in id and text share one
 entry of the index; a null doc_id is kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -53,6 +55,11 @@ MORE = (
 )
 
 
+SPANS = "array<struct<start:int,end:int,kind:string>>"
+#: Matches that are laid out from one start.
+CHUNK = 64
+
+
 def row_key() -> Column:
     """Rows with equal keys share postings, which at worst makes a text be looked at in vain."""
     return F.xxhash64("doc_id", "text")
@@ -95,25 +102,50 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return met.select("key", F.array_compact(F.array(*kinds)).alias("kinds")).filter(F.size("kinds") > 0)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value worked out once: what a lambda holds of the outside is worked out anew for each element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def laid_out(sizes: Column, start: Column, kind: str) -> Column:
+    """Spans of a few (gap, size), the first gap at ``start``."""
+    begin = F.struct(start.alias("at"), F.array().cast(SPANS).alias("list"))
+
+    def add(state, one):
+        low = state["at"] + one["gap"]
+        high = low + one["size"]
+        span = F.struct(low.alias("start"), high.alias("end"), F.lit(kind).alias("kind"))
+        return F.struct(high.alias("at"), F.concat(state["list"], F.array(span)).alias("list"))
+
+    return F.aggregate(sizes, begin, add, lambda state: state["list"])
+
+
+def chunk_starts(chunks: Column) -> Column:
+    """Where each chunk begins: the sum of the sizes of those before it."""
+    length = lambda chunk: F.aggregate(chunk, F.lit(0), lambda n, one: n + one["gap"] + one["size"])
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("list"))
+    add = lambda state, n: F.struct((state["at"] + n).alias("at"), F.concat(state["list"], F.array(state["at"])).alias("list"))
+    return F.aggregate(F.transform(chunks, length), begin, add, lambda state: state["list"])
+
+
 def spans(rule: Rule, text: Column) -> Column:
     """Array of (start, end, kind) of a rule's matches, in code points.
 
     The text between matches and the matches follow each other, so a match
-    starts where the lengths of all before it end.
+    starts where the lengths of all before it end. A list that grows by one is
+    copied each time, so matches are laid out in chunks, each from its own start:
+    the copies are then CHUNK / 2 to a match, not half of all matches.
     """
     found = F.regexp_extract_all(text, F.lit(rule.expression), F.lit(0))
     between = F.split(text, rule.expression, -1)
     tested = F.regexp_extract_all(text, F.lit(rule.expression), F.lit(rule.group))
     sizes = F.zip_with(between, found, lambda gap, match: F.struct(F.length(gap).alias("gap"), F.length(match).alias("size")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,kind:string>>").alias("list"))
-
-    def add(state, one):
-        start = state["at"] + one["gap"]
-        end = start + one["size"]
-        span = F.struct(start.alias("start"), end.alias("end"), F.lit(rule.kind).alias("kind"))
-        return F.struct(end.alias("at"), F.concat(state["list"], F.array(span)).alias("list"))
-
-    every = F.aggregate(F.slice(sizes, F.lit(1), F.size(found)), begin, add, lambda state: state["list"])
+    sizes = F.filter(sizes, lambda one: one["size"].isNotNull())
+    numbers = lambda some: F.sequence(F.lit(0), F.floor((F.size(some) - 1) / CHUNK).cast("int"))
+    cut = lambda some: F.transform(numbers(some), lambda n: F.slice(some, n * CHUNK + 1, F.lit(CHUNK)))
+    place = lambda chunks: F.flatten(F.zip_with(chunks, chunk_starts(chunks), lambda c, at: laid_out(c, at, rule.kind)))
+    many = lambda some: bound(cut(some), place)
+    every = bound(sizes, lambda some: F.when(F.size(some) <= CHUNK, laid_out(some, F.lit(0), rule.kind)).otherwise(many(some)))
     long_enough = F.zip_with(every, tested, lambda span, match: F.when(F.length(match) >= rule.least, span))
     return F.array_compact(long_enough)
 
@@ -127,7 +159,7 @@ def scanned(docs: DataFrame, base: tuple[Rule, ...] = BASE, more: tuple[Rule, ..
     asked = saved(candidates(index, indexed), "secret-candidates")
     rows = docs.withColumn("key", row_key()).join(asked.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"), "left")
     rows = rows.select("doc_id", text_of().alias("text"), "kinds")
-    none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
+    none = F.array().cast(SPANS)
     columns = []
     for r in rules:
         if r in indexed:
