@@ -1,10 +1,12 @@
 """I-Match fingerprints over randomised lexicon subsets, in DataFrame operations.
 
-The lexicon has the terms whose share of documents lies within a band. A term's
-hash puts it into one of several subsets of falling density, or into none; the
-sorted distinct terms that a document has of a subset are hashed to one part of
-its fingerprint. Dense subsets serve short documents, thin ones long documents.
-A document with no term of the lexicon is fingerprinted over all its terms.
+The lexicon has the terms whose share of the distinct texts lies within a band:
+copies of a text count once, so that a text which a third of the rows hold has as
+good a lexicon as any other. Several subsets of the lexicon are drawn at random,
+each independently of the others, so that they overlap; the sorted distinct terms
+that a document has of a subset are hashed to one part of its fingerprint. Dense
+subsets serve short documents, thin ones long documents. A document without terms
+of the lexicon is fingerprinted over all its terms in the same subsets.
 
 A band bounds the lexicon: were there more than (mean distinct terms) / (least
 share) terms, their documents would add up to more than there are. That is why
@@ -23,11 +25,11 @@ from pyspark.sql import Window as W
 
 from cratewise.llm.common import BLANKS, saved, text_of
 
-#: Least and greatest share of documents that a term of the lexicon may have.
+#: Least and greatest share of distinct texts that a term of the lexicon may have.
 BAND = (0.0005, 0.05)
-#: Subsets: two of each density, from 1/16 down to 1/2048.
-DENSITIES = tuple(1 / 2**level for level in range(4, 12) for _ in range(2))
-PART = 8  # hex digits of one subset's hash
+#: Subsets: eight of each density, from 1/16 down to 1/512.
+DENSITIES = tuple(1 / 2**level for level in range(4, 10) for _ in range(8))
+PART = 4  # hex digits of one subset's hash
 #: Characters to a block of neighbouring documents, and cells that ids are counted in.
 BLOCK_CHARS, CELLS = 4_000_000, 65_536
 
@@ -38,49 +40,69 @@ def terms(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def subset_of(term: Column) -> Column:
-    """Number of the subset that a term's hash puts it into; null for none."""
-    at = F.shiftrightunsigned(term, 11).cast("double") / float(1 << 53)
-    edge, found = 0.0, None
-    for number, share in enumerate(DENSITIES):
-        edge += share
-        found = F.when(at < edge, number) if found is None else found.when(at < edge, number)
-    return found
+def numbers() -> Column:
+    return F.sequence(F.lit(0), F.lit(len(DENSITIES) - 1))
 
 
-def lexicon(docs: DataFrame, rows: int, band: tuple[float, float] = BAND) -> DataFrame:
-    """``term`` and ``subset`` of the terms within the band that belong to a subset."""
-    each = docs.select(F.explode(terms(text_of())).alias("term")).filter(F.shiftrightunsigned("term", 11) < int(sum(DENSITIES) * (1 << 53)))
-    counted = each.groupBy("term").agg(F.count("*").alias("documents"))
-    # A term of one document says nothing of likeness.
-    kept = counted.filter(F.col("documents").between(max(2.0, band[0] * rows), max(2.0, band[1] * rows)))
-    return kept.select("term", subset_of(F.col("term")).alias("subset"))
+def bit(number: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), number)
 
 
-def fingerprint_of(found: Column, everything: Column) -> Column:
-    """``found``: sorted (subset, term) of the lexicon; ``everything``: the hash of all terms."""
-    of_subset = lambda number: F.filter(found, lambda t: t["subset"] == number)
-    parts = []
-    for number in range(len(DENSITIES)):
-        own = of_subset(number)
-        joined = F.array_join(F.transform(own, lambda t: t["term"].cast("string")), ",")
-        short = F.substring(F.md5(joined), 1, PART)
-        parts.append(F.when(F.size(own) == 0, "0" * PART).otherwise(short))
-    whole = F.concat(F.lit("-"), F.lower(F.lpad(F.hex(everything), 16, "0")))
-    return F.when(F.size(found) == 0, whole).otherwise(F.concat(*parts))
+def subsets_of(term: Column) -> Column:
+    """The subsets that a term belongs to, one bit each: every subset draws by a hash of its own."""
+    one_in = F.array(*[F.lit(round(1 / share)) for share in DENSITIES])
+    nothing = F.lit(0).cast("long")
+    drawn = lambda n: F.pmod(F.xxhash64(term, n), F.element_at(one_in, n + 1)) == 0
+    return F.aggregate(numbers(), nothing, lambda found, n: F.when(drawn(n), found.bitwiseOR(bit(n))).otherwise(found))
+
+
+def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
+    """``term`` and ``subsets`` of the terms within the band that belong to a subset.
+
+    Texts are told apart by two hashes. The rows of one text meet as one row per
+    task, so a text that fills a third of the table is no heavier than another.
+    """
+    texts = docs.select(F.xxhash64(text_of()).alias("one"), F.hash(text_of()).alias("two"), terms(text_of()).alias("terms"))
+    distinct = texts.groupBy("one", "two").agg(F.first("terms").alias("terms"))
+    each = distinct.select(F.explode(F.concat(F.array(F.lit(None).cast("long")), "terms")).alias("term"))
+    # The row without a term counts the texts.
+    counted = saved(each.groupBy("term").agg(F.count("*").alias("texts")).filter("term is null or texts > 1"), "term-texts")
+    every = counted.filter("term is null").first()
+    texts = every["texts"] if every else 0
+    # A term of one text says nothing of likeness.
+    kept = counted.filter(F.col("term").isNotNull() & F.col("texts").between(max(2.0, band[0] * texts), max(2.0, band[1] * texts)))
+    return kept.select("term", subsets_of(F.col("term")).alias("subsets")).filter("subsets <> 0")
+
+
+def fingerprint_of(found: Column, own: Column) -> Column:
+    """``found``: sorted (term, subsets) of the lexicon; ``own``: all terms, used where there is none."""
+    all_terms = F.transform(F.array_sort(own), lambda t: F.struct(t.alias("term"), subsets_of(t).alias("subsets")))
+    bare = F.size(found) == 0
+    drawn = F.filter(all_terms, lambda t: t["subsets"] != 0)
+
+    def part(of_subset: Column) -> Column:
+        hashed = F.xxhash64(F.transform(of_subset, lambda t: t["term"])).bitwiseAND(F.lit(16**PART - 1).cast("long"))
+        # No part of a subset with terms is all zeros.
+        shown = F.lower(F.lpad(F.hex(F.greatest(hashed, F.lit(1).cast("long"))), PART, "0"))
+        return F.when(F.size(of_subset) == 0, "0" * PART).otherwise(shown)
+
+    def parts(some: Column) -> Column:
+        of_subset = lambda n: F.filter(some, lambda t: t["subsets"].bitwiseAND(bit(n)) != 0)
+        return F.array_join(F.transform(F.transform(numbers(), of_subset), part), "")
+
+    once = lambda some: F.element_at(F.transform(F.array(some), parts), 1)
+    return once(F.when(bare, drawn).otherwise(found))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal parts among the subsets of which either document has terms (0 to 1)."""
-    same, some = F.lit(0), F.lit(0)
-    for number in range(len(DENSITIES)):
-        x, y = (F.substring(c, 1 + number * PART, PART) for c in (a, b))
-        none = F.lit("0" * PART)
-        same = same + ((x == y) & (x != none)).cast("int")
-        some = some + ((x != none) | (y != none)).cast("int")
-    parts = F.when(some > 0, same / some).otherwise(0.0)
-    short = a.startswith("-") | b.startswith("-")
-    return F.when(a == b, 1.0).when(short, 0.0).otherwise(parts)
+    part = lambda c, n: F.substring(c, n * PART + 1, F.lit(PART))
+    pairs = F.transform(numbers(), lambda n: F.struct(part(a, n).alias("a"), part(b, n).alias("b")))
+    none = F.lit("0" * PART)
+    some = F.filter(pairs, lambda p: (p["a"] != none) | (p["b"] != none))
+    same = lambda found: F.size(F.filter(found, lambda p: p["a"] == p["b"])) / F.size(found)
+    share = F.element_at(F.transform(F.array(some), lambda found: F.when(F.size(found) > 0, same(found)).otherwise(0.0)), 1)
+    return F.when(a == b, 1.0).otherwise(share)
 
 
 def blocks(docs: DataFrame, block_chars: int) -> tuple[DataFrame, Column]:
@@ -129,9 +151,9 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - third), F.substring(following, F.lit(1), third))
 
 
-def fingerprints(docs: DataFrame, rows: int, band: tuple[float, float] = BAND, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per document: n_chars, edited_sha256, fingerprint, edited_fingerprint, and its block and place."""
-    chosen = F.broadcast(saved(lexicon(docs, rows, band), "lexicon").select(F.col("term").alias("_term"), "subset"))
+    chosen = F.broadcast(saved(lexicon(docs, band), "lexicon").select(F.col("term").alias("_term"), "subsets"))
     own = with_next(docs, block_chars).withColumn("edited", edited(F.col("text"), F.col("next")))
     own = own.select(
         "block", "place",
@@ -140,29 +162,23 @@ def fingerprints(docs: DataFrame, rows: int, band: tuple[float, float] = BAND, b
         terms(F.col("edited")).alias("changed"),
     )
     # Each text's terms after a row of null that carries the rest and keeps texts without terms.
-    limit = int(sum(DENSITIES) * (1 << 53))
-    could = lambda t: F.shiftrightunsigned(t, 11) < limit
     nothing = F.array(F.lit(None).cast("long"))
     both = F.array(*[
-        F.struct(
-            F.lit(side).alias("side"),
-            F.struct("about", F.xxhash64(F.array_sort(name)).alias("everything")).alias("rest"),
-            F.concat(nothing, F.filter(name, could)).alias("terms"),
-        )
+        F.struct(F.lit(side).alias("side"), F.struct("about", F.col(name).alias("all")).alias("rest"), F.concat(nothing, name).alias("terms"))
         for side, name in enumerate(("own", "changed"))
     ])
     each = own.select("block", "place", F.inline(both)).select("block", "place", "side", "rest", F.explode("terms").alias("term"))
     each = each.withColumn("rest", F.when(F.col("term").isNull(), F.col("rest")))
-    found = each.join(chosen, F.col("term") == F.col("_term"), "left").filter("term is null or subset is not null")
-    pair = F.when(F.col("subset").isNotNull(), F.struct("subset", "term"))
+    found = each.join(chosen, F.col("term") == F.col("_term"), "left").filter("term is null or subsets is not null")
+    pair = F.when(F.col("subsets").isNotNull(), F.struct("term", "subsets"))
     of_side = lambda side, value: F.when(F.col("side") == side, value)
     gathered = found.groupBy("block", "place").agg(
         F.max(of_side(0, F.col("rest"))).alias("rest"),
-        F.max(of_side(1, F.col("rest.everything"))).alias("all_edited"),
+        F.max(of_side(1, F.col("rest.all"))).alias("all_edited"),
         F.array_sort(F.collect_list(of_side(0, pair))).alias("found"),
         F.array_sort(F.collect_list(of_side(1, pair))).alias("found_edited"),
     )
-    gathered = gathered.select("block", "place", "rest.about.*", F.col("rest.everything").alias("all_own"), "all_edited", "found", "found_edited")
+    gathered = gathered.select("block", "place", "rest.about.*", F.col("rest.all").alias("all_own"), "all_edited", "found", "found_edited")
     return gathered.select(
         "block", "place", "doc_id", "n_chars", "edited_sha256",
         fingerprint_of(F.col("found"), F.col("all_own")).alias("fingerprint"),
@@ -173,7 +189,7 @@ def fingerprints(docs: DataFrame, rows: int, band: tuple[float, float] = BAND, b
 def compared(spark: SparkSession, docs: DataFrame, band: tuple[float, float] = BAND, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Fingerprints with the likeness to the edited text's and to the next document's."""
     docs = docs.select("doc_id", "text")
-    found = saved(fingerprints(docs, docs.count(), band, block_chars), "imatch")
+    found = saved(fingerprints(docs, band, block_chars), "imatch")
     # A block's last row is followed by the first of the next block that has rows, the very last by the first.
     first = found.filter("place = 1").select(F.col("block"), F.col("fingerprint").alias("first"))
     ends = first.agg(F.max("block")).first()[0]
