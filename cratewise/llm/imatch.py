@@ -161,14 +161,15 @@ def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND, block_chars:
         terms(F.col("text")).alias("own"),
         terms(F.col("edited")).alias("changed"),
     )
-    # Each text's terms after a row of null that carries the rest and keeps texts without terms.
+    # Each text's terms after a row of null that alone carries the rest, and keeps texts without terms.
     nothing = F.array(F.lit(None).cast("long"))
-    both = F.array(*[
-        F.struct(F.lit(side).alias("side"), F.struct("about", F.col(name).alias("all")).alias("rest"), F.concat(nothing, name).alias("terms"))
-        for side, name in enumerate(("own", "changed"))
-    ])
-    each = own.select("block", "place", F.inline(both)).select("block", "place", "side", "rest", F.explode("terms").alias("term"))
-    each = each.withColumn("rest", F.when(F.col("term").isNull(), F.col("rest")))
+
+    def rows_of(name: str) -> Column:
+        rest = F.struct("about", F.col(name).alias("all"))
+        return F.transform(F.concat(nothing, name), lambda t: F.struct(t.alias("term"), F.when(t.isNull(), rest).alias("rest")))
+
+    both = F.array(*[F.struct(F.lit(side).alias("side"), rows_of(name).alias("rows")) for side, name in enumerate(("own", "changed"))])
+    each = own.select("block", "place", F.inline(both)).select("block", "place", "side", F.inline("rows"))
     found = each.join(chosen, F.col("term") == F.col("_term"), "left").filter("term is null or subsets is not null")
     pair = F.when(F.col("subsets").isNotNull(), F.struct("term", "subsets"))
     of_side = lambda side, value: F.when(F.col("side") == side, value)
