@@ -1,16 +1,26 @@
 """Licence scan by canonical digest.
 
-A text is brought to a canonical form (lower case; copyright lines out;
-equivalent spellings made one; punctuation and spacing out) and its digest is
-joined with the digests of known licence texts brought to the same form. The
-join is on the whole text: a document that merely holds a licence doesn't match.
+A text is brought to a canonical form (lower case; titles, copyright lines and
+numbers of list items out; equivalent spellings and the holder named inside a
+clause made one; punctuation and spacing out) and its digest is joined with the
+digests of known licence texts brought to the same form. The join is on the whole
+text: a document that merely holds a licence doesn't match.
+
+Known texts lie in ``license_texts`` by their SPDX names, short ones below. Where
+a text goes on after the end of its terms (how to apply it), it is also known
+without that. A text can't tell "only" from "or later", so neither do the names.
 
 Cases: null and empty texts, and texts of nothing but copyright lines, match
 nothing; repeated rows are looked up alike; an empty table gives an empty result.
+A copyright notice that runs over several lines loses its first line only; a text
+whose holder takes more than twelve words inside a clause, or in which a wrap puts
+a sentence's "copyright" before a name at the start of a line, isn't found.
 """
 
 from __future__ import annotations
 
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,29 +73,64 @@ SPELLINGS = (
     ("judgement", "judgment"), ("favour", "favor"), ("merchantibility", "merchantability"), ("non commercial", "noncommercial"),
     ("non infringement", "noninfringement"), ("per cent", "percent"), ("copyright owner", "copyright holder"),
     ("copyright owners", "copyright holders"), ("whilst", "while"), ("organisation", "organization"), ("https", "http"),
+    ("and or", "and"), ("library general public", "lesser general public"),
+)
+#: Words after which "copyright" belongs to a sentence and doesn't start a notice.
+IN_SENTENCE = (
+    "and", "are", "as", "by", "claims?", "disclaimers?", "for", "holders?", "if", "in", "infringement", "interests?", "is",
+    "laws?", "licen[cs]es?", "notices?", "of", "on", "or", "owners?", "permission", "protection", "resulting", "statements?",
+    "status", "that", "the (?:library|program|software|work)", "to", "treaty", "under", "with",
 )
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(?:copyright(?: \(c\)| ©|:| [0-9])|\(c\) |©|all rights reserved)[^\n]*$"
-TITLE_LINE = r"^[^a-z0-9]*(?:the )?(?:mit|isc|zlib|bsd(?: [0-9]-clause)?) licen[cs]e[^a-z0-9\n]*\n"
+BOUND = rf"copyright[ \t]+({'|'.join(IN_SENTENCE)})\b"
+COPYRIGHT_LINE = r"(?md)^[^a-z0-9\n]*(?:(?:portions )?copyright[ \t:]+[^\s]|(?:portions )?copyright©|\(c\)[ \t]*(?:copyright|[0-9<\[{])|©|all rights reserved)[^\n]*$"
+TITLE_LINE = (
+    r"(?md)^[^a-z0-9\n]*(?:the )?(?:new |modified |revised |simplified )?(?:mit|isc|zlib|expat|0?bsd)(?:[ -](?:[0-9]|zero)[ -]clause)?"
+    r"(?: [\x22'(]?(?:simplified|new|revised|modified)[\x22')]?)? licen[cs]e(?: \([^)\n]*\))?[^a-z0-9\n]*$"
+)
+ITEM_NUMBER = r"(?md)^[^a-z0-9\n]*[0-9]{1,2}\.[ \t]+|\([0-9]{1,2}\)"
+#: Who a clause names, in words of the canonical form, and what stands for it.
+HOLDERS = (
+    (r"\bneither the names? of (?:[^ ]+ ){1,12}nor the names? of (?:any |its |his |her |their )?contributors", "neither the name of the holder nor the names of contributors"),
+    (r"\bsoftware is provided by (?:[^ ]+ ){1,12}as is\b", "software is provided by the holder as is"),
+    (r"\bin no event shall (?:[^ ]+ ){1,12}be liable\b", "in no event shall the holder be liable"),
+    (r"\bas is and (?:[^ ]+ ){1,12}disclaims? all\b", "as is and the holder disclaims all"),
+    (r"\b(?:51 franklin st(?:reet)? fifth floor|59 temple place suite 330|675 mass ave) (?:boston|cambridge) ma [0-9]{5}(?: [0-9]{4})?(?: usa)?\b", ""),
+)
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
 
 
 def canonical(column: str = "text") -> Column:
-    """Lower case without title, copyright lines and punctuation, one space between words, one spelling."""
+    """Lower case without title, copyright lines, item numbers and punctuation, one space between words, one spelling."""
     text = F.regexp_replace(F.lower(text_of(column)), "\\r\\n?", "\n")
-    text = F.regexp_replace(F.regexp_replace(text, TITLE_LINE, ""), COPYRIGHT_LINE, "")
+    text = F.regexp_replace(F.regexp_replace(text, BOUND, "copyright-$1"), TITLE_LINE, "")
+    text = F.regexp_replace(F.regexp_replace(text, COPYRIGHT_LINE, ""), ITEM_NUMBER, "")
     words = F.trim(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "))
     for spelling, one in SPELLINGS:
         words = F.replace(F.concat(F.lit(" "), words, F.lit(" ")), F.lit(f" {spelling} "), F.lit(f" {one} "))
         words = F.trim(words)
-    return words
+    for named, one in HOLDERS:
+        words = F.regexp_replace(words, named, one)
+    return F.trim(F.regexp_replace(words, " +", " "))
 
 
 def digest(column: str = "text") -> Column:
     return F.sha2(canonical(column), 256)
 
 
-def known_digests(spark: SparkSession, licenses: dict[str, str] = LICENSES) -> DataFrame:
-    """(digest, license), one row per distinct digest."""
-    table = spark.createDataFrame(sorted(licenses.items()), "license string, text string")
+def catalogue() -> list[tuple[str, str]]:
+    """(license, text) of all known texts, sorted; one licence may have several."""
+    texts = set(LICENSES.items())
+    for file in resources.files(__package__).joinpath("license_texts").iterdir():
+        name, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+        texts.add((name, text))
+        if END_OF_TERMS in text:
+            texts.add((name, text[: text.index(END_OF_TERMS) + len(END_OF_TERMS)]))
+    return sorted(texts)
+
+
+def known_digests(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
+    """(digest, license), one row per distinct digest, of ``texts`` or the whole catalogue."""
+    table = spark.createDataFrame(catalogue() if texts is None else texts, "license string, text string")
     return table.select(digest().alias("known"), "license").groupBy("known").agg(F.min("license").alias("license"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cratewise.llm.licenses import COPYRIGHT_LINE, LICENSES, SPELLINGS, TITLE_LINE
+from cratewise.llm.licenses import SPELLINGS, catalogue
 
 BLANK = r"[\x20\x09-\x0D]+"
 
@@ -19,19 +19,42 @@ def exact_dedup() -> str:
         FROM n WINDOW same AS (PARTITION BY text_sha256)"""
 
 
+#: Words that make "copyright" part of a sentence, notices, headings, item numbers and named holders, for this engine's expressions.
+SENTENCE = (
+    r"(and|are|as|by|claim|claims|disclaimer|disclaimers|for|holder|holders|if|in|infringement|interest|interests|is|law|laws|licence|licences"
+    r"|license|licenses|notice|notices|of|on|or|owner|owners|permission|protection|resulting|statement|statements|status|that|the library"
+    r"|the program|the software|the work|to|treaty|under|with)\b"
+)
+NOTICE = r"(?m)^[^a-z0-9\n]*((portions )?copyright([ \t:]+[^\s]|©)|\(c\)[ \t]*(copyright|\d|<|\[|\{)|©|all rights reserved)[^\n]*$"
+HEADING = (
+    r"(?m)^[^a-z0-9\n]*(the )?((new|modified|revised|simplified) )?(mit|isc|zlib|expat|bsd|0bsd)([ -](\d|zero)[ -]clause)?"
+    r"( [\x22'(]?(simplified|new|revised|modified)[\x22')]?)? licen[cs]e( \([^)\n]*\))?[^a-z0-9\n]*$"
+)
+NAMED = {
+    r"\bneither the name(s)? of ([^ ]+ ){1,12}nor the name(s)? of ((any|its|his|her|their) )?contributors": "neither the name of the holder nor the names of contributors",
+    r"\bsoftware is provided by ([^ ]+ ){1,12}as is\b": "software is provided by the holder as is",
+    r"\bin no event shall ([^ ]+ ){1,12}be liable\b": "in no event shall the holder be liable",
+    r"\bas is and ([^ ]+ ){1,12}disclaim(s)? all\b": "as is and the holder disclaims all",
+    r"\b(51 franklin (st|street) fifth floor|59 temple place suite 330|675 mass ave) (boston|cambridge) ma \d{5}( \d{4})?( usa)?\b": "",
+}
+
+
 def canonical(text: str) -> str:
-    """The canonical form of a licence text, as in ``licenses.canonical``."""
+    """The canonical form of a licence text, as the operator defines it."""
     out = f"regexp_replace(lower(coalesce({text}, '')), {quoted(chr(92) + 'r' + chr(92) + 'n?')}, chr(10), 'g')"
-    out = f"regexp_replace({out}, {quoted(TITLE_LINE)}, '')"
-    out = f"regexp_replace({out}, {quoted(COPYRIGHT_LINE)}, '', 'g')"
+    out = f"regexp_replace({out}, {quoted('copyright[ ' + chr(92) + 't]+' + SENTENCE)}, {quoted('copyright-' + chr(92) + '1')}, 'g')"
+    for line in (HEADING, NOTICE, r"(?m)^[^a-z0-9\n]*\d\d?\.[ \t]+|\(\d\d?\)"):
+        out = f"regexp_replace({out}, {quoted(line)}, '', 'g')"
     out = f"trim(regexp_replace({out}, {quoted('[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}]+')}, ' ', 'g'))"
     for spelling, one in SPELLINGS:
         out = f"trim(replace(concat(' ', {out}, ' '), ' {spelling} ', ' {one} '))"
-    return out
+    for named, one in NAMED.items():
+        out = f"regexp_replace({out}, {quoted(named)}, {quoted(one)}, 'g')"
+    return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
 
 
 def license_scan() -> str:
-    known = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in sorted(LICENSES.items()))
+    known = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in catalogue())
     return f"""
         WITH known AS (SELECT sha256({canonical("t")}) AS digest, min(name) AS license FROM (VALUES {known}) AS l(name, t) GROUP BY 1),
              seen AS (SELECT doc_id, sha256({canonical("text")}) AS digest FROM documents)
