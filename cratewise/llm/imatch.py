@@ -1,14 +1,16 @@
 """I-Match fingerprints over randomised lexicon subsets, in DataFrame operations.
 
-The lexicon has the terms whose share of documents lies within a band. A term's
-hash puts it into one of several subsets of falling density, or into none; the
-sorted distinct terms that a document has of a subset are hashed to one part of
-its fingerprint. Dense subsets serve short documents, thin ones long documents.
-A document with no term of the lexicon is fingerprinted over all its terms.
+The lexicon has the terms whose share of distinct texts lies within a band, so
+that copies of a text, however many, don't move its terms out of it. A term's hash
+puts it into one of several subsets of falling density, or into none; the sorted
+distinct terms that a document has of a subset are hashed to one part of its
+fingerprint. Dense subsets serve short documents, thin ones long documents. A
+document with no term of the lexicon is fingerprinted over the subsets' shares of
+all its terms, and one without such terms over all of them.
 
 A band bounds the lexicon: were there more than (mean distinct terms) / (least
-share) terms, their documents would add up to more than there are. That is why
-the lexicon, and nothing else, is sent to all tasks.
+share) terms, their texts would add up to more than there are. That is why the
+lexicon, and nothing else, is sent to all tasks.
 
 Cases: null and empty texts have the fingerprint of no terms; rows with one
 doc_id are ordered by the hash of their texts; rows without doc_id come last; one
@@ -23,11 +25,11 @@ from pyspark.sql import Window as W
 
 from cratewise.llm.common import BLANKS, saved, text_of
 
-#: Least and greatest share of documents that a term of the lexicon may have.
+#: Least and greatest share of distinct texts that a term of the lexicon may have.
 BAND = (0.0005, 0.05)
-#: Subsets: two of each density, from 1/16 down to 1/2048.
-DENSITIES = tuple(1 / 2**level for level in range(4, 12) for _ in range(2))
-PART = 8  # hex digits of one subset's hash
+#: Subsets: four of each density, from 1/16 down to 1/2048.
+DENSITIES = tuple(1 / 2**level for level in range(4, 12) for _ in range(4))
+PART = 6  # hex digits of one subset's hash
 #: Characters to a block of neighbouring documents, and cells that ids are counted in.
 BLOCK_CHARS, CELLS = 4_000_000, 65_536
 
@@ -38,6 +40,11 @@ def terms(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def could(term: Column) -> Column:
+    """Whether a term's hash puts it into any subset."""
+    return F.shiftrightunsigned(term, 11) < int(sum(DENSITIES) * (1 << 53))
+
+
 def subset_of(term: Column) -> Column:
     """Number of the subset that a term's hash puts it into; null for none."""
     at = F.shiftrightunsigned(term, 11).cast("double") / float(1 << 53)
@@ -48,39 +55,57 @@ def subset_of(term: Column) -> Column:
     return found
 
 
-def lexicon(docs: DataFrame, rows: int, band: tuple[float, float] = BAND) -> DataFrame:
-    """``term`` and ``subset`` of the terms within the band that belong to a subset."""
-    each = docs.select(F.explode(terms(text_of())).alias("term")).filter(F.shiftrightunsigned("term", 11) < int(sum(DENSITIES) * (1 << 53)))
-    counted = each.groupBy("term").agg(F.count("*").alias("documents"))
-    # A term of one document says nothing of likeness.
-    kept = counted.filter(F.col("documents").between(max(2.0, band[0] * rows), max(2.0, band[1] * rows)))
+def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
+    """``term`` and ``subset`` of the terms within the band that belong to a subset.
+
+    Texts are told apart by two hashes, and the rows of one text meet as one row
+    per task: a text that fills a third of the table is no heavier than another.
+    """
+    own = F.filter(terms(text_of()), could).alias("terms")
+    distinct = docs.select(F.xxhash64(text_of()).alias("one"), F.hash(text_of()).alias("two"), own).groupBy("one", "two").agg(F.first("terms").alias("terms"))
+    each = distinct.select(F.explode(F.concat(F.array(F.lit(None).cast("long")), "terms")).alias("term"))
+    # The row without a term counts the texts; a term of one text says nothing of likeness.
+    counted = saved(each.groupBy("term").agg(F.count("*").alias("texts")).filter("term is null or texts > 1"), "term-texts")
+    every = counted.filter("term is null").first()
+    texts = every["texts"] if every else 0
+    kept = counted.filter(F.col("term").isNotNull() & F.col("texts").between(max(2.0, band[0] * texts), max(2.0, band[1] * texts)))
     return kept.select("term", subset_of(F.col("term")).alias("subset"))
 
 
-def fingerprint_of(found: Column, everything: Column) -> Column:
-    """``found``: sorted (subset, term) of the lexicon; ``everything``: the hash of all terms."""
-    of_subset = lambda number: F.filter(found, lambda t: t["subset"] == number)
-    parts = []
-    for number in range(len(DENSITIES)):
-        own = of_subset(number)
-        joined = F.array_join(F.transform(own, lambda t: t["term"].cast("string")), ",")
-        short = F.substring(F.md5(joined), 1, PART)
-        parts.append(F.when(F.size(own) == 0, "0" * PART).otherwise(short))
+def with_print(rows: DataFrame, name: str, found: str, own: str, everything: str) -> DataFrame:
+    """Adds fingerprint ``name`` in place of its inputs.
+
+    ``found``: sorted (subset, term) of the lexicon; ``own``: the terms of any
+    subset, used where none is of the lexicon; ``everything``: the hash of all.
+    """
+    drawn = F.array_sort(F.transform(own, lambda t: F.struct(subset_of(t).alias("subset"), t.alias("term"))))
+    rows = rows.withColumn("_some", F.when(F.size(found) == 0, drawn).otherwise(F.col(found)))
+    # Quarters first, so that a subset's terms are looked for among a few.
+    quarter = len(DENSITIES) // 4
+    within = lambda n: F.filter("_some", lambda t: F.floor(t["subset"] / quarter) == n)
+    rows = rows.select("*", *[within(n).alias(f"_some{n}") for n in range(4)])
+
+    def part(number: int) -> Column:
+        of_subset = F.transform(F.filter(f"_some{number // quarter}", lambda t: t["subset"] == number), lambda t: t["term"])
+        hashed = F.greatest(F.xxhash64(of_subset).bitwiseAND(F.lit(16**PART - 1).cast("long")), F.lit(1).cast("long"))
+        # No part of a subset with terms is all zeros.
+        return F.when(F.exists(f"_some{number // quarter}", lambda t: t["subset"] == number), F.lower(F.lpad(F.hex(hashed), PART, "0"))).otherwise("0" * PART)
+
     whole = F.concat(F.lit("-"), F.lower(F.lpad(F.hex(everything), 16, "0")))
-    return F.when(F.size(found) == 0, whole).otherwise(F.concat(*parts))
+    parts = F.concat(*[part(number) for number in range(len(DENSITIES))])
+    rows = rows.withColumn(name, F.when(F.size("_some") == 0, whole).otherwise(parts))
+    return rows.drop("_some", *[f"_some{n}" for n in range(4)], found, own, everything)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal parts among the subsets of which either document has terms (0 to 1)."""
-    same, some = F.lit(0), F.lit(0)
-    for number in range(len(DENSITIES)):
-        x, y = (F.substring(c, 1 + number * PART, PART) for c in (a, b))
-        none = F.lit("0" * PART)
-        same = same + ((x == y) & (x != none)).cast("int")
-        some = some + ((x != none) | (y != none)).cast("int")
-    parts = F.when(some > 0, same / some).otherwise(0.0)
+    numbers = F.sequence(F.lit(0), F.lit(len(DENSITIES) - 1))
+    part = lambda c, n: F.substring(c, n * PART + 1, F.lit(PART))
+    none = F.lit("0" * PART)
+    some = F.size(F.filter(numbers, lambda n: (part(a, n) != none) | (part(b, n) != none)))
+    same = F.size(F.filter(numbers, lambda n: (part(a, n) != none) & (part(a, n) == part(b, n))))
     short = a.startswith("-") | b.startswith("-")
-    return F.when(a == b, 1.0).when(short, 0.0).otherwise(parts)
+    return F.when(a == b, 1.0).when(short, 0.0).otherwise(F.when(some > 0, same / some).otherwise(0.0))
 
 
 def blocks(docs: DataFrame, block_chars: int) -> tuple[DataFrame, Column]:
@@ -129,9 +154,9 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - third), F.substring(following, F.lit(1), third))
 
 
-def fingerprints(docs: DataFrame, rows: int, band: tuple[float, float] = BAND, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per document: n_chars, edited_sha256, fingerprint, edited_fingerprint, and its block and place."""
-    chosen = F.broadcast(saved(lexicon(docs, rows, band), "lexicon").select(F.col("term").alias("_term"), "subset"))
+    chosen = F.broadcast(saved(lexicon(docs, band), "lexicon").select(F.col("term").alias("_term"), "subset"))
     own = with_next(docs, block_chars).withColumn("edited", edited(F.col("text"), F.col("next")))
     own = own.select(
         "block", "place",
@@ -139,16 +164,13 @@ def fingerprints(docs: DataFrame, rows: int, band: tuple[float, float] = BAND, b
         terms(F.col("text")).alias("own"),
         terms(F.col("edited")).alias("changed"),
     )
-    # Each text's terms after a row of null that carries the rest and keeps texts without terms.
-    limit = int(sum(DENSITIES) * (1 << 53))
-    could = lambda t: F.shiftrightunsigned(t, 11) < limit
+    own = own.select("block", "place", "about", *[
+        F.struct(F.xxhash64(F.array_sort(name)).alias("everything"), F.filter(name, could).alias("terms")).alias(name) for name in ("own", "changed")
+    ])
+    # Each text's terms after a row of null that alone carries the rest, and keeps texts without terms.
     nothing = F.array(F.lit(None).cast("long"))
     both = F.array(*[
-        F.struct(
-            F.lit(side).alias("side"),
-            F.struct("about", F.xxhash64(F.array_sort(name)).alias("everything")).alias("rest"),
-            F.concat(nothing, F.filter(name, could)).alias("terms"),
-        )
+        F.struct(F.lit(side).alias("side"), F.struct("about", F.col(name).alias("of")).alias("rest"), F.concat(nothing, F.col(name)["terms"]).alias("terms"))
         for side, name in enumerate(("own", "changed"))
     ])
     each = own.select("block", "place", F.inline(both)).select("block", "place", "side", "rest", F.explode("terms").alias("term"))
@@ -158,22 +180,23 @@ def fingerprints(docs: DataFrame, rows: int, band: tuple[float, float] = BAND, b
     of_side = lambda side, value: F.when(F.col("side") == side, value)
     gathered = found.groupBy("block", "place").agg(
         F.max(of_side(0, F.col("rest"))).alias("rest"),
-        F.max(of_side(1, F.col("rest.everything"))).alias("all_edited"),
+        F.max(of_side(1, F.col("rest.of"))).alias("changed"),
         F.array_sort(F.collect_list(of_side(0, pair))).alias("found"),
         F.array_sort(F.collect_list(of_side(1, pair))).alias("found_edited"),
     )
-    gathered = gathered.select("block", "place", "rest.about.*", F.col("rest.everything").alias("all_own"), "all_edited", "found", "found_edited")
-    return gathered.select(
-        "block", "place", "doc_id", "n_chars", "edited_sha256",
-        fingerprint_of(F.col("found"), F.col("all_own")).alias("fingerprint"),
-        fingerprint_of(F.col("found_edited"), F.col("all_edited")).alias("edited_fingerprint"),
+    gathered = gathered.select(
+        "block", "place", "rest.about.*", "found", "found_edited",
+        F.col("rest.of.terms").alias("own"), F.col("rest.of.everything").alias("all_own"),
+        F.col("changed.terms").alias("changed"), F.col("changed.everything").alias("all_changed"),
     )
+    printed = with_print(gathered, "fingerprint", "found", "own", "all_own")
+    return with_print(printed, "edited_fingerprint", "found_edited", "changed", "all_changed")
 
 
 def compared(spark: SparkSession, docs: DataFrame, band: tuple[float, float] = BAND, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Fingerprints with the likeness to the edited text's and to the next document's."""
     docs = docs.select("doc_id", "text")
-    found = saved(fingerprints(docs, docs.count(), band, block_chars), "imatch")
+    found = saved(fingerprints(docs, band, block_chars), "imatch")
     # A block's last row is followed by the first of the next block that has rows, the very last by the first.
     first = found.filter("place = 1").select(F.col("block"), F.col("fingerprint").alias("first"))
     ends = first.agg(F.max("block")).first()[0]
