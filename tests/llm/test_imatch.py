@@ -90,7 +90,7 @@ def test_fingerprints_and_likeness(spark, hot):
     found = imatch.compared(spark, docs, block_chars=100_000).collect()
     assert {r["doc_id"]: (r["fingerprint"], r["edited_fingerprint"], r["near_edited"], r["near_next"]) for r in found} == expected
     near = [r["near_edited"] for r in found]
-    assert sum(n == 0 for n in near) <= 0.02 * len(near) and sum(near) / len(near) > 0.18
+    assert sum(n == 0 for n in near) <= 0.04 * len(near) and sum(near) / len(near) > 0.18
     if hot:
         held = {i for i, t in rows if t == model}
         of_hot = [r["near_edited"] for r in found if r["doc_id"] in held]
