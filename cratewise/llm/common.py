@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.utils import AnalysisException
 
+from cratewise.session import shared_path
+
 #: What separates words, and a word, as the contracts give them.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,31 +26,12 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir`` of the session.
-
-    Only where that is unset, as in tests, a folder below the warehouse is used,
-    which Spark itself expects every executor to reach.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the driver's file system closes."""
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return path
-
-
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: a lost executor
     then costs one file read, and what is used twice is computed once. What was
     shuffled for it is of no use afterwards and is removed at once."""
     spark = df.sparkSession
-    path, before = fresh_path(spark, name), spark.conf.get(CLEAN_UP, "false")
+    path, before = shared_path(spark, name), spark.conf.get(CLEAN_UP, "false")
     spark.conf.set(CLEAN_UP, "true")
     try:
         df.write.parquet(path)

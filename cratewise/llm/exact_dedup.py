@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratewise.llm.common import BLANKS, chosen_rows, file_backed, fresh_path, located, saved, text_of
+from cratewise.llm.common import BLANKS, chosen_rows, file_backed, located, saved, text_of
+from cratewise.session import shared_path
 
 #: State on the executors' disks; small stores, so no space is set aside for each, and all of one executor share
 #: one bounded memory.
@@ -43,7 +44,7 @@ def stream_groups(spark: SparkSession, log_path: str, schema, files_per_batch: i
     ``files_per_batch`` bounds a micro-batch; the state carries over between
     batches and the checkpoint in the shared folder lets a run resume.
     """
-    groups_path, state_path = fresh_path(spark, "dedup-groups"), fresh_path(spark, "dedup-state")
+    groups_path, state_path = shared_path(spark, "dedup-groups"), shared_path(spark, "dedup-state")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(log_path)
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_file", "_row")
     groups = stream.groupBy("digest").agg(F.min(first).alias("keeper"), F.count("*").alias("copies"))
@@ -74,7 +75,7 @@ def stream_groups(spark: SparkSession, log_path: str, schema, files_per_batch: i
 def exact_dedup(spark: SparkSession, docs: DataFrame, files_per_batch: int = 1000) -> DataFrame:
     """One row per document: _file, _row, doc_id, keep_id, group_size, kept, text_sha256."""
     rows = located(file_backed(docs).select("doc_id", "text"))
-    log_path = fresh_path(spark, "dedup-log")
+    log_path = shared_path(spark, "dedup-log")
     log = rows.select(F.sha2(normalised(), 256).alias("digest"), "doc_id", "_file", "_row")
     log.write.parquet(log_path)
     log = spark.read.schema(log.schema).parquet(log_path)
