@@ -21,7 +21,8 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -30,28 +31,42 @@ from cratewise.llm.common import bits_for, running_total, saved, text_of
 
 CAPACITY = 2048
 SEPARATOR = 0
-#: Steps of the walk through fillings after which the fullest found are tried, steps of a whole search, and words whose ids a task keeps.
-LOOK, BUDGET, WORDS_KEPT = 400, 1_000_000, 1_000_000
-#: Marks that stand alone to the tokenizer when they follow letters.
-MARKS = frozenset(".,;:!?")
-#: Below this character, lower case is one letter for one, and letters are composed as they stand.
-PLAIN = "\u0130"
+#: Steps of the walk through fillings after which the fullest found are tried, and steps of a whole search.
+LOOK, BUDGET = 400, 1_000_000
+#: Words whose ids a worker keeps, and words that are handed to the tokenizer at once.
+WORDS_KEPT, LEARNED_AT_ONCE = 300_000, 1 << 15
+#: The ASCII marks but for the apostrophe, as a class of an expression.
+MARKS = r"!-&(-/:-@\[-`{-~"
 #: Characters whose words are looked up together (one text at least).
 CHARS_AT_ONCE = 6_000_000
 
 
+def spaced(texts: pa.LargeStringArray) -> pa.LargeStringArray:
+    """Texts with the same ids and fewer different words: ASCII letters lower-cased, and a space wherever the
+    tokenizer cuts at ASCII anyway: round digits and between letters and marks, except before what may be a
+    contraction. Combining marks join with the letter before them and special tokens are spelled with marks, so
+    texts with either stay as they are."""
+    found = pc.ascii_lower(texts)
+    found = pc.replace_substring_regex(found, rf"([a-z])([{MARKS}'])", r"\1 \2")
+    found = pc.replace_substring_regex(found, rf"([{MARKS}])([a-z])", r"\1 \2")
+    found = pc.replace_substring_regex(found, "[0-9]", r" \0 ")
+    return pc.if_else(pc.match_substring_regex(texts, r"\p{M}|<\|"), texts, found)
+
+
 class WordIds:
     """Ids of texts by way of their words.
 
-    The tokenizer never joins anything across white space, nor letters with what
-    stands beside them, so ids are kept by word: of lower-cased letters, and of
-    what else there is, from text to text; of other spellings of these within one
-    call. The memory for them is bounded: it is emptied when it is full, which
-    costs time and changes nothing.
+    The tokenizer never joins anything across white space, so ids are kept by word
+    from text to text. Each different word of a batch is looked up once; the ids of
+    its texts are then gathered by number. The memory for words is bounded: the half
+    that was not used last is dropped when it is full, which costs time and changes
+    nothing.
     """
 
     def __init__(self, path: str, kept: int = WORDS_KEPT):
-        self.tokenizer, self.kept, self.ids = Tokenizer.from_file(path), kept, {}
+        self.tokenizer, self.kept = Tokenizer.from_file(path), kept
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def of_worker(path: str) -> WordIds:
@@ -61,67 +76,76 @@ class WordIds:
             known[path] = WordIds(path)
         return known[path]
 
-    def learn(self, words: list[str]) -> None:
-        found = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        at = np.array(found.word_ids, np.int64)
-        ends = (4 * np.searchsorted(at, np.arange(len(words) + 1))).tolist()
-        raw = ids.tobytes()
-        self.ids.update(zip(words, [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)], strict=True))
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        seen = set().union(*split) if split else set()
-        # Letters and the mark after them are separate to the tokenizer, and it ignores case.
-        letters, marked, basic = {}, {}, set()
-        for word in seen - self.ids.keys():
-            if word and (word.isascii() or max(word) < PLAIN):
-                if word.isalpha():
-                    letters[word] = word.lower()
-                    continue
-                if word[-1] in MARKS and (before := word[:-1]).isalpha():
-                    marked[word] = (before.lower(), word[-1])
-                    continue
-            basic.add(word)
-        basic.update(letters.values(), (a for a, _ in marked.values()), MARKS)
-        if len(self.ids) + len(basic) > self.kept:
-            self.ids.clear()
-            basic.update(seen - letters.keys() - marked.keys())
-        basic -= self.ids.keys()
-        if basic:
-            self.learn(list(basic))
-        get = self.ids.__getitem__
-        of = {word: get(word) for word in seen & self.ids.keys()}
-        of.update(zip(letters, map(get, letters.values()), strict=True))
-        of.update([(word, get(a) + get(b)) for word, (a, b) in marked.items()])
-        for words in split:
-            yield b"".join(map(of.__getitem__, words))
+    def learned(self, words: list[str]) -> Iterator[bytes]:
+        for low in range(0, len(words), LEARNED_AT_ONCE):
+            some = words[low : low + LEARNED_AT_ONCE]
+            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            at = np.array(found.word_ids, np.int64)
+            ends = (4 * np.searchsorted(at, np.arange(len(some) + 1))).tolist()
+            raw = np.array(found.ids, "<u4").tobytes()
+            yield from [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+    def of(self, words: list[str]) -> list[bytes]:
+        """Ids of different words."""
+        if len(self.recent) > self.kept // 2:
+            self.older, self.recent = self.recent, {}
+        found, new = [], []
+        for word in words:
+            ids = self.recent.get(word)
+            if ids is None:
+                ids = self.older.get(word)
+                if ids is None:
+                    new.append(word)
+                else:
+                    self.recent[word] = ids
+            found.append(ids)
+        made = self.learned(new)
+        found = [next(made) if ids is None else ids for ids in found]
+        room = max(0, self.kept // 2 - len(self.recent))
+        fresh = set(new[:room])
+        self.recent.update((w, ids) for w, ids in zip(words, found, strict=True) if w in fresh)
+        return found
+
+    def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where each text's begin, with the end after the last."""
+        split = pc.split_pattern(pc.replace_substring(spaced(texts), "\n", " "), " ")
+        flat = split.flatten().dictionary_encode()
+        ids = self.of(flat.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        every, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        number = flat.indices.to_numpy()
+        each = sizes[number]
+        stops = np.concatenate([[0], np.cumsum(each)])
+        at = np.arange(stops[-1]) + np.repeat(first[number] - stops[:-1], each)
+        offsets = split.offsets.to_numpy()
+        return every[at], stops[offsets - offsets[0]]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every document's pieces of at most ``capacity`` tokens."""
 
-    def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, end = WordIds.of_worker(path), np.array([SEPARATOR], "<u4").tobytes()
-        for part in parts:
-            place = part["text"].map(len).cumsum().to_numpy() // CHARS_AT_ONCE
-            cuts = [*np.flatnonzero(np.diff(place, prepend=-1)).tolist(), len(part)]
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, end = WordIds.of_worker(path), np.array([SEPARATOR], "<u4")
+        for batch in batches:
+            texts = batch.column("text").cast(pa.large_string())
+            place = np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False)) // CHARS_AT_ONCE
+            cuts = [*np.flatnonzero(np.diff(place, prepend=-1)).tolist(), len(texts)]
             for low, high in zip(cuts, cuts[1:], strict=False):
-                few = part.iloc[low:high]
+                ids, bounds = words.encode(texts.slice(low, high - low))
                 rows = []
-                for doc_id, raw in zip(few["doc_id"], words.encode(list(few["text"])), strict=True):
-                    raw += end
-                    count = len(raw) // 4
-                    for number, start in enumerate(range(0, count, capacity)):
-                        cut = raw[4 * start : 4 * (start + capacity)]
-                        rows.append((doc_id, number, start, len(cut) // 4, zlib.crc32(cut)))
-                found = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-                found["doc_id"] = pd.array([r[0] for r in rows], dtype=part["doc_id"].dtype)
-                yield found
+                for at, (a, b) in enumerate(zip(bounds.tolist(), bounds[1:].tolist(), strict=False), low):
+                    own = np.concatenate([ids[a:b], end])
+                    for number, start in enumerate(range(0, len(own), capacity)):
+                        cut = own[start : start + capacity]
+                        rows.append((at, number, start, len(cut), zlib.crc32(cut)))
+                at, number, start, length, crc = zip(*rows, strict=True)
+                longs = [pa.array(x, pa.int64()) for x in (start, length, crc)]
+                columns = [batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(number, pa.int32()), *longs]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    return docs.select("doc_id", text_of().alias("text")).mapInPandas(of, schema)
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(of, schema)
 
 
 def fillings(room: int, lengths: list[int], counts: dict[int, int]) -> Iterator[tuple[tuple[int, int], ...] | None]:
