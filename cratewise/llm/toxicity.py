@@ -9,9 +9,14 @@ makes them a score, which a part of the labelled documents kept out of training
 then calibrates. The same part gives each language its own threshold, which is
 beside the score: language is no input of it.
 
-Training takes a bounded sample of the labelled documents outside the held-out
-fold: at most SAMPLE_ROWS of each class and SAMPLE_CHARS characters together,
-chosen by hash of the id, whole texts; it is learned in one task. Scoring takes whole texts in slabs of bounded size.
+All labelled documents outside the held-out fold count, in whole texts. They are
+dealt into parts of about PART_CHARS characters by hash. Up to that size one task
+goes over them several times; where there are more parts, each row is learned from once,
+in one of ROUNDS rounds: each part trains the same network on its own rows of the
+round and the networks are averaged. The
+calibrating documents are scored and counted by Spark. Only the network and the
+counts by rounded score reach the driver. Training and scoring take long texts in
+slabs of bounded size.
 
 Cases: null and empty texts have no words, a stretch of padding, and a score like
 any other; repeated rows are scored alike; of several labels of a document a 1
@@ -27,13 +32,14 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cratewise.llm.common import text_of
+from cratewise.llm.common import saved, text_of
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Width of each filter in words, filters of each width, embedding size and rows of the hashed table.
@@ -46,15 +52,21 @@ GAP = max(WIDTHS)
 STRETCH = 64
 #: Words of a slab while scoring, and words whose projections a worker remembers.
 SLAB, REMEMBERED = 1 << 15, 1 << 17
-#: Bounds of the training sample: documents of each class, and characters of all.
-SAMPLE_ROWS, SAMPLE_CHARS = 3000, 12_000_000
+#: Characters of a part (about), rounds that several parts take, and characters to be learned from where there is one.
+PART_CHARS, ROUNDS, LEARNED_CHARS = 48_000_000, 2, 168_000_000
+#: Characters of a part that a task holds at once: a part is larger only where an id repeats very often.
+HELD_CHARS = 2 * PART_CHARS
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-#: One of so many sampled documents calibrates; examples of each class that a language's own threshold needs.
+#: One of so many labelled documents calibrates; examples of each class that a language's own threshold needs.
 CALIBRATES, LEAST_EXAMPLES = 5, 8
 #: Weight of recall beside precision in the F measure of a cut (beta squared): clean documents are to be left alone.
 RECALL_WEIGHT = 0.25
 PASSES, BATCH, RATE, DECAY, SEED = 14, 32, 0.06, 1e-4, 7
+#: Log odds are counted up to so large, by steps of a thousandth.
+FAR, STEPS = 30.0, 1000
+#: The network's arrays; of the first, a part changes some rows.
+PARAMETERS = ("table", "filters", "bias", "out", "offset")
 
 
 def fold_of(column: str = "doc_id") -> Column:
@@ -113,13 +125,12 @@ class Network:
 
     def responses(self, projected: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Response of every filter (columns) at every word (rows); row 0 of ``projected`` is padding."""
-        wide = np.concatenate([ids, np.zeros(GAP, ids.dtype)])
+        rows = projected[np.concatenate([ids, np.zeros(GAP, ids.dtype)])]
         found, block = [], 0
         for width in WIDTHS:
             total = 0
             for k in range(width):
-                columns = projected[:, block * FILTERS : (block + 1) * FILTERS]
-                total = total + columns[wide[k : k + len(ids)]]
+                total = total + rows[k : k + len(ids), block * FILTERS : (block + 1) * FILTERS]
                 block += 1
             found.append(total)
         return np.concatenate(found, axis=1)
@@ -133,28 +144,54 @@ class Network:
         return found, np.maximum.reduceat(found, starts, axis=0)[real]
 
 
+def fresh_state(network: Network) -> dict[str, np.ndarray]:
+    """What Adagrad has seen of each parameter."""
+    return {name: np.full_like(getattr(network, name), 1e-3) for name in PARAMETERS}
+
+
+class Numbered:
+    """Texts as numbers of their words, with the rows of the hashed table that each word has."""
+
+    def __init__(self):
+        self.names: dict[str, int] = {}
+        self.pieces: list[np.ndarray] = [np.zeros((1, PIECES), np.uint16)]
+        self.texts: list[np.ndarray] = []
+        self.labels: list[float] = []
+        self.chars = 0
+
+    def add(self, words: list[str], label: float) -> None:
+        new = sorted(set(words).difference(self.names))
+        if new:
+            self.names.update(zip(new, range(len(self.names) + 1, len(self.names) + len(new) + 1), strict=True))
+            self.pieces.append(np.array([pieces_of(w) for w in new], np.uint16))
+        self.texts.append(np.fromiter(map(self.names.__getitem__, words), np.int32, len(words)))
+        self.labels.append(label)
+
+    def learn(self, network: Network, state: dict, share: float, passes: int, rng: np.random.Generator) -> np.ndarray:
+        """Goes over the texts; tells which rows of the table their words have. ``share``: of toxic ones among all."""
+        pieces, labels = np.concatenate(self.pieces), np.array(self.labels, np.float32)
+        self.names = {}
+        weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
+        # Texts of like length share a batch, so that no batch is much larger than the others.
+        by_size = np.argsort([len(t) for t in self.texts], kind="stable")
+        for _ in range(passes):
+            batches = [b for b in np.split(by_size, range(int(rng.integers(1, BATCH)), len(by_size), BATCH)) if len(b)]
+            for number in rng.permutation(len(batches)):
+                chosen = batches[number]
+                step(network, state, pieces, [self.texts[i] for i in chosen], labels[chosen], weight[chosen])
+        used = np.zeros(ROWS, bool)
+        used[pieces[1:].ravel()] = True
+        return used
+
+
 def trained(texts: list[list[str]], labels: np.ndarray) -> Network:
     """A network fitted to word lists; each class weighs the same."""
-    network, rng = Network(), np.random.default_rng(SEED)
-    names = {w: i for i, w in enumerate(sorted({w for t in texts for w in t}), 1)}
-    pieces = np.zeros((len(names) + 1, PIECES), np.int64)
-    for word, i in names.items():
-        pieces[i] = pieces_of(word)
-    numbered = [np.fromiter(map(names.__getitem__, t), np.int64, len(t)) for t in texts]
-    share = labels.mean()
-    weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
-    # Texts of like length share a batch, so that no batch is much larger than the others.
-    by_size = np.argsort([len(t) for t in numbered], kind="stable")
-    state = {name: np.full_like(getattr(network, name), 1e-3) for name in ("table", "filters", "bias", "out", "offset")}
-    for _ in range(PASSES):
-        batches = [b for b in np.split(by_size, range(int(rng.integers(1, BATCH)), len(by_size), BATCH)) if len(b)]
-        for number in rng.permutation(len(batches)):
-            chosen = batches[number]
-            step(network, state, pieces, [numbered[i] for i in chosen], labels[chosen], weight[chosen])
-    # Rows that no word of the sample uses say nothing.
-    unused = np.ones(ROWS, bool)
-    unused[pieces[1:].ravel()] = False
-    network.table[unused] = 0
+    network, numbered = Network(), Numbered()
+    for words, label in zip(texts, labels.tolist(), strict=True):
+        numbered.add(words, label)
+    used = numbered.learn(network, fresh_state(network), float(labels.mean()), PASSES, np.random.default_rng(SEED))
+    # Rows that no word uses say nothing.
+    network.table[~used] = 0
     return network
 
 
@@ -177,7 +214,17 @@ def step(network: Network, state: dict, pieces: np.ndarray, texts: list[np.ndarr
     vectors = network.table[some].sum(axis=1)
     vectors[words == 0] = 0
     projected = vectors @ network.filters
-    found, peaks = network.peaks(projected, ids, starts, real)
+    # Stretches in slabs of bounded size: their largest responses, and the words where their windows begin.
+    ends = np.append(starts[1:], len(ids))
+    cuts = [*np.flatnonzero(np.diff(starts // SLAB, prepend=-1)).tolist(), len(starts)]
+    peaks, places = [], []
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        begin, own = int(starts[low]), real[low:high]
+        found = network.responses(projected, ids[begin : int(ends[high - 1]) + GAP])
+        at = [found[a - begin : b - begin].argmax(axis=0) + a for a, b in zip(starts[low:high][own], ends[low:high][own], strict=True)]
+        places += at
+        peaks += [found[p - begin, np.arange(found.shape[1])] for p in at]
+    peaks, places = np.array(peaks), np.array(places)
     active = np.maximum(peaks + network.bias, 0)
     counts = np.diff(np.append(first, len(active)))[:, None].astype(np.float32)
     largest, mean = np.maximum.reduceat(active, first, axis=0), np.add.reduceat(active, first, axis=0) / counts
@@ -193,8 +240,6 @@ def step(network: Network, state: dict, pieces: np.ndarray, texts: list[np.ndarr
     top &= so_far - (so_far - top)[first][text_of_stretch] == 1
     at_peak = (at_mean + top * (back[:, None] * network.out[:half])[text_of_stretch]) * (active > 0)
     # And to the words of the window where the stretch has its largest response.
-    ends = np.append(starts[1:], len(ids))
-    places = np.concatenate([found[a:b].argmax(axis=0)[None] + a for a, b in zip(starts[real], ends[real], strict=True)])
     wide, of_projected, block = np.concatenate([ids, np.zeros(GAP, ids.dtype)]), np.zeros_like(projected), 0
     for number, width in enumerate(WIDTHS):
         columns = slice(number * FILTERS, (number + 1) * FILTERS)
@@ -286,73 +331,170 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.odds(texts), -30, 30)))
 
 
-def best_cut(values: np.ndarray, labels: np.ndarray) -> float:
-    """Middle of the gap whose cut has the best F measure, the highest of equals."""
-    order = np.argsort(-values, kind="stable")
-    ranked, hits = values[order], np.cumsum(labels[order])
-    measure = hits / (np.arange(1, len(ranked) + 1) + RECALL_WEIGHT * labels.sum())
-    measure[:-1][ranked[:-1] == ranked[1:]] = -1
+def best_cut(values: np.ndarray, hits: np.ndarray, counts: np.ndarray) -> float:
+    """Middle of the gap whose cut has the best F measure, the highest of equals; of different values, each with the
+    number of its examples and of the toxic ones among them."""
+    order = np.argsort(-values)
+    ranked, caught = values[order], np.cumsum(hits[order])
+    measure = caught / (np.cumsum(counts[order]) + RECALL_WEIGHT * hits.sum())
     at = int(np.argmax(measure))
     return float((ranked[at] + ranked[min(at + 1, len(ranked) - 1)]) / 2)
 
 
-def calibrate(model: Model, texts: list[str], labels: np.ndarray, langs: list) -> None:
+def calibrate(model: Model, rows: DataFrame) -> None:
     """Moves the log odds so that THRESHOLD is the best cut over all, and finds the cut of each language."""
-    model.shift = float(np.log(THRESHOLD / (1 - THRESHOLD)) - best_cut(model.odds(texts), labels))
-    scores = model.scores(texts)
-    for lang in sorted({x for x in langs if x is not None}):
-        own = np.array([x == lang for x in langs])
-        if min(labels[own].sum(), (1 - labels[own]).sum()) >= LEAST_EXAMPLES:
-            model.thresholds[lang] = round(best_cut(scores[own], labels[own]), 6)
 
-
-def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic, lang, spread) of labelled documents outside the held-out fold, at most SAMPLE_ROWS of each class by a hash of the id."""
-    spread = F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED))
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                odds = np.clip(model.odds(batch.column("text").to_pylist()), -FAR, FAR)
+                values = pa.array(np.rint(STEPS * odds).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([values, batch.column("toxic"), batch.column("lang")], ["value", "toxic", "lang"])
+
+    found = rows.select("text", "toxic", "lang").mapInArrow(of, "value long, toxic int, lang string")
+    counted = saved(found.groupBy("lang", "value").agg(F.sum("toxic").alias("hits"), F.count("*").alias("n")), "toxic-scores")
+    # At most one row for each step of the log odds.
+    every = counted.groupBy("value").agg(F.sum("hits"), F.sum("n")).collect()
+    cut = lambda table: best_cut(*np.array(table, np.float64).reshape(-1, 3).T)
+    model.shift = float(np.log(THRESHOLD / (1 - THRESHOLD)) - cut(sorted(every)) / STEPS)
+
+    def of_lang(key, part: pd.DataFrame) -> pd.DataFrame:
+        odds = cut(part.sort_values("value")[["value", "hits", "n"]]) / STEPS + model.shift
+        return pd.DataFrame({"lang": [key[0]], "threshold": [round(float(1 / (1 + np.exp(-odds))), 6)]})
+
+    toxic, clean = F.sum("hits"), F.sum(F.col("n") - F.col("hits"))
+    enough = counted.filter("lang is not null").groupBy("lang").agg(F.least(toxic, clean).alias("_least"))
+    enough = enough.filter(F.col("_least") >= LEAST_EXAMPLES).select("lang")
+    cuts = counted.join(enough, "lang").groupBy("lang").applyInPandas(of_lang, "lang string, threshold double")
+    model.thresholds = {r["lang"]: r["threshold"] for r in cuts.collect()}
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, toxic, lang, doc_id, apart) of all labelled documents outside the held-out fold."""
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold_of() != HELD_OUT))
-    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("spread", spread)
-    chosen = [known.filter(F.col("toxic") == c).orderBy("spread", "doc_id").limit(SAMPLE_ROWS) for c in (0, 1)]
-    # At most twice SAMPLE_ROWS short rows, so the broadcast is bounded.
-    few = F.broadcast(chosen[0].unionByName(chosen[1]).withColumnRenamed("doc_id", "_id"))
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumnRenamed("doc_id", "_id")
     lang = F.col("lang").cast("string").alias("lang") if "lang" in docs.columns else F.lit(None).cast("string").alias("lang")
-    rows = docs.select("doc_id", text_of().alias("text"), lang).filter(F.length("text") <= SAMPLE_CHARS)
-    return rows.join(few, F.col("doc_id") == F.col("_id")).select("text", "toxic", "lang", "spread")
-
-
-def learned(rows: list[tuple]) -> Model:
-    """A model from (text, toxic, lang) rows."""
-    toxic = np.array([r[1] for r in rows], np.float32)
-    if not rows or toxic.min() == toxic.max():
-        return Model(float(toxic[0]) if rows else 0.5)
-    # The calibrating part takes every fifth of each class, so that both are in both parts where there are enough.
-    turn = np.zeros(len(rows), int)
-    for c in (0, 1):
-        turn[toxic == c] = np.arange(int((toxic == c).sum()))
-    apart = turn % CALIBRATES == CALIBRATES - 1
-    words = [words_of(r[0]) for r, a in zip(rows, apart, strict=True) if not a]
-    model = Model(float(toxic.mean()), trained(words, toxic[~apart]))
-    if min(toxic[apart].sum(), (1 - toxic[apart]).sum()) >= 3:
-        some = [r for r, a in zip(rows, apart, strict=True) if a]
-        calibrate(model, [r[0] for r in some], toxic[apart], [r[2] for r in some])
-    model.forget()
-    return model
+    rows = docs.filter(F.col("doc_id").isNotNull() & (fold_of() != HELD_OUT)).select("doc_id", text_of().alias("text"), lang)
+    rows = rows.join(known, F.col("doc_id") == F.col("_id"))
+    return rows.select("text", "toxic", "lang", "doc_id", (dealt(CALIBRATES, 1) == 0).alias("apart"))
+
+
+def dealt(count: int, salt: int) -> Column:
+    return F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED + salt)), F.lit(count)).cast("int")
+
+
+def learned_apart(batches: Iterator[pa.RecordBatch], network: Network, state: dict, share: float, passes: int, blocks: int) -> Iterator[pa.RecordBatch]:
+    """(block, part, n, change) of the network of each part, trained from ``network`` on; rows come sorted by part.
+
+    ``change`` holds, for a block of the table's rows, those used, their changes and those of ``state``; block -1 holds
+    the changes of the other arrays.
+    """
+    schema = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("n", pa.int64()), ("change", pa.binary())])
+
+    def finished(part: int, own: Network, seen: dict, used: np.ndarray, n: int) -> pa.RecordBatch:
+        moved = {name: (getattr(own, name) - getattr(network, name), seen[name] - state[name]) for name in PARAMETERS}
+        changes = [(-1, b"".join(x.tobytes() for name in PARAMETERS[1:] for x in moved[name]))]
+        for block, rows in enumerate(np.array_split(np.arange(ROWS), blocks)):
+            of_table = [x[rows].tobytes() for x in moved["table"]]
+            changes.append((block, used[rows].tobytes() + b"".join(of_table)))
+        return pa.RecordBatch.from_pylist([{"block": b, "part": part, "n": n, "change": c} for b, c in changes], schema)
+
+    part, own, seen, used, n, numbered, rng = None, None, None, None, 0, Numbered(), None
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["part"] != part:
+                if part is not None:
+                    used |= numbered.learn(own, seen, share, passes, rng)
+                    yield finished(part, own, seen, used, n)
+                part, n, numbered, used = row["part"], 0, Numbered(), np.zeros(ROWS, bool)
+                own, seen = cloudpickle.loads(cloudpickle.dumps((network, state)))
+                rng = np.random.default_rng([SEED, part])
+            if numbered.chars + len(row["text"]) > HELD_CHARS and numbered.texts:
+                used |= numbered.learn(own, seen, share, passes, rng)
+                numbered = Numbered()
+            numbered.add(words_of(row["text"]), row["toxic"])
+            numbered.chars += len(row["text"])
+            n += 1
+    if part is not None:
+        used |= numbered.learn(own, seen, share, passes, rng)
+        yield finished(part, own, seen, used, n)
+
+
+def averaged(key, changes: pd.DataFrame) -> pd.DataFrame:
+    """Mean change of a block over the parts, by their documents; of a row of the table over the parts that use it."""
+    total = weights = 0
+    for n, change in changes.sort_values("part")[["n", "change"]].itertuples(index=False):
+        if key[0] < 0:
+            moved, weight = np.frombuffer(change, np.float32), float(n)
+        else:
+            size = len(change) // (1 + 8 * SIZE)
+            weight = np.frombuffer(change, bool, size).astype(np.float64) * n
+            moved = np.frombuffer(change, np.float32, offset=size).reshape(2, size, SIZE)
+            weight = np.broadcast_to(weight[None, :, None], (2, size, 1))
+        total, weights = total + weight * moved, weights + weight
+    mean = (total / np.where(weights > 0, weights, 1)).astype(np.float32)
+    used = (weights > 0).astype(np.uint8)[0].tobytes() if key[0] >= 0 else b""
+    return pd.DataFrame({"block": [key[0]], "change": [used + mean.tobytes()]})
+
+
+def train(rows: DataFrame, chars: int, share: float) -> Network:
+    """A network fitted to all of ``rows`` (text, toxic, doc_id)."""
+    parts = -(-max(1, chars) // PART_CHARS)
+    passes = min(PASSES, max(ROUNDS, -(-LEARNED_CHARS // max(1, chars)))) if parts == 1 else 1
+    network, used = Network(), np.zeros(ROWS, bool)
+    state = fresh_state(network)
+    # As many blocks as parts: what meets in averaging has the same size for any number of them.
+    blocks = min(parts, ROWS)
+    rounds = 1 if parts == 1 else ROUNDS
+    spread = F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED)).alias("spread")
+    rows = rows.select(dealt(rounds, 3).alias("round"), dealt(parts, 2).alias("part"), spread, "text", "toxic")
+    for number in range(rounds):
+        before = (network, state)
+        own = rows.filter(F.col("round") == number).select("part", "spread", "text", "toxic")
+        own = own.repartition(parts, "part").sortWithinPartitions("part", "spread", "text").drop("spread")
+
+        def of(batches: Iterator[pa.RecordBatch], before=before) -> Iterator[pa.RecordBatch]:
+            return learned_apart(batches, *before, share, passes, blocks)
+
+        changes = own.mapInArrow(of, "block int, part int, n long, change binary")
+        found = saved(changes.groupBy("block").applyInPandas(averaged, "block int, change binary"), "toxic-round").collect()
+        network, state = cloudpickle.loads(cloudpickle.dumps(before))
+        of_block = np.array_split(np.arange(ROWS), blocks)
+        for block, change in found:
+            if block < 0:
+                at = 0
+                for name in PARAMETERS[1:]:
+                    for value in (getattr(network, name), state[name]):
+                        value += np.frombuffer(change, np.float32, value.size, at).reshape(value.shape)
+                        at += value.nbytes
+            else:
+                here = of_block[block]
+                used[here] |= np.frombuffer(change, bool, len(here))
+                moved = np.frombuffer(change, np.float32, offset=len(here)).reshape(2, len(here), SIZE)
+                network.table[here] += moved[0]
+                state["table"][here] += moved[1]
+    # Rows that no word uses say nothing.
+    network.table[~used] = 0
+    return network
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learns from the bounded sample, in one task: rows in order of their hash, until the characters are used up."""
-
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, room = [], SAMPLE_CHARS
-        for batch in batches:
-            for row in batch.select(["text", "toxic", "lang"]).to_pylist():
-                room -= len(row["text"])
-                if room >= 0:
-                    rows.append((row["text"], row["toxic"], row["lang"]))
-        yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(learned(rows))], pa.binary())], ["model"])
-
-    gathered = sample(docs, labels).repartition(1).sortWithinPartitions("spread", "text")
-    found = gathered.mapInArrow(of, "model binary").first()
-    return cloudpickle.loads(found["model"]) if found else Model(0.5)
+    """Learns from all labelled documents outside the held-out fold."""
+    rows = saved(labelled(docs, labels), "labelled")
+    counts = rows.groupBy("apart", "toxic").agg(F.count("*"), F.sum(F.length("text"))).collect()
+    number = {(apart, toxic): n for apart, toxic, n, _ in counts}
+    toxic, every = sum(n for (_, y), n in number.items() if y), sum(number.values())
+    if toxic in (0, every):
+        return Model(float(toxic > 0) if every else 0.5)
+    # Without three of each class to calibrate by, or without both to learn from, all are learned from.
+    apart = min(number.get((True, y), 0) for y in (0, 1)) >= 3 and all((False, y) in number for y in (0, 1))
+    share = number[False, 1] / (number[False, 0] + number[False, 1]) if apart else toxic / every
+    chars = sum(size for held, _, _, size in counts if not (apart and held))
+    model = Model(toxic / every, train(rows.filter("not apart") if apart else rows, chars, share))
+    if apart:
+        calibrate(model, rows.filter("apart"))
+    model.forget()
+    return model
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -112,3 +112,34 @@ def test_held_out_accuracy(spark):
     caught = sum(p == y == 1 for p, y in held)
     # Labels are few here: 38 toxic documents in four languages.
     assert caught >= 0.5 * sum(y for _, y in held) and caught >= 0.7 * sum(p for p, _ in held)
+
+
+def test_every_labelled_row_counts(spark):
+    """More rows of a class than any sample took: the share of toxic ones is that of all outside the held-out fold."""
+    docs = spark.range(4600).selectExpr("id as doc_id", "if(id % 80 = 0, 'vile word', 'clean word') as text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 80 = 0 as int) as toxic")
+    learned = labels.filter(toxicity.fold_of() != toxicity.HELD_OUT)
+    assert toxicity.fit(docs, labels).prior == pytest.approx(learned.agg({"toxic": "avg"}).first()[0])
+
+
+def test_parts_are_averaged(spark, monkeypatch):
+    rows = invented(3000)
+    monkeypatch.setattr(toxicity, "PART_CHARS", sum(len(t) for _, t, _ in rows) // 5)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    taken, average = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda *given: taken.append(given[1]) or average(*given))
+    held = docs.withColumn("held", toxicity.fold_of() == toxicity.HELD_OUT)
+    found = [toxicity.scored(held, toxicity.fit(docs, labels)).orderBy("doc_id").collect() for _ in range(2)]
+    assert taken[0] > 2 * toxicity.PART_CHARS and found[0] == found[1]
+    wrong = [r["doc_id"] for r in found[0] if r["held"] and r["_predicted"] != int(r["doc_id"] % 4 == 0)]
+    assert len(wrong) <= 30
+
+
+def test_slabs_of_long_texts_train_alike(monkeypatch):
+    rows = invented(80)
+    texts, labels = [toxicity.words_of(t) for _, t, _ in rows], np.array([y for *_, y in rows], np.float32)
+    whole = toxicity.trained(texts, labels)
+    monkeypatch.setattr(toxicity, "SLAB", 100)
+    some = toxicity.trained(texts, labels)
+    assert np.abs(whole.table - some.table).max() < 1e-3 and np.abs(whole.out - some.out).max() < 1e-3
