@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cratewise.plans.inputs import Inputs
 from cratewise.plans.report import ReportBundle
+from cratewise.session import SETTINGS
 from cratewise.sources.sample import SampleTables
 from mini import CONFIG, TABLES, mini_tables
 from workload.join_chain import metric_table_by_joins
@@ -100,3 +101,9 @@ def test_one_agent_with_most_rows_leaves_each_task_as_one_row(spark):
     sums = {row["agent"]: row["mtd_shipment"] for row in inputs.shipment().collect()}
     assert sums["Alpha"] == 66_667.0
     assert sum(sums.values()) == 200_000.0
+
+
+def test_partitions_leave_room_to_sort_metric_rows():
+    """A task sorts some ten times what it reads; a quarter of 3,600 MB is to be enough."""
+    size = SETTINGS["spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    assert 300 + 10 * int(size.removesuffix("m")) < 900
