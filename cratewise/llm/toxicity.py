@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cratewise.llm.common import saved, text_of
+from cratewise.llm.common import file_backed, located, saved, text_of
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Width of each filter in words, filters of each width, embedding size and rows of the hashed table.
@@ -56,6 +56,8 @@ SLAB, REMEMBERED = 1 << 15, 1 << 17
 PART_CHARS, ROUNDS, LEARNED_CHARS = 48_000_000, 2, 168_000_000
 #: Characters of a part that a task holds at once: a part is larger only where an id repeats very often.
 HELD_CHARS = 2 * PART_CHARS
+#: Rows of a file that share a bitmap (as many as Spark's bitmaps have bits), and bytes of bitmaps that each executor may hold.
+BLOCK, SENT = 1 << 15, 1 << 28
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 #: One of so many labelled documents calibrates; examples of each class that a language's own threshold needs.
@@ -370,13 +372,30 @@ def calibrate(model: Model, rows: DataFrame) -> None:
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(text, toxic, lang, doc_id, apart) of all labelled documents outside the held-out fold."""
+    """(text, toxic, lang, doc_id, apart) of all labelled documents outside the held-out fold.
+
+    Only ids meet the labels. The rows found come back as two bitmaps for each block of a file, 2 bits a document, so
+    that texts are filtered where they are read and none is shuffled.
+    """
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold_of() != HELD_OUT))
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumnRenamed("doc_id", "_id")
     lang = F.col("lang").cast("string").alias("lang") if "lang" in docs.columns else F.lit(None).cast("string").alias("lang")
-    rows = docs.filter(F.col("doc_id").isNotNull() & (fold_of() != HELD_OUT)).select("doc_id", text_of().alias("text"), lang)
-    rows = rows.join(known, F.col("doc_id") == F.col("_id"))
-    return rows.select("text", "toxic", "lang", "doc_id", (dealt(CALIBRATES, 1) == 0).alias("apart"))
+    rows = file_backed(docs.select("doc_id", text_of().alias("text"), lang))
+    rows = located(rows.filter(F.col("doc_id").isNotNull() & (fold_of() != HELD_OUT)))
+    rows = rows.withColumns({"_block": F.expr(f"_row div {BLOCK}"), "_bit": F.col("_row") % BLOCK})
+    found = rows.join(known, F.col("doc_id") == F.col("_id")).select("_file", "_block", "_bit", "toxic")
+    bits = [F.bitmap_construct_agg("_bit").alias("_known"), F.bitmap_construct_agg(F.expr("if(toxic = 1, _bit, null)")).alias("_toxic")]
+    marks = saved(found.groupBy(F.col("_file").alias("_f"), F.col("_block").alias("_b")).agg(*bits), "toxic-marks")
+    if marks.count() * BLOCK // 4 <= SENT:
+        marks = F.broadcast(marks)
+    rows = rows.join(marks, (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b"))).filter(marked("_known") == 1)
+    return rows.select("text", marked("_toxic").cast("int").alias("toxic"), "lang", "doc_id", (dealt(CALIBRATES, 1) == 0).alias("apart"))
+
+
+def marked(bitmap: str) -> Column:
+    """Whether a row's bit is set in a bitmap of its block."""
+    byte = f"cast(conv(hex(substring({bitmap}, cast(_bit div 8 as int) + 1, 1)), 16, 10) as int)"
+    return F.expr(f"getbit({byte}, cast(_bit % 8 as int))")
 
 
 def dealt(count: int, salt: int) -> Column:

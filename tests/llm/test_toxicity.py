@@ -1,5 +1,7 @@
 """The convolutional classifier: gradients, slabs, held-out accuracy, and rows of every odd kind."""
 
+import zlib
+
 import duckdb
 import numpy as np
 import pytest
@@ -143,3 +145,34 @@ def test_slabs_of_long_texts_train_alike(monkeypatch):
     monkeypatch.setattr(toxicity, "SLAB", 100)
     some = toxicity.trained(texts, labels)
     assert np.abs(whole.table - some.table).max() < 1e-3 and np.abs(whole.out - some.out).max() < 1e-3
+
+
+def test_texts_are_not_shuffled_to_meet_their_labels(spark, tmp_path, monkeypatch):
+    """Labels too many to broadcast: texts stay where they are read; rows are those of a join, also for repeated and null ids."""
+    rows = [*((i, f"text {i}", "en") for i in range(3000)), (7, "twice", "de"), (None, "no id", None), (9001, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents"))
+    docs = spark.read.parquet(str(tmp_path / "documents"))
+    marks = [*((i, i % 3 if i % 3 < 2 else None) for i in range(0, 3000, 2)), (4, 1), (9001, 1), (None, 1), (8000, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    labels.write.parquet(str(tmp_path / "labels"))
+    labels = spark.read.parquet(str(tmp_path / "labels"))
+    best = {}
+    for i, y in marks:
+        if i is not None and y is not None:
+            best[i] = max(y, best.get(i, y))
+    wanted = [(t or "", best[i], lang, i) for i, t, lang in rows if i in best and zlib.crc32(str(i).encode()) % 4 != toxicity.HELD_OUT]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = toxicity.labelled(docs, labels)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan
+        assert sorted(tuple(r)[:4] for r in found.collect()) == sorted(wanted)
+        # More marks than may be sent are joined.
+        monkeypatch.setattr(toxicity, "SENT", 0)
+        found = toxicity.labelled(docs, labels)
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(r)[:4] for r in found.collect()) == sorted(wanted)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
