@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from cratewise.llm.common import saved
 
@@ -12,23 +13,26 @@ def stars(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b) that isn't its component's smallest.
 
     Each round hangs the larger neighbours of a node, then its smaller ones, on
-    the smallest neighbour, until nothing changes. A round is two aggregates
-    and two joins on the links; nothing is gathered on the driver but a count
+    the smallest neighbour, until nothing changes. A round is one chain of three
+    shuffles without a join: what a broadcast or one more stage takes of the
+    driver's memory doesn't depend on the rows, and rounds follow each other
+    faster than it is given back. Nothing is gathered on the driver but a count
     and a checksum.
     """
     now = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now, mark = saved(now, "links"), None
+    lowest, edge = F.min("v").over(W.partitionBy("u")), F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
     while True:
-        both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         # Larger neighbours hang on the smallest of the neighbourhood.
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        both = now.select(F.inline(edge)).withColumn("m", F.least("u", lowest))
+        large = both.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Smaller neighbours, and the node itself, hang on the smallest of them.
-        small = large.join(low, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
-        now = saved(small.filter("u <> v").distinct(), "links")
-        new = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        small = large.withColumn("m", lowest)
+        small = small.select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))))
+        seen = Observation()
+        figures = [F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")]
+        now = saved(small.filter("u <> v").distinct().observe(seen, *figures), "links")
+        new = seen.get
         if new == mark:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         mark = new
